@@ -1,0 +1,24 @@
+"""Axis-aligned boxes ``[x, y, width, height]``."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _span(a: Column, b: Column, axis: int) -> Column:
+    end_a = F.get(a, F.lit(axis)) + F.get(a, F.lit(axis + 2))
+    end_b = F.get(b, F.lit(axis)) + F.get(b, F.lit(axis + 2))
+    start = F.greatest(F.get(a, F.lit(axis)), F.get(b, F.lit(axis)))
+    return F.greatest(F.least(end_a, end_b) - start, F.lit(0.0))
+
+
+def area(box: Column) -> Column:
+    return F.get(box, F.lit(2)) * F.get(box, F.lit(3))
+
+
+def iou(a: Column, b: Column) -> Column:
+    """Intersection over union; 0 for two empty boxes."""
+    inter = _span(a, b, 0) * _span(a, b, 1)
+    union = area(a) + area(b) - inter
+    return F.coalesce(inter / F.nullif(union, F.lit(0.0)), F.lit(0.0))

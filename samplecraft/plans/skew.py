@@ -1,0 +1,24 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 1_000  # a key is hot from one thousandth of all rows on
+
+
+def attach(rows: DataFrame, per_key: DataFrame, on: str, copies: str = "copies") -> DataFrame:
+    """Inner join of ``rows`` with ``per_key``, which has one row per key and knows how
+    often each key occurs.
+
+    Hot keys cannot number more than ``HOT_SHARE``, since each has at least that part
+    of the rows: their side is broadcast and their rows are never shuffled onto one
+    task. The other keys are small and join by shuffle.
+    """
+    total = per_key.agg(F.sum(copies)).scalar()
+    is_hot = F.coalesce(F.col(copies) * HOT_SHARE >= total, F.lit(False))
+    hot, rest = per_key.filter(is_hot), per_key.filter(~is_hot)
+    stays = rows.join(F.broadcast(hot), on)
+    moves = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(rest, on)
+    return stays.unionByName(moves)
