@@ -20,7 +20,7 @@ from ..dataset import (
     require_fields,
     with_path,
 )
-from ..functions.predicates import LabelPredicate, has_tags, keep_labels
+from ..functions.predicates import LabelPredicate, any_label, has_tags, keep_labels
 
 
 def _has_label(field: str) -> Column:
@@ -35,8 +35,9 @@ def filter_labels(
     With ``only_matches`` samples left without a label are dropped [chosen].
     """
     require_fields(ds, [field])
-    df = with_path(ds.df, field, keep_labels(field, filter))
-    return ds.with_df(df.filter(_has_label(field)) if only_matches else df)
+    # Asked before the list is rebuilt: the test stops at the first label that passes.
+    df = ds.df.filter(any_label(field, filter)) if only_matches else ds.df
+    return ds.with_df(with_path(df, field, keep_labels(field, filter)))
 
 
 def select_labels(

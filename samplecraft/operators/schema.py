@@ -45,10 +45,16 @@ def field_type_name(dtype: T.DataType) -> str:
     return "StringField"
 
 
-_SCHEMA_COLUMNS = T.StructType.fromDDL(
-    "scope string, field string, type string, description string, required boolean, "
-    "read_only boolean, subfield string, embedded_doc_type string"
-)
+_SCHEMA_COLUMNS = {
+    "scope": T.StringType(),
+    "field": T.StringType(),
+    "type": T.StringType(),
+    "description": T.StringType(),
+    "required": T.BooleanType(),
+    "read_only": T.BooleanType(),
+    "subfield": T.StringType(),
+    "embedded_doc_type": T.StringType(),
+}
 
 
 def _describe(f: T.StructField, scope: str) -> tuple:
@@ -89,10 +95,12 @@ def get_field_schema(
                 for f in df.schema.fields
                 if include_private or not f.name.startswith("_")
             ]
-    columns = zip(*rows) if rows else [[]] * len(_SCHEMA_COLUMNS.fields)
     return key_table(
         ds.spark,
-        {f.name: (list(c), f.dataType) for f, c in zip(_SCHEMA_COLUMNS.fields, columns)},
+        {
+            name: ([row[i] for row in rows], dtype)
+            for i, (name, dtype) in enumerate(_SCHEMA_COLUMNS.items())
+        },
     )
 
 
@@ -114,9 +122,7 @@ def declared_type(
         if document is None:
             raise ValueError("an embedded document needs embedded_doc_type")
         dtype = document
-    return T.ArrayType(dtype) if type_name == "ListField" and subfield else (
-        FIELD_TYPES["ListField"] if type_name == "ListField" else dtype
-    )
+    return T.ArrayType(dtype) if type_name == "ListField" else dtype
 
 
 def add_sample_field(

@@ -5,7 +5,7 @@ The raw tables have no nested labels, tags or groups; these functions derive the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..dataset import Dataset
@@ -15,29 +15,40 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _label(line: Column) -> Column:
+    """A line item as a label."""
+    return F.struct(
+        F.concat_ws(
+            "-", line["l_orderkey"], line["l_linenumber"], line["l_partkey"], line["l_suppkey"]
+        ).alias("id"),
+        line["l_returnflag"].alias("label"),
+        (line["l_quantity"] / 50.0).alias("confidence"),
+        F.array(line["l_linestatus"]).alias("tags"),
+        # + 0.0 turns the -0.0 found in the data into 0.0
+        F.array(
+            line["l_discount"] * 5 + 0.0, line["l_tax"] * 6.25, F.lit(0.5), F.lit(0.5)
+        ).alias("box"),
+    )
+
+
+# The first three columns give a label its place in the list.
+_LINE = (
+    "l_linenumber l_partkey l_suppkey l_orderkey l_returnflag l_quantity l_linestatus "
+    "l_discount l_tax"
+).split()
+
+
 def samples(spark: SparkSession, folder: str) -> Dataset:
     """Orders as samples, their line items as labels.
 
     A sample is one record and owns its label list, like any document with embedded
-    labels. Line items are nested before the join, which then reuses their partitioning.
+    labels. Collecting a list cannot be combined before the shuffle, so the raw columns
+    are shuffled as they are and become labels afterwards; the join then reuses their
+    partitioning.
     """
-    lines = table(spark, folder, "lineitem")
-    place = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")]
-    label = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
-        F.col("l_returnflag").alias("label"),
-        (F.col("l_quantity") / 50.0).alias("confidence"),
-        F.array("l_linestatus").alias("tags"),
-        # + 0.0 turns the -0.0 found in the data into 0.0
-        F.array(
-            F.col("l_discount") * 5 + 0.0, F.col("l_tax") * 6.25, F.lit(0.5), F.lit(0.5)
-        ).alias("box"),
-    )
+    lines = table(spark, folder, "lineitem").repartition("l_orderkey")
     nested = lines.groupBy("l_orderkey").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct(*place, label.alias("label")))),
-            lambda x: x["label"],
-        ).alias("detections")
+        F.transform(F.sort_array(F.collect_list(F.struct(*_LINE))), _label).alias("detections")
     )
     joined = table(spark, folder, "orders").join(
         nested, F.col("o_orderkey") == F.col("l_orderkey"), "left"

@@ -1,0 +1,135 @@
+"""Stages inside label lists, field selection, facets."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import samplecraft as sc
+
+from .conftest import id_set, ids
+
+
+def labels(ds, field="animals"):
+    rows = ds.df.select(ds.id_col, F.col(field)["id"].alias("x")).collect()
+    return {r[0]: r[1] for r in rows}
+
+
+@pytest.mark.parametrize("sure", ["l.confidence > 0.5", lambda l: l["confidence"] > 0.5])
+def test_filter_labels(labelled, sure):
+    # NaN sorts above every number, so it passes "> 0.5" as it does in plain Spark SQL
+    assert labels(sc.filter_labels(labelled, "animals", sure)) == {"a": ["1"], "e": ["5"]}
+    kept = sc.filter_labels(labelled, "animals", sure, only_matches=False)
+    assert labels(kept) == {"a": ["1"], "b": [], "c": [], "d": None, "e": ["5"]}
+
+
+def test_select_labels(labelled):
+    view = sc.select_labels(labelled, tags="ok")
+    assert labels(view) == {"a": ["1", "2"], "b": []}
+    assert labels(view, "vehicles") == {"a": None, "b": ["9"]}
+    only = sc.select_labels(labelled, fields="vehicles")
+    assert "animals" not in only.df.columns
+    assert id_set(only) == {"b", "d"}
+
+
+def test_limit_labels(labelled):
+    assert labels(sc.limit_labels(labelled, "animals", 1))["a"] == ["1"]
+    assert labels(sc.limit_labels(labelled, "animals", 0))["a"] == []
+    assert labels(sc.limit_labels(labelled, "animals", 9)) == labels(labelled)
+
+
+def test_map_labels(labelled):
+    mapped = sc.map_labels(labelled, "animals", {"cat": "feline"})
+    names = {r[0]: r[1] for r in mapped.df.select("sample_id", "animals.label").collect()}
+    assert names == {"a": ["feline", "dog"], "b": ["feline"], "c": [], "d": None, "e": [None, "dog"]}
+    assert labels(sc.map_labels(labelled, "animals", {})) == labels(labelled)
+    with pytest.raises(ValueError):
+        sc.map_labels(labelled, "tags", {})
+
+
+def test_to_patches(labelled):
+    patches = sc.to_patches(labelled, "animals")
+    assert ids(patches) == ["1", "2", "3", "4", "5"]
+    total = sc.resolve_path(labelled.df, "animals.id").count()
+    assert patches.df.count() == total
+    assert ids(sc.limit(patches, 2)) == ["1", "2"]
+
+
+def test_patches_keep_sample_order(labelled):
+    backwards = sc.sort_by(labelled, "filepath", reverse=True)
+    assert ids(sc.to_patches(backwards, "animals")) == ["5", "4", "3", "2", "1"]
+
+
+# -- fields --------------------------------------------------------------------------
+
+
+def test_select_fields(ten):
+    view = sc.select_fields(ten, "score")
+    assert view.rows().columns == ["sample_id", "filepath", "tags", "score"]
+    assert ids(sc.limit(view, 3)) == ["s0", "s1", "s2"]
+    assert sc.select_fields(ten).rows().columns == ["sample_id", "filepath", "tags"]
+
+
+def test_selected_view_stays_sorted(ten):
+    view = sc.select_fields(sc.sort_by(ten, "score", reverse=True), ["category"])
+    assert "score" not in view.df.columns
+    assert ids(sc.limit(view, 2)) == ["s9", "s3"]
+
+
+def test_select_nested_fields(labelled):
+    view = sc.select_fields(labelled, ["animals.label", "animals.id"])
+    assert view.df.schema["animals"].dataType.elementType.fieldNames() == ["id", "label"]
+    assert labels(view) == labels(labelled)
+    both = sc.select_fields(labelled, ["animals.label", "animals"])
+    assert "confidence" in both.df.schema["animals"].dataType.elementType.fieldNames()
+
+
+def test_exclude_fields(ten):
+    view = sc.exclude_fields(ten, ["score"])
+    assert "score" not in view.df.columns and view.df.count() == 10
+    unordered = sc.exclude_fields(ten, ["ord"])
+    assert "ord" not in unordered.rows().columns
+    assert ids(sc.limit(unordered, 2)) == ["s0", "s1"]
+    for field in ("sample_id", "filepath", "tags"):
+        with pytest.raises(ValueError):
+            sc.exclude_fields(ten, field)
+    with pytest.raises(sc.FieldNotFound):
+        sc.exclude_fields(ten, "nothing")
+
+
+def test_exclude_nested_fields(labelled):
+    view = sc.exclude_fields(labelled, ["animals.confidence", "animals.tags", "vehicles"])
+    assert view.df.schema["animals"].dataType.elementType.fieldNames() == ["id", "label"]
+    assert "vehicles" not in view.df.columns
+
+
+# -- facets --------------------------------------------------------------------------
+
+
+def test_label_facets(labelled):
+    cats = {"animals.label": {"values": ["cat"]}}
+    assert labels(sc.facet_filter(labelled, cats)) == {
+        "a": ["1"], "b": ["3"], "c": [], "d": None, "e": []
+    }
+    only = {"animals.label": {"values": ["cat"], "onlyMatch": True}}
+    assert labels(sc.facet_filter(labelled, only)) == {"a": ["1"], "b": ["3"]}
+    matching = {"animals.label": {"values": ["cat"], "isMatching": True}}
+    assert labels(sc.facet_filter(labelled, matching)) == {"a": ["1", "2"], "b": ["3"]}
+    others = {"animals.label": {"values": ["cat"], "exclude": True, "onlyMatch": True}}
+    assert labels(sc.facet_filter(labelled, others)) == {"a": ["2"], "e": ["4", "5"]}
+
+
+def test_number_facets(labelled):
+    def found(**state):
+        return labels(sc.facet_filter(labelled, {"animals.confidence": {**state, "onlyMatch": True}}))
+
+    assert found(range=[0.5, 0.9]) == {"a": ["1"], "e": ["4"]}
+    assert found(range=[0.5, 0.9], none=True) == {"a": ["1"], "b": ["3"], "e": ["4"]}
+    assert found(range=[0.5, 0.9], nan=True) == {"a": ["1"], "e": ["4", "5"]}
+
+
+def test_tag_and_boolean_facets(spark, labelled):
+    assert id_set(sc.facet_filter(labelled, {"tags": {"values": ["x"]}})) == {"a", "e"}
+    flagged = labelled.with_df(labelled.df.withColumn("f", F.expr("CASE sample_id WHEN 'a' THEN true WHEN 'b' THEN false END")))
+    assert id_set(sc.facet_filter(flagged, {"f": {"true": True, "none": True}})) == {"a", "c", "d", "e"}
+    assert id_set(sc.facet_filter(flagged, {"f": {"false": True}})) == {"b"}
+    with pytest.raises(ValueError, match="unknown keys"):
+        sc.facet_filter(labelled, {"tags": {"vlaues": []}})
