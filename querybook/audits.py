@@ -49,12 +49,16 @@ def find_issues(spark, folder):
        UNION ALL SELECT 'text', 'empty_string', count(*) FILTER (text = '') FROM documents""",
 )
 def find_issues_in_texts(spark, folder):
+    """Whole texts checked; equal texts are found by their SHA-256 digest, so that a
+    digest and not the text is shuffled."""
+    documents = ct.table(spark, folder, "documents")
     ds = sc.Dataset(
-        ct.table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("filepath")),
-        id_col="doc_id",
+        documents.select("doc_id", "text", F.sha2("text", 256).alias("filepath")), id_col="doc_id"
     )
     issues = sc.find_issues(ds).select("field", "issue", "n")
-    return issues.filter("field = 'filepath'").withColumn("field", F.lit("text"))
+    return issues.filter(
+        "field = 'text' OR (field = 'filepath' AND issue = 'duplicate')"
+    ).withColumn("field", F.lit("text"))
 
 
 # -- similarity ----------------------------------------------------------------------
@@ -99,7 +103,7 @@ def near_duplicates_in_cells(spark, folder):
 )
 def knn_join(spark, folder):
     ds = ct.vecs(spark, folder)
-    found = sc.knn_join(ds, ds, 5, brain_key="embedding", exclude_self=True, cell_rows=256)
+    found = sc.knn_join(ds, ds, 5, brain_key="embedding", exclude_self=True)
     return found.withColumn("distance", F.round("distance", 6))
 
 
@@ -140,7 +144,7 @@ def knn_join_other_table(spark, folder):
     using=(PAIRS,),
 )
 def uniqueness(spark, folder):
-    found = sc.uniqueness(ct.vecs(spark, folder), k=5, brain_key="embedding", cell_rows=256)
+    found = sc.uniqueness(ct.vecs(spark, folder), k=5, brain_key="embedding")
     return found.withColumn("uniqueness", F.round("uniqueness", 6))
 
 

@@ -8,12 +8,14 @@ evaluated as Python source.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..dataset import quoted_path
+from ..dataset import field_type, quoted, quoted_path
 
 LabelPredicate = Callable[[Column], Column] | str
 
@@ -35,14 +37,54 @@ def keep_labels(field: str, predicate: LabelPredicate) -> Column:
     return F.filter(F.col(quoted_path(field)), predicate)
 
 
-def any_label(field: str, predicate: LabelPredicate) -> Column:
-    """True if some label passes; a null list, or null answers only, count as no."""
+class _Reader:
+    """Stands in for a label while a predicate is asked which fields it reads."""
+
+    def __init__(self):
+        self.fields: set[str] = set()
+
+    def __getitem__(self, name: str) -> Column:
+        self.fields.add(name)
+        return F.col(quoted(name))
+
+
+def fields_read(predicate: LabelPredicate) -> set[str] | None:
+    """The label fields a predicate reads; None if it may read the label as a whole."""
     if isinstance(predicate, str):
-        found = F.expr(f"exists({quoted_path(field)}, l -> {predicate})")
-    elif callable(predicate):
-        found = F.exists(F.col(quoted_path(field)), predicate)
-    else:
+        if re.search(r"\bl\b(?!\s*\.\s*\w)", predicate):
+            return None
+        return set(re.findall(r"\bl\s*\.\s*(\w+)", predicate)) or None
+    reader = _Reader()
+    try:
+        predicate(reader)
+    except Exception:
+        return None
+    return reader.fields or None
+
+
+def part_lists(path: str, names: list[str]) -> str:
+    """SQL for the label list at a path with only the named fields.
+
+    Built from one list per field, which the scan can read alone; rebuilding the labels
+    one by one would read them whole.
+    """
+    return f"arrays_zip({', '.join(quoted_path(f'{path}.{name}') for name in names)})"
+
+
+def any_label(schema: T.StructType, field: str, predicate: LabelPredicate) -> Column:
+    """True if some label passes; a null list, or null answers only, count as no."""
+    if not isinstance(predicate, str) and not callable(predicate):
         raise ValueError("a label predicate is a callable or a SQL string over 'l'")
+    element = field_type(schema, field).elementType
+    known = element.fieldNames() if isinstance(element, T.StructType) else []
+    read = fields_read(predicate)
+    labels = quoted_path(field)
+    if read is not None and read < set(known):
+        labels = part_lists(field, [name for name in known if name in read])
+    if callable(predicate):
+        found = F.exists(F.expr(labels), predicate)
+    else:
+        found = F.expr(f"exists({labels}, l -> {predicate})")
     return F.coalesce(found, F.lit(False))
 
 

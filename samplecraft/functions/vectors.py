@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,10 +26,13 @@ def squared_norm(v: Column) -> Column:
     return _sum(F.transform(as_doubles(v), lambda x: x * x))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; null for a vector of length zero."""
-    size = F.sqrt(squared_norm(a) * squared_norm(b))
-    return dot(a, b) / F.nullif(size, F.lit(0.0))
+def cosine_to(v: Column, target: list[float]) -> Column:
+    """Cosine similarity to a fixed vector; null for a vector of length zero."""
+    length = math.sqrt(math.fsum(x * x for x in target))
+    if length == 0.0:
+        return F.lit(None).cast("double")
+    unit = F.lit([x / length for x in target])
+    return dot(v, unit) / F.nullif(F.sqrt(squared_norm(v)), F.lit(0.0))
 
 
 def euclidean(a: Column, b: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..dataset import Dataset, quoted, require_fields
+from ..functions.predicates import part_lists
 
 MANDATORY = ("filepath", "tags")
 
@@ -39,12 +40,15 @@ def _tree(paths: list[str]) -> dict:
     return tree
 
 
-def _project(value: Column, dtype: T.DataType, keep: dict) -> Column:
+def _project(value: Column, dtype: T.DataType, keep: dict, path: str | None = None) -> Column:
     """Rebuild a nested value with only the fields of the tree."""
     if not keep:
         return value
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda x: _project(x, dtype.elementType, keep))
+        element = dtype.elementType
+        if path is not None and isinstance(element, T.StructType) and not any(keep.values()):
+            return F.expr(part_lists(path, [f.name for f in element.fields if f.name in keep]))
+        return F.transform(value, lambda x: _project(x, element, keep))
     rebuilt = F.struct(
         *[
             _project(value[f.name], f.dataType, keep[f.name]).alias(f.name)
@@ -69,7 +73,11 @@ def _without(value: Column, dtype: T.DataType, drop: dict) -> Column:
 
 def select_fields(ds: Dataset, fields: str | list[str] | None = None) -> Dataset:
     """Keep the listed fields. Id, filepath and tags always stay, and a nested path
-    keeps just that part of its field [chosen]. None keeps only the mandatory ones."""
+    keeps just that part of its field [chosen]. None keeps only the mandatory ones.
+
+    Parts of a label list are read alone from storage; a null in the list becomes a
+    label whose fields are null [chosen].
+    """
     paths = [fields] if isinstance(fields, str) else list(fields or [])
     require_fields(ds, paths)
     tree = _tree(paths + _always_kept(ds))
@@ -77,7 +85,8 @@ def select_fields(ds: Dataset, fields: str | list[str] | None = None) -> Dataset
     kept = []
     for f in ds.df.schema.fields:
         if f.name in tree:
-            kept.append(_project(F.col(quoted(f.name)), f.dataType, tree[f.name]).alias(f.name))
+            value = _project(F.col(quoted(f.name)), f.dataType, tree[f.name], f.name)
+            kept.append(value.alias(f.name))
         elif f.name in ds.order:
             kept.append(F.col(quoted(f.name)))
     return ds.with_df(ds.df.select(*kept), label_fields=None)

@@ -36,7 +36,7 @@ def filter_labels(
     """
     require_fields(ds, [field])
     # Asked before the list is rebuilt: the test stops at the first label that passes.
-    df = ds.df.filter(any_label(field, filter)) if only_matches else ds.df
+    df = ds.df.filter(any_label(ds.df.schema, field, filter)) if only_matches else ds.df
     return ds.with_df(with_path(df, field, keep_labels(field, filter)))
 
 

@@ -39,6 +39,11 @@ class Change:
         """One row ``n``: the samples touched."""
         return self.flagged.df.agg(F.count_if(_TOUCHED).alias("n"))
 
+    def ids(self) -> DataFrame:
+        """The ids of the samples touched, in column ``sample_id``."""
+        touched = self.flagged.df.filter(_TOUCHED)
+        return touched.select(F.col(quoted(self.flagged.id_col)).alias("sample_id"))
+
     def write(self, path: str, format: str = "parquet") -> int:
         """Write the new version and return the count, in one job."""
         seen = Observation()

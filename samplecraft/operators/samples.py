@@ -37,7 +37,7 @@ def match_labels(
     require_fields(ds, names)
     found = F.lit(False)
     for name in names:
-        found = found | any_label(name, filter)
+        found = found | any_label(ds.df.schema, name, filter)
     return ds.with_df(ds.df.filter(found if bool else ~found))
 
 
@@ -87,7 +87,11 @@ def _select_keys(ds: Dataset, field: str, keys, ordered: bool) -> Dataset:
         if not ordered and len(keys) <= INLINE_VALUES:
             # A literal list reaches the Parquet scan as a pushed-down filter.
             return ds.with_df(ds.df.filter(value.isin(keys) if keys else F.lit(False)))
-    wanted = keys_with_position(ds.spark, keys, dtype, ordered)
+    if not ordered and isinstance(keys, DataFrame):
+        # A semi-join does not mind repeated keys: no need to shuffle them apart first.
+        wanted = keys.select(F.col(quoted(keys.columns[0])).cast(dtype).alias("_key"))
+    else:
+        wanted = keys_with_position(ds.spark, keys, dtype, ordered)
     # No broadcast hint: the key list may be long. Spark broadcasts it only when its
     # known size allows; otherwise adaptive execution splits a skewed field value.
     on = value == F.col("_key")

@@ -13,6 +13,7 @@ from ..dataset import ORDER, Dataset, field_type, quoted, quoted_path
 from ..functions import vectors as V
 from ..plans import vector_cells
 from ..plans.skew import attach
+from ..plans.staging import staged
 from .ordering import limit
 from .samples import select
 
@@ -71,13 +72,15 @@ def sort_by_similarity(
     if metric not in V.METRICS:
         raise ValueError(f"metric must be one of {', '.join(V.METRICS)}")
     vec = embedding_field(ds, brain_key)
-    value, target = F.col(quoted_path(vec)), F.lit(_query_vector(ds, query, vec))
+    value, target = F.col(quoted_path(vec)), _query_vector(ds, query, vec)
     if metric == "cosine":
-        apart = F.lit(1.0) - V.cosine(value, target)
+        apart = F.lit(1.0) - V.cosine_to(value, target)
     else:
-        apart = V.euclidean(value, target)
-    df = ds.df.withColumn(ORDER, apart)
-    df = df.filter(F.col(ORDER).isNotNull() & ~F.isnan(ORDER))
+        apart = V.euclidean(value, F.lit(target))
+    # A filter on the distance would be pushed below it and compute it twice; unwinding
+    # a list of at most one distance drops the same rows and computes it once.
+    known = F.filter(F.array(apart), lambda d: d.isNotNull() & ~F.isnan(d))
+    df = ds.df.drop(ORDER).select("*", F.explode(known).alias(ORDER))
     if dist_field is not None:
         df = df.withColumn(dist_field, F.col(ORDER))
     view = ds.with_df(df, order=(ORDER,), reverse=False)
@@ -214,20 +217,21 @@ def uniqueness(
     found = vector_cells.nearest(cells, members, k + 1, same=True)
     # One distinct vector stands for all its copies; a sample is no neighbour of itself.
     others = F.col("copies") - F.when(F.col("neighbour") == F.col("key"), 1).otherwise(0)
-    before = (
-        Window.partitionBy("key").orderBy("gap", "neighbour").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    nearer = Window.partitionBy("key").orderBy("gap", "neighbour")
+    before = nearer.rowsBetween(Window.unboundedPreceding, -1)
     weighted = (
         found.withColumn("others", others)
         .withColumn("seen", F.coalesce(F.sum("others").over(before), F.lit(0)))
         .withColumn("used", F.greatest(F.least("others", F.lit(k) - F.col("seen")), F.lit(0)))
     )
+    apart = F.sum(F.col("used") * F.greatest("gap", F.lit(0.0)))
     means = weighted.groupBy("key").agg(
-        (F.sum(F.col("used") * F.greatest("gap", F.lit(0.0))) / F.nullif(F.sum("used"), F.lit(0))).alias("mean")
+        (apart / F.nullif(F.sum("used"), F.lit(0))).alias("mean")
     )
+    means = staged(means, "means")
     per_vector = members.select("key", "vec", "copies").join(means, "key").drop("key")
     largest = means.agg(F.max("mean")).scalar()
-    scaled = F.when(F.col("mean").isNull() | (largest == 0), F.when(F.col("mean").isNull(), 1.0).otherwise(0.0))
+    scaled = F.when(F.col("mean").isNull(), 1.0).when(largest == 0, 0.0)
     return attach(rows, per_vector, "vec").select(
         "id", scaled.otherwise(F.col("mean") / largest).alias("uniqueness")
     )

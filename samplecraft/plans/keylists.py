@@ -39,20 +39,18 @@ def key_table(
 def keys_with_position(
     spark: SparkSession, keys, dtype: T.DataType, need_position: bool
 ) -> DataFrame:
-    """Distinct keys as ``(_key, _position)``; the first position of each one wins.
+    """Distinct keys as ``_key``, and if needed their first place as ``_position``.
 
     A DataFrame brings the keys in its first column and, for an ordered selection, a
     ``position`` column: rows of a DataFrame have no order of their own.
     """
     if isinstance(keys, DataFrame):
-        if need_position and "position" not in keys.columns:
+        key = F.col(f"`{keys.columns[0]}`").cast(dtype).alias("_key")
+        if not need_position:
+            return keys.select(key).distinct()
+        if "position" not in keys.columns:
             raise ValueError("an ordered selection by DataFrame needs a 'position' column")
-        position = F.min("position") if "position" in keys.columns else F.lit(0)
-        return (
-            keys.withColumn("_key", F.col(f"`{keys.columns[0]}`").cast(dtype))
-            .groupBy("_key")
-            .agg(position.cast("long").alias("_position"))
-        )
+        return keys.groupBy(key).agg(F.min("position").cast("long").alias("_position"))
     unique = first_occurrences(keys)
     return key_table(
         spark,

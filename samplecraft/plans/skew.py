@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import staged
+
 HOT_SHARE = 1_000  # a key is hot from one thousandth of all rows on
 
 
@@ -14,11 +16,16 @@ def attach(rows: DataFrame, per_key: DataFrame, on: str, copies: str = "copies")
 
     Hot keys cannot number more than ``HOT_SHARE``, since each has at least that part
     of the rows: their side is broadcast and their rows are never shuffled onto one
-    task. The other keys are small and join by shuffle.
+    task. The other keys are small and join by shuffle. ``per_key`` is written first,
+    because it is read three times and may be costly.
     """
-    total = per_key.agg(F.sum(copies)).scalar()
-    is_hot = F.coalesce(F.col(copies) * HOT_SHARE >= total, F.lit(False))
-    hot, rest = per_key.filter(is_hot), per_key.filter(~is_hot)
+    per_key = staged(per_key, "per-key")
+    total = per_key.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0]
+    least = max(-(-total // HOT_SHARE), 1)
+    hot = per_key.filter(F.col(copies) >= least)
+    rest = per_key.filter(F.col(copies) < least)
     stays = rows.join(F.broadcast(hot), on)
+    if least == 1:
+        return stays
     moves = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(rest, on)
     return stays.unionByName(moves)

@@ -11,9 +11,10 @@ only when the triangle inequality cannot rule it out, so nothing is missed:
 
 (Das Sarma, He and Chaudhuri, ClusterJoin, 2014; Lu et al., k nearest neighbour joins,
 2012.) Identical vectors are collapsed to one before anything is compared. Cells are
-split into chunks of about ``CELL_ROWS`` on both sides, so one crowded cell becomes
-many small tasks, each of which scores one chunk against another with one matrix
-product and emits only its summary, never its pairs.
+split into chunks on both sides, so one crowded cell becomes many tasks of bounded
+size. A task scores one chunk against another, a tile of matrix products at a time, and
+emits only a summary per query, never its pairs. A chunk is shipped once per opposite
+chunk, so chunks are as large as a task's memory comfortably allows.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ from .staging import staged, written
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CELL_ROWS = 2_048
+CELL_ROWS = 2_048  # members per cell, until there are MAX_PIVOTS cells
 MAX_PIVOTS = 1_024
+CHUNK_CELLS = 8  # a chunk holds up to this many times CELL_ROWS
+TILE_ROWS = 512  # queries scored at a time inside a task
 _SLACK = 1e-6  # more than the rounding error of a distance, relative to vector length
 
 
@@ -74,8 +77,12 @@ def distances(a: np.ndarray, b: np.ndarray, unit: bool) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 * g if unit else g, 0.0))
 
 
-def gap_to_distance(gap: np.ndarray, unit: bool) -> np.ndarray:
-    return np.sqrt(np.maximum(2.0 * gap if unit else gap, 0.0))
+def same_keys(queries: pa.Table, members: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Where a query is itself among the members: row numbers on both sides."""
+    place = pc.index_in(queries["key"], value_set=members["key"].combine_chunks())
+    place = pc.fill_null(place, -1).to_numpy()
+    rows = np.nonzero(place >= 0)[0]
+    return rows, place[rows]
 
 
 # -- collapsing ----------------------------------------------------------------------
@@ -187,7 +194,8 @@ def build_cells(vectors: DataFrame, unit: bool, cell_rows: int = CELL_ROWS) -> C
     facts = members.groupBy("cell").agg(F.count(F.lit(1)), F.min("apart"), F.max("apart"))
     for cell, n, low, high in facts.collect():  # one row per pivot
         rows[cell], inner[cell], outer[cell] = n, low, high
-    return Cells(spark, path, schema, pivots, rows, inner, outer, unit, cell_rows)
+    chunk_rows = CHUNK_CELLS * cell_rows
+    return Cells(spark, path, schema, pivots, rows, inner, outer, unit, chunk_rows)
 
 
 def routed(cells: Cells, queries: DataFrame, radius: float | None) -> DataFrame:
@@ -240,13 +248,13 @@ def probe(
     cells: Cells,
     visits: DataFrame,
     payload: list[str],
-    summarise: Callable[[pa.Table, pa.Table], pa.Table],
+    summarise: Callable[[pa.Table, np.ndarray, pa.Table, np.ndarray], pa.Table],
     schema: T.StructType,
 ) -> DataFrame:
     """Score every visiting query against the members of its cell, chunk by chunk.
 
-    ``summarise(queries, members)`` sees two bounded chunks and returns one summary row
-    or a few per query.
+    ``summarise(queries, their vectors, members, their vectors)`` sees a tile of queries
+    and a chunk of members in key order, and returns one summary row or a few per query.
     """
     visiting = np.zeros(len(cells.rows), np.int64)
     for cell, n in visits.groupBy("cell").count().collect():  # one row per pivot
@@ -267,12 +275,17 @@ def probe(
         "q", F.pmod(F.xxhash64(F.lit("q"), "key"), query_chunks).cast("int")
     ).withColumn("m", F.explode(F.sequence(F.lit(0), member_chunks - 1)))
     group = ["cell", "q", "m"]
-    nothing = to_arrow_schema(schema).empty_table()
+    nothing, unit, tile = to_arrow_schema(schema).empty_table(), cells.unit, TILE_ROWS
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             return nothing
-        return summarise(left, right)
+        right = right.take(pc.sort_indices(right["key"])).combine_chunks()
+        asked, known = matrix(left["vec"], unit), matrix(right["vec"], unit)
+        return pa.concat_tables(
+            summarise(left.slice(i, tile), asked[i : i + tile], right, known)
+            for i in range(0, len(asked), tile)
+        )
 
     return queries.groupBy(*group).cogroup(members.groupBy(*group)).applyInArrow(score, schema)
 
@@ -293,13 +306,9 @@ def neighbour_counts(cells: Cells, least_cosine: float) -> DataFrame:
         ]
     )
 
-    def summarise(q: pa.Table, m: pa.Table) -> pa.Table:
-        m = m.take(pc.sort_indices(m["key"]))
-        close = matrix(q["vec"], True) @ matrix(m["vec"], True).T
-        itself = pc.index_in(q["key"], value_set=m["key"].combine_chunks())
-        mine = itself.to_pandas().to_numpy(dtype=np.float64)
-        rows = np.nonzero(~np.isnan(mine))[0]
-        close[rows, mine[rows].astype(np.int64)] = 1.0
+    def summarise(q: pa.Table, asked: np.ndarray, m: pa.Table, known: np.ndarray) -> pa.Table:
+        close = asked @ known.T
+        close[same_keys(q, m)] = 1.0
         hit = close >= least_cosine
         some = np.nonzero(hit.any(axis=1))[0]
         first = hit[some].argmax(axis=1)
@@ -342,14 +351,10 @@ def nearest(cells: Cells, queries: DataFrame, need: int, same: bool) -> DataFram
     )
     unit = cells.unit
 
-    def summarise(q: pa.Table, m: pa.Table) -> pa.Table:
-        m = m.take(pc.sort_indices(m["key"]))
-        gap = gaps(matrix(q["vec"], unit), matrix(m["vec"], unit), unit)
+    def summarise(q: pa.Table, asked: np.ndarray, m: pa.Table, known: np.ndarray) -> pa.Table:
+        gap = gaps(asked, known, unit)
         if same:
-            itself = pc.index_in(q["key"], value_set=m["key"].combine_chunks())
-            mine = itself.to_pandas().to_numpy(dtype=np.float64)
-            at = np.nonzero(~np.isnan(mine))[0]
-            gap[at, mine[at].astype(np.int64)] = 0.0
+            gap[same_keys(q, m)] = 0.0
         n = min(need, m.num_rows)
         worst = np.partition(gap, n - 1, axis=1)[:, n - 1]
         rows, cols = np.nonzero(gap <= worst[:, None])

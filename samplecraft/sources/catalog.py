@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -55,13 +56,14 @@ def load_dataset(
 
 
 def dataset_info(ds: Dataset, persistent: bool = True) -> DataFrame:
-    """One row: name, media_type, num_samples, persistent, tags, fields."""
+    """One row: name, media_type, num_samples, persistent, tags, info (as JSON), fields."""
     return ds.df.agg(F.count(F.lit(1)).alias("num_samples")).select(
         F.lit(ds.name).alias("name"),
         F.lit(ds.media_type).cast("string").alias("media_type"),
         "num_samples",
         F.lit(persistent).alias("persistent"),
         F.lit(list(ds.tags)).cast("array<string>").alias("tags"),
+        F.lit(json.dumps(dict(ds.info), default=str)).alias("info"),
         F.lit(ds.public_columns()).alias("fields"),
     )
 

@@ -129,7 +129,7 @@ def test_summary_of_nothing(spark):
 
 def test_list_and_load(spark, ten, tmp_path):
     path = new_path(spark, "listed")
-    sc.export_samples(ten.with_df(ten.df, name="ten", media_type="image", tags=("demo",)), path)
+    sc.export_samples(ten.with_df(ten.df, name="ten", media_type="image", tags=("demo",), info={"v": 1}), path)
     sources = {"ten": path, "gone": str(tmp_path / "gone")}
     rows = {r.name: r for r in sc.list_datasets(spark, sources).collect()}
     assert (rows["ten"].num_samples, rows["ten"].media_type, rows["ten"].tags) == (10, "image", ["demo"])
@@ -138,6 +138,7 @@ def test_list_and_load(spark, ten, tmp_path):
     ds = sc.load_dataset(spark, "ten", sources)
     info = sc.dataset_info(ds).first()
     assert info.num_samples == 10 and info.fields == ten.df.columns
+    assert info.info == '{"v": 1}' and info.persistent
     with pytest.raises(sc.UnknownDataset):
         sc.load_dataset(spark, "nobody", sources)
 

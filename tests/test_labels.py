@@ -1,9 +1,12 @@
 """Stages inside label lists, field selection, facets."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import samplecraft as sc
+from samplecraft.plans.staging import new_path
 
 from .conftest import id_set, ids
 
@@ -82,6 +85,31 @@ def test_select_nested_fields(labelled):
     assert "confidence" in both.df.schema["animals"].dataType.elementType.fieldNames()
 
 
+def test_label_parts_are_read_alone(spark, labelled):
+    path = new_path(spark, "nested")
+    sc.export_samples(labelled, path)
+    stored = sc.import_samples(spark, path)
+
+    def scanned(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return re.findall(r"animals:array<struct<(.*?)>>", plan)
+
+    view = sc.filter_labels(
+        sc.select_fields(stored, ["animals.label", "animals.confidence"]),
+        "animals", "l.confidence > 0.5",
+    )
+    counts = sc.count_values(view, "animals.label")
+    assert scanned(counts) == ["label:string,confidence:double"]
+    assert {r.value: r.n for r in counts.collect()} == {"cat": 1, "dog": 1}
+    for sure in ("l.confidence > 0.5", lambda l: l["confidence"] > 0.5):
+        found = sc.match_labels(stored, sure, fields="animals")
+        assert scanned(found.df.select("sample_id")) == ["confidence:double"]
+        assert id_set(found) == {"a", "e"}
+    whole = sc.match_labels(stored, "l IS NOT NULL AND l.label = 'cat'", fields="animals")
+    assert id_set(whole) == {"a", "b"}
+    assert scanned(sc.count_values(stored, "animals.label")) == ["label:string"]
+
+
 def test_exclude_fields(ten):
     view = sc.exclude_fields(ten, ["score"])
     assert "score" not in view.df.columns and view.df.count() == 10

@@ -161,6 +161,7 @@ def test_add_samples(six):
     )
     grown = change.dataset
     assert count(change) == 2 and grown.df.count() == 8
+    assert {r.sample_id for r in change.ids().collect()} == set(ids(grown)[6:])
     assert len(set(ids(grown))) == 8 and ids(grown)[:6] == ids(six)
     assert [r.score for r in grown.sorted_rows().collect()][6:] == [0.5, None]
     again = sc.add_samples(six, [{"filepath": "x.jpg"}, {"filepath": "x.jpg"}], "batch").dataset

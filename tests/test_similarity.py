@@ -5,6 +5,7 @@ import pytest
 
 import samplecraft as sc
 from samplecraft.operators.similarity import embedding_field
+from samplecraft.plans import skew, vector_cells
 
 from .conftest import dataset, ids
 
@@ -23,6 +24,13 @@ def clustered(n=240, dim=6, seed=0):
     return m.astype(np.float32)
 
 
+@pytest.fixture
+def small_chunks(monkeypatch):
+    """Several chunks per cell and several tiles per chunk, as with much data."""
+    monkeypatch.setattr(vector_cells, "CHUNK_CELLS", 1)
+    monkeypatch.setattr(vector_cells, "TILE_ROWS", 5)
+
+
 def cosines(a, b):
     a, b = a.astype(float), b.astype(float)
     a = a / np.linalg.norm(a, axis=1, keepdims=True)
@@ -30,12 +38,8 @@ def cosines(a, b):
     return a @ b.T
 
 
-CELLS = [8, 40, 2_048]
-
-
-@pytest.mark.parametrize("cell_rows", CELLS)
-@pytest.mark.parametrize("threshold", [0.9, 0.995])
-def test_near_duplicates(spark, cell_rows, threshold):
+@pytest.mark.parametrize("cell_rows, threshold", [(8, 0.9), (40, 0.995), (2_048, 0.9)])
+def test_near_duplicates(spark, small_chunks, cell_rows, threshold):
     m = clustered()
     found = sc.near_duplicates(vectors(spark, m), threshold, cell_rows=cell_rows).collect()
     close = cosines(m, m) >= threshold
@@ -59,9 +63,10 @@ def test_copies_are_near_duplicates_at_threshold_one(spark):
     assert {r.n_near for r in found if r.id_b in copies} == {len(copies) - 1}
 
 
-@pytest.mark.parametrize("cell_rows", CELLS)
-@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
-def test_knn_self_join(spark, cell_rows, metric):
+@pytest.mark.parametrize(
+    "cell_rows, metric", [(8, "cosine"), (40, "euclidean"), (2_048, "cosine")]
+)
+def test_knn_self_join(spark, small_chunks, cell_rows, metric):
     m = clustered()
     ds = vectors(spark, m, partitions=5)
     k = 4
@@ -98,8 +103,8 @@ def test_copies_tie_by_smallest_id(spark):
     assert len(found) == 60
 
 
-@pytest.mark.parametrize("cell_rows", CELLS)
-def test_knn_join_of_two_tables(spark, cell_rows):
+@pytest.mark.parametrize("cell_rows", [16, 2_048])
+def test_knn_join_of_two_tables(spark, small_chunks, cell_rows):
     base, asked = clustered(seed=1), clustered(n=50, seed=2)
     found = sc.knn_join(vectors(spark, asked), vectors(spark, base), 3, cell_rows=cell_rows)
     got = {(r.query_id, r["rank"]): r.distance for r in found.collect()}
@@ -109,14 +114,25 @@ def test_knn_join_of_two_tables(spark, cell_rows):
         assert distance == pytest.approx(apart[q, rank - 1], abs=1e-9)
 
 
+def test_rare_and_hot_vectors_join_alike(spark, monkeypatch):
+    # With a hot share of one third only the copied vector is hot.
+    monkeypatch.setattr(skew, "HOT_SHARE", 4)
+    m = clustered()
+    assert sc.uniqueness(vectors(spark, m), k=3).count() == len(m)
+    found = sc.near_duplicates(vectors(spark, m), 0.9).collect()
+    close = cosines(m, m) >= 0.9
+    np.fill_diagonal(close, True)
+    assert {r.id_b for r in found} == {b for b in range(len(m)) if close[b].argmax() < b}
+
+
 def test_knn_asks_for_more_than_there_is(spark):
     ds = vectors(spark, np.eye(3, dtype=np.float32))
     assert sc.knn_join(ds, ds, 10, exclude_self=True, cell_rows=1).count() == 6
     assert sc.knn_join(ds, ds, 10).count() == 9
 
 
-@pytest.mark.parametrize("cell_rows", CELLS)
-def test_uniqueness(spark, cell_rows):
+@pytest.mark.parametrize("cell_rows", [16, 2_048])
+def test_uniqueness(spark, small_chunks, cell_rows):
     m = clustered()
     rows = sc.uniqueness(vectors(spark, m), k=5, cell_rows=cell_rows).collect()
     found = {r.id: r.uniqueness for r in rows}
