@@ -136,7 +136,10 @@ def histogram_values(spark, folder):
 @query(
     "histogram_values_in_range",
     histogram_sql(
-        "SELECT CAST(confidence AS DOUBLE) AS value FROM detections", "any_value(0.25)::DOUBLE", "any_value(0.75)::DOUBLE", 7
+        "SELECT CAST(confidence AS DOUBLE) AS value FROM detections",
+        "any_value(0.25)::DOUBLE",
+        "any_value(0.75)::DOUBLE",
+        7,
     ),
     using=(DETECTIONS,),
 )

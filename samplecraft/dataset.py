@@ -42,6 +42,8 @@ class Dataset:
     tags: tuple[str, ...] = ()
     info: Mapping[str, object] = field(default_factory=dict)
     runs: Mapping[str, DataFrame] = field(default_factory=dict)
+    # Of a view that only filters: the table it filters, and the condition.
+    filtered: tuple[DataFrame, Column] | None = field(default=None, compare=False, repr=False)
 
     def __post_init__(self):
         for column in (self.id_col, *self.order):
@@ -53,7 +55,14 @@ class Dataset:
         return self.df.sparkSession
 
     def with_df(self, df: DataFrame, **changes) -> "Dataset":
-        return replace(self, df=df, **changes)
+        return replace(self, df=df, filtered=None, **changes)
+
+    def keep(self, condition: Column) -> "Dataset":
+        """The samples for which the condition is true. A chain of these remembers its
+        condition, so that a mutation can flag the view's samples without a join."""
+        table, before = self.filtered or (self.df, None)
+        both = condition if before is None else before & condition
+        return replace(self, df=self.df.filter(condition), filtered=(table, both))
 
     def with_run(self, key: str, matches: DataFrame) -> "Dataset":
         """Attach an evaluation's match table under a key."""
@@ -61,17 +70,21 @@ class Dataset:
 
     # -- order ---------------------------------------------------------------
 
+    def order_columns(self) -> list[Column]:
+        """The whole sort key, unique because it ends in the id."""
+        names = [c for c in self.order if c != self.id_col]
+        return [F.col(quoted(c)) for c in (*names, self.id_col)]
+
     def order_key(self) -> Column:
-        """The whole sort key as one struct, unique because it ends in the id.
+        """The sort key as one struct.
 
         Spark compares structs field by field with nulls lowest, which is also its
-        ascending sort order, so the key serves both for sorting and for cut-offs.
+        ascending sort order, so the smallest key is the first sample's.
         """
-        names = [c for c in self.order if c != self.id_col]
-        return F.struct(*[F.col(quoted(c)) for c in names], F.col(quoted(self.id_col)))
+        return F.struct(*self.order_columns())
 
-    def sort_column(self) -> Column:
-        return self.order_key().desc() if self.reverse else self.order_key().asc()
+    def sort_columns(self) -> list[Column]:
+        return [c.desc() if self.reverse else c.asc() for c in self.order_columns()]
 
     # -- leaving the library -------------------------------------------------
 
@@ -84,7 +97,7 @@ class Dataset:
 
     def sorted_rows(self) -> DataFrame:
         """The samples in dataset order (a full sort: use it at the sink only)."""
-        return self.df.orderBy(self.sort_column()).select(
+        return self.df.orderBy(*self.sort_columns()).select(
             *[quoted(c) for c in self.public_columns()]
         )
 

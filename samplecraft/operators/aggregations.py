@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from ..dataset import Dataset, quoted, quoted_path, require_fields, resolve_path
+from ..dataset import Dataset, quoted_path, require_fields, resolve_path
 from ..plans import ranking
 from .stages import viewed
 
@@ -155,19 +155,23 @@ def get_values(
     """
     require_fields(ds, [field])
     view = viewed(ds, stages)
-    key = view.order_key()
-    rows = view.df.select(F.col(quoted_path(field)).alias("value"), key.alias("_key"))
+    names = [f"_order_{i}" for i in range(len(view.order_columns()))]
+    rows = view.df.select(
+        F.col(quoted_path(field)).alias("value"),
+        *[c.alias(n) for c, n in zip(view.order_columns(), names)],
+    )
+    keys = [F.col(n) for n in names]
     if 0 < limit <= DEFAULT_VALUES:
-        seen = ranking.first_rows(rows, F.col("_key"), limit + 1, view.reverse)
+        seen = ranking.first_rows(rows, keys, limit + 1, view.reverse)
         # At most DEFAULT_VALUES + 1 values: an undivided window is safe here.
-        order = Window.orderBy(ranking.directed(F.col("_key"), view.reverse))
+        order = Window.orderBy(*ranking.directed(keys, view.reverse))
         place = (F.row_number().over(order) - 1).cast("long")
         placed = seen.select(place.alias("position"), "value")
     else:
         source = rows
         if limit:
-            source = ranking.first_rows(rows, F.col("_key"), limit + 1, view.reverse)
-        placed = ranking.ranked(source, F.col("_key"), view.reverse).select("position", "value")
+            source = ranking.first_rows(rows, keys, limit + 1, view.reverse)
+        placed = ranking.ranked(source, keys, view.reverse).select("position", "value")
     if not limit:
         return placed.withColumn("truncated", F.lit(False))
     more = placed.agg(F.coalesce(F.max("position") >= limit, F.lit(False))).scalar()

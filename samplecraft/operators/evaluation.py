@@ -296,8 +296,12 @@ def to_evaluation_patches(
     kind = (
         F.when(F.col("pred_id").isNull(), "fn").when(F.col("truth_id").isNull(), "fp").otherwise("tp")
     )
+
+    def nothing(name: str) -> Column:
+        return F.coalesce(name, F.lit(""))
+
     patches = rows.select(
-        F.concat_ws("/", "sample_id", F.coalesce("pred_id", F.lit("")), F.coalesce("truth_id", F.lit(""))).alias("patch_id"),
+        F.concat_ws("/", "sample_id", nothing("pred_id"), nothing("truth_id")).alias("patch_id"),
         "sample_id",
         kind.alias("type"),
         "pred_id",

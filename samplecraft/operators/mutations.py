@@ -10,15 +10,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..dataset import Dataset, field_type, quoted, quoted_path, resolve_path, with_path
 from ..functions.predicates import text_array
 from ..plans.keylists import INLINE_VALUES, first_occurrences, key_table
-from ..plans.ranking import ranked
 from .labels import lookup
+from .ordering import positioned
 from .samples import id_flag
 from .stages import apply_stages
 
@@ -106,14 +106,10 @@ def count_sample_tags(ds: Dataset) -> DataFrame:
 # -- values -------------------------------------------------------------------------
 
 
-def _spark_type(values: Sequence) -> T.DataType:
+def _spark_type(spark: SparkSession, values: Sequence) -> T.DataType:
     """The type of a list of Python values, by Spark's own inference."""
-    from pyspark.sql.types import _infer_type, _merge_type
-
-    dtype: T.DataType = T.NullType()
-    for value in values:
-        dtype = _merge_type(dtype, _infer_type(value))
-    return T.StringType() if isinstance(dtype, T.NullType) else dtype
+    known = [(value,) for value in values if value is not None]
+    return spark.createDataFrame(known, ["v"]).schema["v"].dataType if known else T.StringType()
 
 
 def _unique_values(values: DataFrame) -> DataFrame:
@@ -154,7 +150,7 @@ def set_values(
             keys = [str(k) if isinstance(key_type, T.StringType) else k for k in values]
             given = list(values.values())
             table = key_table(
-                ds.spark, {"_key": (keys, key_type), "_value": (given, _spark_type(given))}
+                ds.spark, {"_key": (keys, key_type), "_value": (given, _spark_type(ds.spark, given))}
             )
         else:
             table = _unique_values(values)
@@ -168,14 +164,13 @@ def set_values(
             ds.spark,
             {
                 "position": (list(range(len(given))), T.LongType()),
-                "_value": (given, _spark_type(given)),
+                "_value": (given, _spark_type(ds.spark, given)),
             },
         ).withColumn("_hit", F.lit(True))
-        placed = ranked(ds.df, ds.order_key(), ds.reverse)
-        have = placed.agg(F.count(F.lit(1))).first()[0]
+        have = ds.df.count()
         if have != len(given):
             raise ValueError(f"{len(given)} values for {have} samples")
-        df = placed.join(places, "position", "left").drop("position")
+        df = positioned(ds).join(places, "position").drop("position")
         new, touched = F.col("_value"), F.lit(True)
     if exists:
         old = F.col(quoted_path(field))
@@ -240,7 +235,7 @@ def add_samples(ds: Dataset, samples: Sequence[Mapping] | DataFrame, batch: str)
         for name in names:
             given = [s.get(name) for s in records]
             known = name in ds.df.columns
-            columns[name] = (given, ds.df.schema[name].dataType if known else _spark_type(given))
+            columns[name] = (given, ds.df.schema[name].dataType if known else _spark_type(ds.spark, given))
         samples = key_table(ds.spark, columns)
     else:
         for name in ("filepath", "position"):

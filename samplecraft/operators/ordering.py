@@ -35,18 +35,18 @@ def sort_by(ds: Dataset, field_or_expr: str | Column, reverse: bool = False) ->
 
 def limit(ds: Dataset, limit: int) -> Dataset:
     """The first ``limit`` samples in the current order."""
-    return ds.with_df(ranking.first_rows(ds.df, ds.order_key(), limit, ds.reverse))
+    return ds.with_df(ranking.first_rows(ds.df, ds.order_columns(), limit, ds.reverse))
 
 
 def skip(ds: Dataset, skip: int) -> Dataset:
     """All samples but the first ``skip`` in the current order."""
-    return ds.with_df(ranking.after_rows(ds.df, ds.order_key(), skip, ds.reverse))
+    return ds.with_df(ranking.after_rows(ds.df, ds.order_columns(), skip, ds.reverse))
 
 
 def page(ds: Dataset, skip_rows: int, limit_rows: int) -> Dataset:
     """A skip followed by a limit; a small page is one top-k."""
     if 0 <= skip_rows and 0 < limit_rows and skip_rows + limit_rows <= ranking.TOPK_ROWS:
-        rows = ds.df.orderBy(ds.sort_column()).offset(skip_rows).limit(limit_rows)
+        rows = ds.df.orderBy(*ds.sort_columns()).offset(skip_rows).limit(limit_rows)
         return ds.with_df(rows)
     return limit(skip(ds, skip_rows), limit_rows)
 
@@ -71,16 +71,27 @@ def take(ds: Dataset, take: int, seed=None) -> Dataset:
 
     A seed makes the draw repeatable [chosen].
     """
-    key = F.struct(_random_key(ds, seed), F.col(quoted(ds.id_col)))
-    return ds.with_df(ranking.first_rows(ds.df, key, take))
+    keys = [_random_key(ds, seed), F.col(quoted(ds.id_col))]
+    return ds.with_df(ranking.first_rows(ds.df, keys, take))
 
 
 def with_position(ds: Dataset, first: int = 0) -> DataFrame:
-    """The samples with their place in dataset order in column ``position``."""
-    needed = dict.fromkeys((*ds.public_columns(), *ds.order, ds.id_col))
-    rows = ds.with_df(ds.df.select(*[quoted(c) for c in needed]))
-    placed = ranking.ranked(rows.df, rows.order_key(), ds.reverse, first)
-    return placed.select(*[quoted(c) for c in ds.public_columns()], "position")
+    """The samples with their place in dataset order in column ``position``.
+
+    Only ids and sort keys are ranked and written; the samples themselves take part in
+    one join by id.
+    """
+    return positioned(ds, first).select(*[quoted(c) for c in ds.public_columns()], "position")
+
+
+def positioned(ds: Dataset, first: int = 0) -> DataFrame:
+    """``ds.df``, private columns included, with the column ``position``."""
+    names = [f"_order_{i}" for i in range(len(ds.order_columns()))]
+    bare = ds.df.select(*[c.alias(n) for c, n in zip(ds.order_columns(), names)])
+    places = ranking.ranked(bare, [F.col(n) for n in names], ds.reverse, first)
+    places = places.select(F.col(names[-1]).alias("_id"), "position")
+    mine = F.col(quoted(ds.id_col)).eqNullSafe(F.col("_id"))  # a group's key may be null
+    return ds.df.join(places, mine).drop("_id")
 
 
 def group_by(ds: Dataset, field_or_expr: str | Column) -> Dataset:

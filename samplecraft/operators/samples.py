@@ -17,7 +17,7 @@ from ..plans.keylists import INLINE_VALUES, as_text, first_occurrences, keys_wit
 
 def match(ds: Dataset, filter: Column | str) -> Dataset:
     """Keep samples where the predicate is true; null counts as false."""
-    return ds.with_df(ds.df.filter(sample_predicate(filter)))
+    return ds.keep(sample_predicate(filter))
 
 
 def match_labels(
@@ -38,7 +38,7 @@ def match_labels(
     found = F.lit(False)
     for name in names:
         found = found | any_label(ds.df.schema, name, filter)
-    return ds.with_df(ds.df.filter(found if bool else ~found))
+    return ds.keep(found if bool else ~found)
 
 
 def match_tags(
@@ -51,7 +51,7 @@ def match_tags(
     require_fields(ds, ["tags"])
     wanted = first_occurrences([tags] if isinstance(tags, str) else tags)
     found = has_tags(F.col("tags"), wanted, all)
-    return ds.with_df(ds.df.filter(found if bool else ~found))
+    return ds.keep(found if bool else ~found)
 
 
 def filter_field(
@@ -65,7 +65,7 @@ def filter_field(
     require_fields(ds, [field])
     keep = sample_predicate(filter)
     if only_matches:
-        return ds.with_df(ds.df.filter(keep))
+        return ds.keep(keep)
     return ds.with_df(with_path(ds.df, field, F.when(keep, F.col(quoted_path(field)))))
 
 
@@ -76,7 +76,7 @@ def exists(ds: Dataset, field: str, bool: bool = True) -> Dataset:
     """
     require_fields(ds, [field])
     value = F.col(quoted_path(field))
-    return ds.with_df(ds.df.filter(value.isNotNull() if bool else value.isNull()))
+    return ds.keep(value.isNotNull() if bool else value.isNull())
 
 
 def _select_keys(ds: Dataset, field: str, keys, ordered: bool) -> Dataset:
@@ -86,7 +86,7 @@ def _select_keys(ds: Dataset, field: str, keys, ordered: bool) -> Dataset:
         keys = first_occurrences(keys)
         if not ordered and len(keys) <= INLINE_VALUES:
             # A literal list reaches the Parquet scan as a pushed-down filter.
-            return ds.with_df(ds.df.filter(value.isin(keys) if keys else F.lit(False)))
+            return ds.keep(value.isin(keys) if keys else F.lit(False))
     if not ordered and isinstance(keys, DataFrame):
         # A semi-join does not mind repeated keys: no need to shuffle them apart first.
         wanted = keys.select(F.col(quoted(keys.columns[0])).cast(dtype).alias("_key"))
@@ -138,7 +138,7 @@ def select_group_slices(
     if media_type is not None:
         require_fields(ds, ["media_type"])
         kept = kept & (F.col("media_type") == media_type)
-    return ds.with_df(ds.df.filter(kept))
+    return ds.keep(kept)
 
 
 def filter_view(
@@ -168,7 +168,7 @@ def filter_view(
         kept = kept & F.col(quoted_path(path)).isNotNull()
     if tags:
         kept = kept & has_tags(F.col("tags"), [tags] if isinstance(tags, str) else list(tags))
-    view = ds.with_df(ds.df.filter(kept))
+    view = ds.keep(kept)
     if sample_ids is not None:
         view = select(view, sample_ids)
     return view if limit is None else limit_samples(view, limit)
@@ -192,6 +192,9 @@ def id_flag(ds: Dataset, view: Dataset | None, sample_ids, flag: str) -> DataFra
     if sample_ids is None and view is None:
         return ds.df.withColumn(flag, F.lit(True))
     if sample_ids is None:
+        if view.filtered is not None and view.filtered[0] is ds.df:
+            # The view only filters this very table: its condition is the flag.
+            return ds.df.withColumn(flag, F.coalesce(view.filtered[1], F.lit(False)))
         sample_ids = view.df.select(quoted(view.id_col))
     dtype = ds.df.schema[ds.id_col].dataType
     wanted = keys_with_position(ds.spark, sample_ids, dtype, False).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..dataset import Dataset, field_type, quoted, quoted_path
+from ..dataset import Dataset, field_type, quoted_path
 from ..plans.keylists import key_table
 
 GEO_POINT = T.StructType(

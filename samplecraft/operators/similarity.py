@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from ..dataset import ORDER, Dataset, field_type, quoted, quoted_path
+from ..dataset import ORDER, Dataset, field_type, quoted_path
 from ..functions import vectors as V
 from ..plans import vector_cells
 from ..plans.skew import attach
@@ -94,7 +92,7 @@ def knn_join(
     brain_key: str | None = None,
     metric: str = "cosine",
     exclude_self: bool = False,
-    cell_rows: int = vector_cells.CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """``query_id, rank, neighbour_id, distance``: the k nearest base samples of every
     query sample, exactly; ties go to the smaller id.
@@ -152,7 +150,7 @@ def near_duplicates(
     ds: Dataset,
     threshold: float,
     brain_key: str | None = None,
-    cell_rows: int = vector_cells.CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """``id_a, id_b, cosine, n_near``: samples ``id_b`` that are near duplicates of an
     earlier one.
@@ -197,7 +195,7 @@ def uniqueness(
     ds: Dataset,
     k: int = 5,
     brain_key: str | None = None,
-    cell_rows: int = vector_cells.CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """``id, uniqueness``: the mean cosine distance to the k nearest other samples,
     divided by the largest such mean, so the most isolated sample has 1 [chosen].

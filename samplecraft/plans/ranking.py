@@ -9,7 +9,8 @@ never move, and only the narrow sort keys are ranked:
 * beyond: keys range-partitioned and sorted, written once, and ranked as
   ``rows in earlier partitions + index within the partition``.
 
-The key ends in the unique id, so a sort value shared by a third of the rows is split
+A key is a list of columns that are compared one by one, nulls lowest; as a struct it
+compares the same way. It ends in the unique id, so a sort value shared by a third of the rows is split
 over range partitions like any other.
 """
 
@@ -27,21 +28,21 @@ TOPK_KEYS = 100_000  # bare sort keys one top-k task may hold
 _INDEX_BITS = 33  # monotonically_increasing_id: partition above, row index below
 
 
-def directed(key: Column, reverse: bool) -> Column:
-    return key.desc() if reverse else key.asc()
+def directed(keys: list[Column], reverse: bool) -> list[Column]:
+    return [k.desc() if reverse else k.asc() for k in keys]
 
 
-def ranked(df: DataFrame, key: Column, reverse: bool = False, first: int = 0) -> DataFrame:
+def ranked(df: DataFrame, keys: list[Column], reverse: bool = False, first: int = 0) -> DataFrame:
     """All rows of ``df`` with their global position (from ``first``) in ``position``.
 
-    One range shuffle and one write. The table is written before it is counted because
-    range boundaries are sampled: two runs of the same plan may cut differently.
+    Meant for narrow rows: it takes one range shuffle and one write of all columns. The
+    table is written before it is counted because range boundaries are sampled: two runs
+    of the same plan may cut differently.
     """
     names = df.columns
     placed = (
-        df.withColumn("_key", key)
-        .repartitionByRange(directed(F.col("_key"), reverse))
-        .sortWithinPartitions(directed(F.col("_key"), reverse))
+        df.repartitionByRange(*directed(keys, reverse))
+        .sortWithinPartitions(*directed(keys, reverse))
         .select(
             *[F.col(f"`{c}`") for c in names],
             F.spark_partition_id().alias("_part"),
@@ -62,33 +63,31 @@ def ranked(df: DataFrame, key: Column, reverse: bool = False, first: int = 0) ->
     )
 
 
-def nth_key(df: DataFrame, key: Column, n: int, reverse: bool = False) -> Column:
-    """The key of the n-th row (from 1) as a scalar subquery; the last one if fewer."""
-    keys = df.select(key.alias("_cut"))
+def nth_key(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> Column:
+    """The key of the n-th row (from 1), or of the last one if there are fewer, as a
+    scalar subquery that gives a struct."""
+    bare = df.select(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)])
+    keys = [F.col(c) for c in bare.columns]
     if n <= TOPK_KEYS:
-        cut = (
-            keys.orderBy(directed(F.col("_cut"), reverse))
-            .limit(n)
-            .orderBy(directed(F.col("_cut"), not reverse))
-            .limit(1)
-        )
-    else:
-        positions = ranked(keys, F.col("_cut"), reverse)
-        cut = positions.filter(F.col("position") < n).agg(F.max_by("_cut", "position"))
-    return cut.scalar()
+        first = bare.orderBy(*directed(keys, reverse)).limit(n)
+        last = first.orderBy(*directed(keys, not reverse)).limit(1)
+        return last.select(F.struct(*keys)).scalar()
+    positions = ranked(bare, keys, reverse)
+    cut = F.max_by(F.struct(*keys), F.col("position"))
+    return positions.filter(F.col("position") < n).agg(cut).scalar()
 
 
-def first_rows(df: DataFrame, key: Column, n: int, reverse: bool = False) -> DataFrame:
+def first_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> DataFrame:
     if n <= 0:
         return df.limit(0)
     if n <= TOPK_ROWS:
-        return df.orderBy(directed(key, reverse)).limit(n)
-    cut = nth_key(df, key, n, reverse)
+        return df.orderBy(*directed(keys, reverse)).limit(n)
+    cut, key = nth_key(df, keys, n, reverse), F.struct(*keys)
     return df.filter(key >= cut if reverse else key <= cut)
 
 
-def after_rows(df: DataFrame, key: Column, n: int, reverse: bool = False) -> DataFrame:
+def after_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> DataFrame:
     if n <= 0:
         return df
-    cut = nth_key(df, key, n, reverse)
+    cut, key = nth_key(df, keys, n, reverse), F.struct(*keys)
     return df.filter(key < cut if reverse else key > cut)

@@ -39,10 +39,11 @@ from .staging import staged, written
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CELL_ROWS = 2_048  # members per cell, until there are MAX_PIVOTS cells
-MAX_PIVOTS = 1_024
-CHUNK_CELLS = 8  # a chunk holds up to this many times CELL_ROWS
-TILE_ROWS = 512  # queries scored at a time inside a task
+ONE_CELL_ROWS = 4_096  # up to here a single matrix product is quicker than any cells
+CELL_ROWS = 128  # members per cell: bounds bite when cells are finer than clusters,
+MAX_PIVOTS = 4_096  # and pivots have to fit in every task
+CHUNK_ROWS = 16_384
+TILE_ROWS = 512  # vectors handled at a time inside a task
 _SLACK = 1e-6  # more than the rounding error of a distance, relative to vector length
 
 
@@ -77,6 +78,13 @@ def distances(a: np.ndarray, b: np.ndarray, unit: bool) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 * g if unit else g, 0.0))
 
 
+def tiles(batches, rows: int):
+    """Record batches cut to at most ``rows`` rows, empty ones left out."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def same_keys(queries: pa.Table, members: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Where a query is itself among the members: row numbers on both sides."""
     place = pc.index_in(queries["key"], value_set=members["key"].combine_chunks())
@@ -152,10 +160,10 @@ class Cells:
 def assigned(vectors: DataFrame, pivots: np.ndarray, unit: bool) -> DataFrame:
     """``vectors`` with ``cell``, the nearest pivot, and ``apart``, the distance to it."""
 
+    tile = TILE_ROWS
+
     def place(batches):
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in tiles(batches, tile):
             apart = distances(matrix(batch["vec"], unit), pivots, unit)
             cell = apart.argmin(axis=1)
             nearest_one = apart[np.arange(len(cell)), cell]
@@ -174,8 +182,9 @@ def assigned(vectors: DataFrame, pivots: np.ndarray, unit: bool) -> DataFrame:
     return vectors.mapInArrow(place, schema)
 
 
-def build_cells(vectors: DataFrame, unit: bool, cell_rows: int = CELL_ROWS) -> Cells | None:
-    """Cut collapsed vectors into cells; None if there are none.
+def build_cells(vectors: DataFrame, unit: bool, cell_rows: int | None = None) -> Cells | None:
+    """Cut collapsed vectors into cells, of about ``cell_rows`` if given; None if there
+    are no vectors.
 
     Pivots are the vectors first in hash order: a random draw that is the same on every
     run, of bounded size.
@@ -183,6 +192,8 @@ def build_cells(vectors: DataFrame, unit: bool, cell_rows: int = CELL_ROWS) -> C
     total = vectors.count()
     if total == 0:
         return None
+    if cell_rows is None:
+        cell_rows = ONE_CELL_ROWS if total <= ONE_CELL_ROWS else CELL_ROWS
     wanted = min(max(total // cell_rows, 1), MAX_PIVOTS)
     drawn = vectors.orderBy(F.xxhash64("key"), "key").select("vec").limit(wanted).toArrow()
     pivots = matrix(drawn["vec"], unit)
@@ -194,8 +205,7 @@ def build_cells(vectors: DataFrame, unit: bool, cell_rows: int = CELL_ROWS) -> C
     facts = members.groupBy("cell").agg(F.count(F.lit(1)), F.min("apart"), F.max("apart"))
     for cell, n, low, high in facts.collect():  # one row per pivot
         rows[cell], inner[cell], outer[cell] = n, low, high
-    chunk_rows = CHUNK_CELLS * cell_rows
-    return Cells(spark, path, schema, pivots, rows, inner, outer, unit, chunk_rows)
+    return Cells(spark, path, schema, pivots, rows, inner, outer, unit, CHUNK_ROWS)
 
 
 def routed(cells: Cells, queries: DataFrame, radius: float | None) -> DataFrame:
@@ -208,12 +218,10 @@ def routed(cells: Cells, queries: DataFrame, radius: float | None) -> DataFrame:
     pivots, unit, slack = cells.pivots, cells.unit, cells.slack
     inner, outer, filled = cells.inner, cells.outer, cells.rows > 0
     between = distances(pivots, pivots, unit)
-    by_column = radius is None
+    by_column, tile = radius is None, TILE_ROWS
 
     def visit(batches):
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in tiles(batches, tile):
             apart = distances(matrix(batch["vec"], unit), pivots, unit)
             at, home = np.arange(len(apart)), batch["cell"].to_numpy()
             limit = batch["radius"].to_numpy()[:, None] if by_column else radius

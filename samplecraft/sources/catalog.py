@@ -267,9 +267,11 @@ def import_samples(
         raise ValueError(f"{format} needs a schema")
     if format in NESTED_AS_TEXT:
         nested = (T.StructType, T.ArrayType, T.MapType)
-        plain = T.StructType(
-            [T.StructField(f.name, T.StringType() if isinstance(f.dataType, nested) else f.dataType) for f in schema]
-        )
+
+        def stored(f: T.StructField) -> T.DataType:
+            return T.StringType() if isinstance(f.dataType, nested) else f.dataType
+
+        plain = T.StructType([T.StructField(f.name, stored(f)) for f in schema])
         options = {"header": True, **options}
         text = spark.read.format(format).options(**options).schema(plain).load(path)
         df = text.select(

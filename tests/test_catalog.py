@@ -3,7 +3,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import samplecraft as sc
@@ -157,7 +156,8 @@ def test_round_trip(spark, labelled, format):
     sc.export_samples(labelled, path, format=format)
     again = sc.import_samples(spark, path, format=format, schema=labelled.df.schema)
     plain = again.sorted_rows().select("sample_id", "filepath", "tags", "animals.id").collect()
-    assert plain == labelled.sorted_rows().select("sample_id", "filepath", "tags", "animals.id").collect()
+    before = labelled.sorted_rows().select("sample_id", "filepath", "tags", "animals.id")
+    assert plain == before.collect()
     if format in ("json", "csv"):
         with pytest.raises(ValueError, match="schema"):
             sc.import_samples(spark, path, format=format)

@@ -156,7 +156,8 @@ def test_number_facets(labelled):
 
 def test_tag_and_boolean_facets(spark, labelled):
     assert id_set(sc.facet_filter(labelled, {"tags": {"values": ["x"]}})) == {"a", "e"}
-    flagged = labelled.with_df(labelled.df.withColumn("f", F.expr("CASE sample_id WHEN 'a' THEN true WHEN 'b' THEN false END")))
+    flag = F.expr("CASE sample_id WHEN 'a' THEN true WHEN 'b' THEN false END")
+    flagged = labelled.with_df(labelled.df.withColumn("f", flag))
     assert id_set(sc.facet_filter(flagged, {"f": {"true": True, "none": True}})) == {"a", "c", "d", "e"}
     assert id_set(sc.facet_filter(flagged, {"f": {"false": True}})) == {"b"}
     with pytest.raises(ValueError, match="unknown keys"):

@@ -1,7 +1,4 @@
-import os
-
 import pytest
-from pyspark.sql import functions as F
 
 import samplecraft as sc
 from samplecraft.plans.staging import new_path
@@ -51,6 +48,19 @@ def test_tag_selection(six):
     assert count(sc.tag_samples(six, "new", view=stages)) == 2
 
 
+def test_filter_views_are_flagged_without_a_join(six):
+    def plan(view):
+        flagged = sc.tag_samples(six, "new", view=view).dataset.df
+        return flagged._jdf.queryExecution().executedPlan().toString()
+
+    chain = [{"type": "MatchTags", "tags": "tag_1"}, {"type": "Match", "filter": "ord > 1"}]
+    assert "Join" not in plan(chain) and "Join" not in plan(sc.match(six, "ord > 1"))
+    assert count(sc.tag_samples(six, "new", view=chain)) == 2
+    assert "Join" in plan(sc.limit(six, 2))
+    nulls = sc.match(six, "nullif(ord, 1) > 0")
+    assert count(sc.tag_samples(six, "new", view=nulls)) == 4
+
+
 def test_a_bad_view_tags_nobody(six):
     with pytest.raises(ValueError):
         sc.tag_samples(six, "new", view=[{"type": "Match", "filter": "nothing = 1"}])

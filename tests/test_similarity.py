@@ -27,7 +27,7 @@ def clustered(n=240, dim=6, seed=0):
 @pytest.fixture
 def small_chunks(monkeypatch):
     """Several chunks per cell and several tiles per chunk, as with much data."""
-    monkeypatch.setattr(vector_cells, "CHUNK_CELLS", 1)
+    monkeypatch.setattr(vector_cells, "CHUNK_ROWS", 11)
     monkeypatch.setattr(vector_cells, "TILE_ROWS", 5)
 
 
