@@ -215,9 +215,9 @@ def evaluate_detections(
     ``classwise`` only labels of one class match.
     """
     matched = _with_matches(ds, pred_field, truth_field, iou, classwise)
-    return matched.select("sample_id", F.explode("pairs").alias("p")).select(
-        "sample_id", "p.pred_id", "p.truth_id", "p.iou"
-    )
+    # A plain explode would also filter on the list's size, and so match twice.
+    pairs = matched.select("sample_id", F.explode_outer("pairs").alias("p"))
+    return pairs.filter("p IS NOT NULL").select("sample_id", "p.pred_id", "p.truth_id", "p.iou")
 
 
 def detection_report(
@@ -274,38 +274,50 @@ def to_evaluation_patches(
     an unmatched prediction (``fp``) or an unmatched truth (``fn``).
 
     Columns ``patch_id, sample_id, type, pred_id, truth_id, iou`` [chosen]. The run is a
-    match table ``sample_id, pred_id, truth_id, iou`` attached with
+    table of matched pairs ``sample_id, pred_id, truth_id, iou`` attached with
     :meth:`Dataset.with_run`; the label fields default to ``predictions`` and
     ``ground_truth``.
     """
     if eval_key not in ds.runs:
         raise ValueError(f"no evaluation '{eval_key}', have: {', '.join(ds.runs) or 'none'}")
-    pairs = ds.runs[eval_key].select("sample_id", "pred_id", "truth_id", "iou")
-
-    def labels(field: str, name: str) -> DataFrame:
-        require_fields(ds, [field])
-        ids = F.col(quoted_path(field))["id"]
-        return ds.df.select(F.col(quoted(ds.id_col)).alias("sample_id"), F.explode(ids).alias(name))
-
-    preds = labels(pred_field or "predictions", "pred_id")
-    truths = labels(truth_field or "ground_truth", "truth_id")
-    # A prediction keeps its row either way; a truth shows up alone only if unmatched.
-    rows = preds.join(pairs, ["sample_id", "pred_id"], "left").unionByName(
-        truths.join(pairs, ["sample_id", "truth_id"], "left_anti"), allowMissingColumns=True
-    )
-    kind = (
-        F.when(F.col("pred_id").isNull(), "fn").when(F.col("truth_id").isNull(), "fp").otherwise("tp")
-    )
+    fields = {"pred": pred_field or "predictions", "truth": truth_field or "ground_truth"}
+    require_fields(ds, list(fields.values()))
+
+    def side(name: str) -> Column:
+        ids = F.col(quoted_path(fields[name]))["id"]
+        sided = F.transform(ids, lambda i: F.struct(F.lit(name).alias("side"), i.alias("id")))
+        return F.coalesce(sided, F.array().cast("array<struct<side:string,id:string>>"))
 
-    def nothing(name: str) -> Column:
-        return F.coalesce(name, F.lit(""))
+    def link(name: str, other: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("side"),
+            F.col(f"{name}_id").alias("id"),
+            F.col(f"{other}_id").alias("other"),
+            "iou",
+        )
 
+    # All labels in one scan and one join: predictions keep their row either way, truths
+    # only if nothing was matched to them.
+    labels = ds.df.select(
+        F.col(quoted(ds.id_col)).alias("sample_id"),
+        F.explode(F.concat(side("pred"), side("truth"))).alias("l"),
+    ).select("sample_id", "l.*")
+    links = (
+        ds.runs[eval_key]
+        .filter("pred_id IS NOT NULL AND truth_id IS NOT NULL")
+        .select("sample_id", F.explode(F.array(link("pred", "truth"), link("truth", "pred"))).alias("l"))
+        .select("sample_id", "l.*")
+    )
+    rows = labels.join(links, ["sample_id", "side", "id"], "left")
+    is_pred = F.col("side") == "pred"
+    rows = rows.filter(is_pred | F.col("other").isNull())
+    kind = F.when(~is_pred, "fn").when(F.col("other").isNull(), "fp").otherwise("tp")
     patches = rows.select(
-        F.concat_ws("/", "sample_id", nothing("pred_id"), nothing("truth_id")).alias("patch_id"),
+        F.concat_ws("/", "sample_id", kind, "id").alias("patch_id"),
         "sample_id",
         kind.alias("type"),
-        "pred_id",
-        "truth_id",
+        F.when(is_pred, F.col("id")).alias("pred_id"),
+        F.when(is_pred, F.col("other")).otherwise(F.col("id")).alias("truth_id"),
         "iou",
     )
     return ds.with_df(patches, id_col="patch_id", order=("sample_id",), reverse=False, label_fields=())

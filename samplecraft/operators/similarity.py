@@ -75,10 +75,10 @@ def sort_by_similarity(
         apart = F.lit(1.0) - V.cosine_to(value, target)
     else:
         apart = V.euclidean(value, F.lit(target))
-    # A filter on the distance would be pushed below it and compute it twice; unwinding
-    # a list of at most one distance drops the same rows and computes it once.
-    known = F.filter(F.array(apart), lambda d: d.isNotNull() & ~F.isnan(d))
-    df = ds.df.drop(ORDER).select("*", F.explode(known).alias(ORDER))
+    # A filter on the distance would be pushed below it and compute it twice; it cannot
+    # be pushed below a list that is unwound, here of one distance.
+    df = ds.df.drop(ORDER).select("*", F.explode_outer(F.array(apart)).alias(ORDER))
+    df = df.filter(F.col(ORDER).isNotNull() & ~F.isnan(ORDER))
     if dist_field is not None:
         df = df.withColumn(dist_field, F.col(ORDER))
     view = ds.with_df(df, order=(ORDER,), reverse=False)

@@ -50,8 +50,9 @@ def samples(spark: SparkSession, folder: str) -> Dataset:
     nested = lines.groupBy("l_orderkey").agg(
         F.transform(F.sort_array(F.collect_list(F.struct(*_LINE))), _label).alias("detections")
     )
+    # The size of collected lists is underestimated, and they are no side to broadcast.
     joined = table(spark, folder, "orders").join(
-        nested, F.col("o_orderkey") == F.col("l_orderkey"), "left"
+        nested.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
     empty = F.array().cast(nested.schema["detections"].dataType)
     df = joined.select(
