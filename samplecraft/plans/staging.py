@@ -3,6 +3,9 @@
 Some plans need one result twice and it has to be the same both times (a range
 partitioning, a cell assignment). Writing it to shared storage cuts the lineage
 there, and a lost executor then costs a re-read, not a recomputation.
+
+All tables of a Spark application lie in one folder below the shared one, and
+``remove_staged`` deletes that folder when no result is read any more.
 """
 
 from __future__ import annotations
@@ -16,31 +19,45 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own: on a cluster
-    a machine-local folder is not visible to the other machines.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``; without one it raises."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="samplecraft-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+    if not folder:
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     return folder.rstrip("/")
 
 
+def set_local_folder(spark: SparkSession) -> SparkSession:
+    """For entry points, tests and benchmarks: give a local session that names no shared
+    folder one of its own. On a cluster nothing is set, since a machine's own folder is
+    not visible to the other machines."""
+    if not spark.conf.get(CHECKPOINT_DIR, None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="samplecraft-"))
+    return spark
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/samplecraft/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/samplecraft/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> str:
+def written(df: DataFrame, label: str, **options) -> str:
     """Write ``df`` to a new path of the shared folder and return the path."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of what was written."""
-    return df.sparkSession.read.schema(df.schema).parquet(written(df, label))
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, label, **options))
+
+
+def remove_staged(spark: SparkSession) -> bool:
+    """Delete all tables this application has staged; results that read them, and lazy
+    DataFrames built on them, can't be used afterwards. True if there were any."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
