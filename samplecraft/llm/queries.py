@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.staging import set_local_folder
-from . import packing, token_files
+from ..plans.staging import set_local_folder, written
+from . import chat, html_text, packing, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,64 @@ def op2_packing(spark, folder):
 def op5_token_files(spark, folder):
     path = token_files.new_token_files(table(spark, folder, "documents"))
     return token_files.read_token_files(spark, path)
+
+
+@query
+def op6_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op8_token_counts(spark, folder):
+    return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
+@query
+def op9_chat(spark, folder):
+    """All conversations, and one whose texts are control strings of a common format."""
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    path = written(chat.format_conversations(chat.linear_replies(rows)), "conversations")
+    back = chat.read_back(spark.read.parquet(path))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        F.col("conversation").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLE["op9_chat"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(\|[A-Za-z_]+\|>|/?s>|<SYS>>|</SYS>>|/?INST\])', '\1\2\\\3', 'g') AS safe
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(32 + length(role) + length(safe)) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+@query
+def op10_quality(spark, folder):
+    """Scores of all documents; accepted are the good ones that are not toxic."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = quality.score(docs, quality.train(docs, labels, ("quality", "toxic")))
+    return scored.select(
+        "doc_id", "quality_score", "toxic_score", ((F.col("quality_score") >= 0.5) & (F.col("toxic_score") < 0.5)).alias("accepted")
+    )
