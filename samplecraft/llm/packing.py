@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import SLICE, WORD_TOKENIZER, by_size, encoder
+from . import words as W
+from .tokens import SLICE, WORD_TOKENIZER, encoder
 
 TOKENS = 2048
 SEGMENTS = 128
@@ -220,9 +221,9 @@ def pack_documents(
 
         for batch in batches:
             key_type = batch.schema.field("key").type
-            keys, texts = batch.column("key").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for i, j in by_size([len(t) for t in texts], SLICE):
-                ids, at = encode.ids(texts[i:j])
+            keys, texts = batch.column("key").to_pylist(), batch.column("text")
+            for i, j in W.slices(W.text_bytes(texts)[1], SLICE):
+                ids, at = encode.ids(texts.slice(i, j - i))
                 new = np.arange(seen, seen + j - i)
                 seen += j - i
                 for n, k in enumerate(new.tolist()):

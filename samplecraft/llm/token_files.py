@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import new_path, staged
-from .tokens import SLICE, WORD_TOKENIZER, by_size, encoder
+from . import words as W
+from .tokens import SLICE, WORD_TOKENIZER, encoder
 
 END = 2  # the id that ends a document
 BLOCK = 1 << 20  # ids in a block, unless one document has more
@@ -66,9 +67,9 @@ def encoded(docs: DataFrame, key: str, text: str, tokenizer: str, end: int) -> D
         encode = encoder(tokenizer)
         width = "<u2" if encode.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i, j in by_size([len(t) for t in texts], SLICE):
-                ids, at = encode.ids(texts[i:j])
+            texts = batch.column("text")
+            for i, j in W.slices(W.text_bytes(texts)[1], SLICE):
+                ids, at = encode.ids(texts.slice(i, j - i))
                 parts = [np.append(ids[a:b], np.int32(end)) for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [

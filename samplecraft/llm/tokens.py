@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public tokenizer, word by word with a memory.
 
-The word-based tokenizers never let a token cross a space or a line feed, so the ids of
-a text are the ids of its pieces between those two characters, one after the other, and
-a piece has the same ids wherever it stands. A worker therefore asks the tokenizers
-library once for each piece and keeps the answers of the first ``KEPT`` pieces.
+The word-based tokenizers never let a token cross white space and drop it, so the ids of
+a text are the ids of its words, one after the other, and a word has the same ids
+wherever it stands. A worker therefore asks the tokenizers library once for a word and
+finds it again by two independent 64-bit hashes, in numpy tables of fixed size.
 ``Encoder`` checks that the tokenizer is of that kind, and encodes whole texts if not.
 """
 
@@ -11,15 +11,24 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from . import words as W
 
 WORD_TOKENIZER = "word_bpe_49k.json"
-KEPT = 500_000  # pieces a worker remembers
-LONGEST = 64  # characters of a piece worth remembering
-SLICE = 2_000_000  # characters encoded at once, unless one text is longer
+SLOTS = 21  # bits: a worker remembers at most 2^21 words
+LONGEST = 64  # bytes of a word worth remembering
+SLICE = 2_000_000  # characters or bytes encoded at once, unless one text is longer
+
+# Latin letters, with punctuation behind them or not: one or two runs for the tokenizer,
+# each of which ends in a token with the word-end mark.
+_SIMPLE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,;:!?*#$%&|-]*)")
 
 
 def tokenizer_file(name: str) -> str:
@@ -57,65 +66,89 @@ class Encoder:
         path = tokenizer_file(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = _by_word(path)
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, np.int32)
-        self.ends = np.zeros(KEPT + 1, np.int64)
-
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where each text's ids begin, plus the end."""
-        if not texts:
-            return np.zeros(0, np.int32), np.zeros(1, np.int64)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        # One place for each value of the hash's upper bits; the first word there stays.
+        self.one, self.two = np.zeros(1 << SLOTS, np.uint64), np.zeros(1 << SLOTS, np.uint64)
+        self.begin, self.length = np.zeros(1 << SLOTS, np.int64), np.zeros(1 << SLOTS, np.int32)
+        self.flat, self.used = np.zeros(1 << 20, np.int32), 0
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's ids begin, plus the end. Null is empty."""
         if not self.by_word:
-            return self._ask(texts)
-        pieces, counts = [], np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.replace("\n", " ").split(" ")
-            counts[i] = len(own)
-            pieces += own
-        known = self.known
-        codes = np.fromiter((known.get(p, -1) for p in pieces), np.int64, len(pieces))
-        missing = np.flatnonzero(codes < 0)
-        flat, ends = self.flat, self.ends
+            return self._ask([t or "" for t in texts.to_pylist()])
+        data, bounds = W.text_bytes(texts)
+        starts, ends = W.word_spans(data, bounds)
+        one, two = (W.span_hashes(data, starts, ends, k) for k in (0, 1))
+        slot = (one >> np.uint64(64 - SLOTS)).astype(np.int64)
+        known = (self.one[slot] == one) & (self.two[slot] == two) & (self.length[slot] > 0)
+        begin, length = self.begin[slot], self.length[slot].astype(np.int64)
+        missing = np.flatnonzero(~known)
+        flat = self.flat[: self.used]
         if len(missing):
-            fresh: dict[str, int] = {}
-            place = np.fromiter((fresh.setdefault(pieces[i], len(fresh)) for i in missing.tolist()), np.int64, len(missing))
-            ids, at = self._ask(list(fresh))
-            self._keep(list(fresh), ids, at)
-            flat, ends = self.flat, self.ends
-            # Pieces just asked for stand behind the remembered ones in one table.
-            kept = len(self.known)
-            flat = np.concatenate([flat[: ends[kept]], ids])
-            ends = np.concatenate([ends[: kept + 1], ends[kept] + at[1:]])
-            codes[missing] = place + kept
-        begin = ends[codes]
-        length = ends[codes + 1] - begin
+            _, first, place = np.unique(one[missing], return_index=True, return_inverse=True)
+            odd = np.flatnonzero(two[missing] != two[missing[first]][place])  # one hash, two words
+            place[odd] = len(first) + np.arange(len(odd))
+            asked = missing[np.concatenate([first, odd])]
+            raw = data.tobytes()
+            new, at = self._words([raw[a:b].decode() for a, b in zip(starts[asked].tolist(), ends[asked].tolist())])
+            begin[missing] = self.used + at[place]
+            length[missing] = at[place + 1] - at[place]
+            flat = np.concatenate([flat, new])
+            self._keep(slot[asked], one[asked], two[asked], ends[asked] - starts[asked], new, at)
         total = np.concatenate([[0], np.cumsum(length)])
         index = np.arange(total[-1]) + np.repeat(begin - total[:-1], length)
-        return flat[index], total[np.concatenate([[0], np.cumsum(counts)])]
+        return flat[index], total[np.searchsorted(starts, bounds)]
+
+    def _keep(self, slot, one, two, size, ids, at) -> None:
+        new = np.flatnonzero((self.length[slot] == 0) & (size <= LONGEST) & (at[1:] > at[:-1]))
+        _, first = np.unique(slot[new], return_index=True)
+        new = new[first]
+        length = (at[1:] - at[:-1])[new]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(new) else 0
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + total] = ids[np.arange(total) + np.repeat(at[:-1][new] - (ends - length), length)]
+        self.one[slot[new]], self.two[slot[new]] = one[new], two[new]
+        self.begin[slot[new]], self.length[slot[new]] = self.used + ends - length, length
+        self.used += total
+
+    def _words(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of single words. Simple ones go to the tokenizer as one line, in which
+        the word-end marks tell them apart; the others one by one."""
+        runs = np.zeros(len(names), np.int64)
+        for i, name in enumerate(names):
+            simple = _SIMPLE.fullmatch(name)
+            if simple:
+                runs[i] = 2 if simple[1] else 1
+        easy = np.flatnonzero(runs)
+        line = self.tokenizer.encode_batch_fast([" ".join([names[i] for i in easy.tolist()])], add_special_tokens=False)[0].ids
+        line = np.array(line, np.int32)
+        marks = np.flatnonzero(self.ends_word[line]) + 1
+        if len(marks) != runs.sum():
+            return self._ask(names)
+        ends = marks[np.cumsum(runs[easy]) - 1] if len(easy) else marks
+        hard = np.flatnonzero(runs == 0)
+        ids, at = self._ask([names[i] for i in hard.tolist()])
+        length = np.zeros(len(names), np.int64)
+        length[easy], length[hard] = np.diff(ends, prepend=0), np.diff(at)
+        begin = np.zeros(len(names), np.int64)
+        begin[easy], begin[hard] = ends - length[easy], len(line) + at[:-1]
+        total = np.concatenate([[0], np.cumsum(length)])
+        index = np.arange(total[-1]) + np.repeat(begin - total[:-1], length)
+        return np.concatenate([line, ids])[index], total
 
     def _ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts, sizes = [], []
         for i, j in by_size([len(t) for t in texts], SLICE):
             for one in self.tokenizer.encode_batch_fast(texts[i:j], add_special_tokens=False):
-                ids = one.ids
-                sizes.append(len(ids))
-                parts.append(ids)
-        flat = np.fromiter((x for p in parts for x in p), np.int32, sum(sizes))
+                parts.append(one.ids)
+                sizes.append(len(parts[-1]))
+        flat = np.fromiter(chain.from_iterable(parts), np.int32, sum(sizes))
         return flat, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
-    def _keep(self, pieces: list[str], ids: np.ndarray, at: np.ndarray) -> None:
-        for i, piece in enumerate(pieces):
-            n = len(self.known)
-            if n >= KEPT:
-                return
-            if len(piece) <= LONGEST:
-                end = self.ends[n] + at[i + 1] - at[i]
-                if end > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.ends[n] : end] = ids[at[i] : at[i + 1]]
-                self.ends[n + 1] = end
-                self.known[piece] = n
-
 
 @lru_cache(maxsize=2)
 def encoder(name: str) -> Encoder:

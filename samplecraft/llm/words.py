@@ -16,12 +16,11 @@ import pyarrow as pa
 SHINGLE = 5  # words
 SLICE = 2_000_000  # bytes of text handled at once, unless one text is longer
 
-_P = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_P, -1, 1 << 64)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd; of two independent hashes
 _WEIGHTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: list[np.ndarray] = []
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -31,14 +30,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
+def _powers_to(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    if base not in _powers or len(_powers[base][0]) < n:
         size = max(n, SLICE + 1)
-        _powers[:] = [
+        _powers[base] = tuple(
             np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, p, np.uint64)]))
-            for p in (_P, _INVERSE)
-        ]
-    return _powers[0], _powers[1]
+            for p in (base, pow(base, -1, 1 << 64))
+        )
+    return _powers[base]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,11 +60,9 @@ def slices(bounds: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word in order, and where each text's words begin, plus the end."""
+def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word, which never goes past its text's end."""
     n = len(data)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
     inside = ~_SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -74,12 +71,20 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     edges = bounds[(bounds > 0) & (bounds < n)]
     first[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers_to(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverse[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(starts, bounds)
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    power, inverse = _powers_to(len(data) + 1, _BASES[which])
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word in order, and where each text's words begin, plus the end."""
+    starts, ends = word_spans(data, bounds)
+    return span_hashes(data, starts, ends), np.searchsorted(starts, bounds)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
