@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import set_local_folder, written
-from . import chat, html_text, packing, quality, token_counts, token_files
+from . import chat, decontaminate, html_text, line_dedup, packing, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +98,64 @@ def op10_quality(spark, folder):
     return scored.select(
         "doc_id", "quality_score", "toxic_score", ((F.col("quality_score") >= 0.5) & (F.col("toxic_score") < 0.5)).alias("accepted")
     )
+
+
+@query
+def op7_line_dedup(spark, folder):
+    done = line_dedup.dedup_lines(table(spark, folder, "documents"), counts=True)
+    left = F.coalesce("text", F.lit(""))
+    return done.select("doc_id", "n_lines", "n_deleted", F.char_length(left).cast("long").alias("chars_left"), F.md5(left.cast("binary")).alias("text_md5"))
+
+
+ORACLE["op7_line_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM docs
+), counted AS (
+  SELECT doc_id, i, len(string_split(line, ' ')) AS words,
+         sum(len(string_split(line, ' '))) OVER (PARTITION BY doc_id ORDER BY i) AS upto
+  FROM line
+), run AS (  -- the shortest run of 50 words from each line
+  SELECT a.doc_id, a.i, min(b.i) AS j
+  FROM counted a JOIN counted b ON b.doc_id = a.doc_id AND b.i BETWEEN a.i AND a.i + 49 AND b.upto - a.upto + a.words >= 50
+  GROUP BY a.doc_id, a.i
+), named AS (
+  SELECT run.doc_id, i, j, array_to_string(lines[i:j], chr(10)) AS name FROM run JOIN docs USING (doc_id)
+), later AS (
+  SELECT *, row_number() OVER (PARTITION BY name, j - i ORDER BY doc_id, i) AS place FROM named
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM later WHERE place > 1
+), rest AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_deleted,
+         coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS left_over
+  FROM line l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id
+)
+SELECT doc_id, n_lines, n_deleted, length(left_over) AS chars_left, md5(left_over) AS text_md5 FROM rest
+"""
+
+
+@query
+def op4_decontamination(spark, folder):
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("_doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("equal").cast("long").alias("equal_words"))
+
+
+ORACLE["op4_decontamination"] = r"""
+WITH words AS (
+  SELECT 0 AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') FROM benchmark
+), word AS (
+  SELECT kind, id, len(w) AS n, unnest(range(len(w))) AS p, unnest(w) AS w FROM words
+), equal AS (  -- equal words on one diagonal
+  SELECT d.id AS doc_id, i.id AS item_id, d.p - i.p AS shift, i.p AS p, i.n AS n
+  FROM word d JOIN word i ON d.kind = 0 AND i.kind = 1 AND d.w = i.w AND i.n >= 4
+), counted AS (
+  SELECT doc_id, item_id, n,
+         count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY p RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS equal_words
+  FROM equal
+)
+SELECT doc_id, item_id, max(equal_words) AS equal_words FROM counted
+WHERE equal_words >= CASE WHEN n < 13 THEN n ELSE 11 END GROUP BY doc_id, item_id
+"""
