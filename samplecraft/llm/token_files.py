@@ -29,7 +29,7 @@ from .tokens import SLICE, WORD_TOKENIZER, encoder
 
 END = 2  # the id that ends a document
 BLOCK = 1 << 20  # ids in a block, unless one document has more
-BUCKET = 50_000_000  # ids in a bucket of consecutive documents, about
+BUCKET = 8_000_000  # ids in a bucket of consecutive documents, about
 MOST_BUCKETS = 20_000  # bounds what the driver and each task hold of them
 _LEAST = -(1 << 63)  # stands for a null key: before every other
 

@@ -22,9 +22,9 @@ import pyarrow as pa
 from . import words as W
 
 WORD_TOKENIZER = "word_bpe_49k.json"
-SLOTS = 21  # bits: a worker remembers at most 2^21 words
+SLOTS = 20  # bits: a worker remembers at most 2^20 words
 LONGEST = 64  # bytes of a word worth remembering
-SLICE = 2_000_000  # characters or bytes encoded at once, unless one text is longer
+SLICE = 1_000_000  # characters or bytes encoded at once, unless one text is longer
 
 # Latin letters, with punctuation behind them or not: one or two runs for the tokenizer,
 # each of which ends in a token with the word-end mark.

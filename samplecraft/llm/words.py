@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE = 5  # words
-SLICE = 2_000_000  # bytes of text handled at once, unless one text is longer
+SLICE = 1_000_000  # bytes of text handled at once, unless one text is longer
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd; of two independent hashes
 _WEIGHTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
