@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import set_local_folder, written
-from . import chat, decontaminate, html_text, line_dedup, packing, quality, token_counts, token_files
+from . import chat, decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -159,3 +159,36 @@ WITH words AS (
 SELECT doc_id, item_id, max(equal_words) AS equal_words FROM counted
 WHERE equal_words >= CASE WHEN n < 13 THEN n ELSE 11 END GROUP BY doc_id, item_id
 """
+
+
+@query
+def op3_fingerprints(spark, folder):
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op1_ngram_join(spark, folder):
+    return ngram_join.similar_documents(table(spark, folder, "documents"))
+
+
+ORACLE["op1_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\t-\r ]+'), lambda w: w <> '') AS w FROM documents
+), shingled AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i+4]) END) AS s FROM words
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+)
+SELECT d.doc_id, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS class_id,
+       (SELECT count(*) FROM link WHERE link.a = d.doc_id) AS n_links
+FROM documents d
+"""
