@@ -98,15 +98,17 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     return runs
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, counts: bool = False, drop_emptied: bool = False
+) -> DataFrame:
     """``docs`` without the later copies of repeated runs, and with ``counts`` also the
     columns n_lines (before) and n_deleted.
 
     Documents are taken in ascending order of their key, nulls first, and those of the
     same key in the order of a hash of their text; the first copy stays. Rows equal in
     key and text are one document, each of them gets the same text. A document all of
-    whose lines go has the text null, so that it differs from an empty one; a null text
-    is one empty line. All rows and other columns stay, whatever the columns' names.
+    whose lines go has the text null, so that it differs from an empty one, or is left
+    out with ``drop_emptied``; a null text is one empty line. All rows and other columns stay, whatever the columns' names.
     """
     runs = repeated_runs(docs, key, text, min_words)
     gone = runs.groupBy("_doc", "_text").agg(
@@ -126,4 +128,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     if counts:
         number = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"))) + 1
         columns += [number.cast("long").alias("n_lines"), F.coalesce(F.size(out), F.lit(0)).cast("long").alias("n_deleted")]
+    if drop_emptied:
+        joined = joined.filter(out.isNull() | (F.size(kept) > 0))
     return joined.select(*columns)

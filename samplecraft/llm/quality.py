@@ -120,6 +120,7 @@ class Target:
     meta: np.ndarray
     blend: np.ndarray  # weights of the views' log odds, constant last
     pseudo: int = 0
+    trained: bool = True  # False without labels: all scores are 0.5
 
 
 @dataclass
@@ -294,7 +295,7 @@ def train(
         y = rows[f"y{i}"].to_numpy(dtype=float) if len(rows) else np.zeros(0)
         if np.isnan(y).all():
             empty = np.zeros(0, np.uint64)
-            model.targets[name] = Target(empty, np.zeros(LOOKS * BINS + 1), np.zeros(meta.shape[1] + 1), np.zeros(3))
+            model.targets[name] = Target(empty, np.zeros(LOOKS * BINS + 1), np.zeros(meta.shape[1] + 1), np.zeros(3), trained=False)
         else:
             model.targets[name] = cotrained(model, looks, terms, meta, (y > 0).astype(float) + np.where(np.isnan(y), np.nan, 0), fold, rounds)
     return model

@@ -97,7 +97,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -
     own = np.repeat(np.arange(len(count)), count)  # text of each word
     left = bounds[1:][own] - np.arange(n)  # words from here to the end of the text
     total = words * _WEIGHTS[0]
-    for k in range(1, size):
+    for k in range(1, min(size, n)):
         weight = _WEIGHTS[k % len(_WEIGHTS)] + np.uint64(2 * (k // len(_WEIGHTS)))
         total[: n - k] += np.where(left[: n - k] > k, words[k:] * weight, np.uint64(0))
     begins = np.zeros(n, bool)
