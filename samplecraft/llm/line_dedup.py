@@ -19,6 +19,8 @@ before the shuffle, and rows of a line that is in every document are spread by p
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -46,6 +48,14 @@ def _shared(rows: DataFrame, by: list[str], rank: str) -> DataFrame:
     return rows.join(classes, by).drop(*by)
 
 
+def _later(runs: DataFrame) -> DataFrame:
+    """All runs of each interval but the first, with the first one's place."""
+    interval, place = ["lines", "rank", "last"], F.struct("_doc", "_text", "_line")
+    first = runs.groupBy(*interval).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    later = runs.join(first, interval).filter(place > F.col("first"))
+    return later.select(*_AT, "lines", F.col("first._doc").alias("first_doc"), F.col("first._line").alias("first_line"))
+
+
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All later copies of runs: _doc, _text (hash), _line (its first), lines, and where
     the first copy is: first_doc, first_line. Runs may overlap."""
@@ -77,7 +87,8 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
         here = F.col("lines").between(reach, 2 * reach - 1)
         ends = level.select("_doc", "_text", F.col("_line").alias("end"), F.col("rank").alias("last"))
         same = F.col("_doc").eqNullSafe(F.col("d")) & (F.col("_text") == F.col("t")) & (F.col("_line") + F.col("lines") - reach == F.col("end"))
-        found.append(level.filter(here).join(ends.toDF("d", "t", "end", "last"), same).select(*_AT, "lines", "rank", "last"))
+        part = level.filter(here).join(ends.toDF("d", "t", "end", "last"), same).select(*_AT, "lines", "rank", "last")
+        found.append(staged(_later(staged(part, "runs")), "later-runs"))
         if 2 * reach <= deepest:
             after = level.select("_doc", "_text", "_line", "rank").toDF("d", "t", "e", "next")
             same = F.col("_doc").eqNullSafe(F.col("d")) & (F.col("_text") == F.col("t")) & (F.col("_line") + reach == F.col("e"))
@@ -85,17 +96,9 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
             pairs = _shared(staged(pairs, "suffix-pairs").withColumnRenamed("rank", "front"), ["front", "next"], "rank")
             level = staged(pairs, "suffixes")
         reach *= 2
-    place = F.struct(F.col("_doc"), F.col("_text"), F.col("_line"))
-    runs = None
-    for part in found:
-        interval = ["lines", "rank", "last"]
-        first = part.groupBy(*interval).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        later = part.join(first, interval).filter(place > F.col("first"))
-        later = later.select(*_AT, "lines", F.col("first._doc").alias("first_doc"), F.col("first._line").alias("first_line"))
-        runs = later if runs is None else runs.unionByName(later)
-    if runs is None:
-        runs = suffixes.select(*_AT, "lines", F.col("_doc").alias("first_doc"), F.col("_line").alias("first_line")).limit(0)
-    return runs
+    if not found:
+        return suffixes.select(*_AT, "lines", F.col("_doc").alias("first_doc"), F.col("_line").alias("first_line")).limit(0)
+    return reduce(DataFrame.unionByName, found)
 
 
 def dedup_lines(
@@ -108,7 +111,8 @@ def dedup_lines(
     same key in the order of a hash of their text; the first copy stays. Rows equal in
     key and text are one document, each of them gets the same text. A document all of
     whose lines go has the text null, so that it differs from an empty one, or is left
-    out with ``drop_emptied``; a null text is one empty line. All rows and other columns stay, whatever the columns' names.
+    out with ``drop_emptied``; a null text is one empty line. All other rows and columns
+    stay, whatever the columns' names.
     """
     runs = repeated_runs(docs, key, text, min_words)
     gone = runs.groupBy("_doc", "_text").agg(
