@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import samplecraft as sc
+from samplecraft.plans.staging import new_path
 from samplecraft.sources import curation_tables as ct
 
 from .book import DETECTIONS, DOCS, PAIRS, query
@@ -152,19 +153,19 @@ def uniqueness(spark, folder):
 
 GUESSES = """guesses AS (
   SELECT sample_id, lang, n_chars, quality AS truth, CAST(n_chars > 500 AS INTEGER) AS pred
-  FROM docs WHERE quality IS NOT NULL
+  FROM docs
 )"""
 
 
 def guessed(spark, folder):
-    """Labelled documents with a rule's guess at their quality."""
-    ds = sc.exists(ct.docs(spark, folder), "quality")
+    """All documents with a rule's guess at their quality, which is null for many."""
+    ds = ct.docs(spark, folder)
     return ds.with_df(ds.df.withColumn("guess", (F.col("n_chars") > 500).cast("int")))
 
 
 @query(
     "evaluate_classification",
-    "SELECT sample_id, truth, pred, truth = pred AS correct FROM guesses",
+    "SELECT sample_id, truth, pred, truth IS NOT DISTINCT FROM pred AS correct FROM guesses",
     using=(DOCS, GUESSES),
 )
 def evaluate_classification(spark, folder):
@@ -182,8 +183,8 @@ def confusion_counts(spark, folder):
 
 @query(
     "accuracy",
-    """SELECT count(*) AS n, count(*) FILTER (truth = pred) AS correct,
-              round(avg(CAST(truth = pred AS INTEGER)), 6) AS accuracy
+    """SELECT count(*) AS n, count(*) FILTER (truth IS NOT DISTINCT FROM pred) AS correct,
+              round(avg(CAST(truth IS NOT DISTINCT FROM pred AS INTEGER)), 6) AS accuracy
        FROM guesses""",
     using=(DOCS, GUESSES),
 )
@@ -203,10 +204,10 @@ def report_sql(source: str, keys: str) -> str:
          SELECT {by}class, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp,
                 CAST(sum(fn) AS BIGINT) AS fn
          FROM (
-           SELECT {by}truth AS class, CAST(truth = pred AS INTEGER) AS tp, 0 AS fp,
-                  CAST(truth <> pred AS INTEGER) AS fn FROM {source}
+           SELECT {by}truth AS class, CAST(truth IS NOT DISTINCT FROM pred AS INTEGER) AS tp, 0 AS fp,
+                  CAST(truth IS DISTINCT FROM pred AS INTEGER) AS fn FROM {source}
            UNION ALL
-           SELECT {by}pred, 0, CAST(truth <> pred AS INTEGER), 0 FROM {source}
+           SELECT {by}pred, 0, CAST(truth IS DISTINCT FROM pred AS INTEGER), 0 FROM {source}
          ) GROUP BY {by}class
        )"""
 
@@ -225,7 +226,7 @@ def classification_report(spark, folder):
 def by_slice_sql(sliced: str) -> str:
     return f""", sliced AS ({sliced}), scores AS ({report_sql("sliced", "overall, slice")}),
        rates AS (
-         SELECT overall, slice, round(avg(CAST(truth = pred AS INTEGER)), 6) AS accuracy
+         SELECT overall, slice, round(avg(CAST(truth IS NOT DISTINCT FROM pred AS INTEGER)), 6) AS accuracy
          FROM sliced GROUP BY overall, slice
        )
        SELECT scores.*, accuracy FROM scores JOIN rates USING (overall, slice)"""
@@ -347,16 +348,22 @@ PATCHES = """SELECT p.sample_id, CASE WHEN m.truth_id IS NULL THEN 'fp' ELSE 'tp
                          WHERE m.sample_id = t.sample_id AND m.truth_id = t.id)"""
 
 
-def _patches(ds, matches):
-    view = sc.to_evaluation_patches(ds.with_run("eval", matches), "eval")
-    rows = view.rows().select("sample_id", "type", "pred_id", "truth_id", "iou")
+def _patches(ds):
+    rows = sc.to_evaluation_patches(ds, "eval").rows()
+    rows = rows.select("sample_id", "type", "pred_id", "truth_id", "iou")
     return rows.withColumn("iou", F.round("iou", 6))
 
 
 @query("to_evaluation_patches", PATCHES, using=(DETECTIONS, MATCHES))
 def to_evaluation_patches(spark, folder):
-    ds = split_detections(spark, folder)
-    return _patches(ds, sc.evaluate_detections(ds, "predictions", "ground_truth"))
+    return _patches(sc.store_evaluation(split_detections(spark, folder), "eval"))
+
+
+@query("to_evaluation_patches_after_reload", PATCHES, using=(DETECTIONS, MATCHES))
+def to_evaluation_patches_after_reload(spark, folder):
+    """The run is saved with the dataset and found by its key in the copy."""
+    ds = sc.store_evaluation(split_detections(spark, folder), "eval")
+    return _patches(sc.clone_dataset(ds, new_path(spark, "evaluated")))
 
 
 @query(
@@ -385,4 +392,4 @@ def to_evaluation_patches_of_pairs(spark, folder):
     pairs = ds.df.select("sample_id", F.explode(zipped).alias("p")).select(
         "sample_id", "p.*", F.lit(1.0).alias("iou")
     )
-    return _patches(ds, pairs.filter("pred_id IS NOT NULL AND truth_id IS NOT NULL"))
+    return _patches(ds.with_run("eval", pairs.filter("pred_id IS NOT NULL AND truth_id IS NOT NULL")))

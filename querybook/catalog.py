@@ -112,10 +112,30 @@ def get_field_schema(spark, folder):
 )
 def saved_view(spark, folder):
     french = sc.sort_by(sc.match_tags(ct.docs(spark, folder), "fr"), "n_chars", reverse=True)
-    sc.save_view(french, "french_docs")
+    sc.save_view(french, "french_docs", replace=True)
     return sc.limit(sc.load_view(spark, "french_docs"), 30).rows().select("sample_id", "n_chars")
 
 
+@query(
+    "saved_view_in_folder",
+    """SELECT 'samples' AS kind, sample_id, n_chars FROM docs WHERE lang = 'fr'
+       UNION ALL SELECT 'stages', sample_id, n_chars FROM docs WHERE lang = 'fr'""",
+    using=(DOCS,),
+)
+def saved_view_in_folder(spark, folder):
+    """A view saved to a folder, as samples and as stages, and loaded from there."""
+    ds, place = ct.docs(spark, folder), new_path(spark, "views")
+    stages = [{"type": "MatchTags", "tags": ["fr"]}]
+    sc.save_view(sc.apply_stages(ds, stages), "samples", place)
+    sc.save_view(ds, "stages", place, stages=stages)
+
+    def loaded(name):
+        view = sc.load_view(spark, name, place, ds)
+        return view.rows().select(F.lit(name).alias("kind"), "sample_id", "n_chars")
+
+    return loaded("samples").unionByName(loaded("stages"))
+
+
 _ROUND_TRIP = "SELECT sample_id, lang || ',' || source AS tags, n_chars, quality FROM docs"
 
 

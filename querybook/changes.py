@@ -198,3 +198,29 @@ def add_sample_field(spark, folder):
 def infer_fields(spark, folder):
     ds = sc.infer_fields(ct.events(spark, folder), "props", into="typed")
     return ds.rows().select("event_id", "typed.k")
+
+
+@query(
+    "infer_fields_nested",
+    """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS of_string,
+              CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice + 0.5 END AS price,
+              CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS mixed
+       FROM orders""",
+)
+def infer_fields_nested(spark, folder):
+    """Keys that are called like types, nested objects, a key of mixed types, and arrays
+    among the objects."""
+    text = F.when(F.col("o_orderkey") % 5 == 0, "[1]").otherwise(
+        F.concat(
+            F.lit('{"STRING": {"VOID": "'), "o_orderstatus",
+            F.lit('", "DECIMAL(3,1)": '), (F.col("o_totalprice") + 0.5).cast("string"),
+            F.lit('}, "m": '), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise(F.concat(F.lit('"'), "o_orderkey", F.lit('"'))),
+            F.lit("}"),
+        )
+    )
+    rows = ct.table(spark, folder, "orders").select("o_orderkey", text.alias("doc"))
+    typed = sc.infer_fields(sc.Dataset(rows, id_col="o_orderkey"), "doc").df
+    inner = F.col("doc.STRING")
+    return typed.select(
+        F.col("o_orderkey").alias("id"), inner["VOID"].alias("of_string"), inner["DECIMAL(3,1)"].alias("price"), F.col("doc.m").alias("mixed")
+    )

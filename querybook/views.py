@@ -464,6 +464,33 @@ def limit_large(spark, folder):
     return view.rows().select("event_id", "value")
 
 
+def _line_items(spark, folder):
+    """Line items by order number, which many of them share."""
+    return sc.Dataset(ct.table(spark, folder, "lineitem"), id_col="l_orderkey")
+
+
+def _order_counts(view):
+    return view.df.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "limit_repeated_ids",
+    """SELECT l_orderkey, count(*) AS n FROM
+       (SELECT l_orderkey FROM lineitem ORDER BY l_orderkey LIMIT 2001) GROUP BY l_orderkey""",
+)
+def limit_repeated_ids(spark, folder):
+    return _order_counts(sc.limit(_line_items(spark, folder), 2001))
+
+
+@query(
+    "skip_repeated_ids",
+    """SELECT l_orderkey, count(*) AS n FROM
+       (SELECT l_orderkey FROM lineitem ORDER BY l_orderkey OFFSET 2002) GROUP BY l_orderkey""",
+)
+def skip_repeated_ids(spark, folder):
+    return _order_counts(sc.skip(_line_items(spark, folder), 2002))
+
+
 @query(
     "skip",
     """SELECT sample_id FROM docs ORDER BY lang, sample_id OFFSET 137""",

@@ -21,6 +21,7 @@ from .operators.evaluation import (
     evaluate_by_slice,
     evaluate_classification,
     evaluate_detections,
+    store_evaluation,
     to_evaluation_patches,
 )
 from .operators.facets import facet_filter

@@ -163,16 +163,16 @@ def get_values(
     keys = [F.col(n) for n in names]
     if 0 < limit <= DEFAULT_VALUES:
         seen = ranking.first_rows(rows, keys, limit + 1, view.reverse)
-        # At most DEFAULT_VALUES + 1 values: an undivided window is safe here.
+        # Exactly limit + 1 values or fewer, ids unique or not: an undivided window is safe.
         order = Window.orderBy(*ranking.directed(keys, view.reverse))
         place = (F.row_number().over(order) - 1).cast("long")
-        placed = seen.select(place.alias("position"), "value")
-    else:
-        source = rows
-        if limit:
-            source = ranking.first_rows(rows, keys, limit + 1, view.reverse)
-        placed = ranking.ranked(source, keys, view.reverse).select("position", "value")
+        more = F.count(F.lit(1)).over(Window.partitionBy()) > limit
+        placed = seen.select(place.alias("position"), "value", more.alias("truncated"))
+        return placed.filter(F.col("position") < limit)
+    source = ranking.first_rows(rows, keys, limit + 1, view.reverse) if limit else rows
+    placed = ranking.ranked(source, keys, view.reverse).select("position", "value")
     if not limit:
         return placed.withColumn("truncated", F.lit(False))
+    # Read from the written ranking: the view is not computed again.
     more = placed.agg(F.coalesce(F.max("position") >= limit, F.lit(False))).scalar()
     return placed.filter(F.col("position") < limit).withColumn("truncated", more)

@@ -6,12 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from ..dataset import Dataset, field_type, is_label_list, quoted, quoted_path, require_fields
-from ..functions.boxes import iou
 from ..functions.predicates import sample_predicate
+from ..plans.box_matching import matches
 
 DEFAULT_IOU = 0.5
+RUN = "_run_"  # a stored run's private column is this and its key
 OVERALL = "(all)"
 
 
@@ -111,8 +113,8 @@ def evaluate_by_slice(
         require_fields(ds, [slices])
         name = F.col(quoted_path(slices)).cast("string")
         base = ds.df.select(name.alias("slice"), truth.alias("truth"), pred.alias("pred"))
-        counts = confusion_counts(base, ["slice"])
-        whole = counts
+        whole = confusion_counts(base, ["slice"])
+        mine = F.array(F.struct(F.lit(False).alias("overall"), F.col("slice").alias("slice")))
     else:
         # Bit i of the mask says whether the sample is in slice i: one pass for all.
         inside = [
@@ -123,24 +125,17 @@ def evaluate_by_slice(
         whole = confusion_counts(masks, ["mask"])
         names = F.lit(list(slices))
         held = F.filter(F.arrays_zip(names.alias("name"), F.col("mask")), lambda z: z["mask"])
-        counts = whole.select(F.explode(held).alias("z"), "truth", "pred", "n").select(
-            F.col("z")["name"].alias("slice"), "truth", "pred", "n"
-        )
-    overall = whole.select(
-        F.lit(True).alias("overall"), F.lit(OVERALL).alias("slice"), "truth", "pred", "n"
-    )
-    counts = counts.select(F.lit(False).alias("overall"), "slice", "truth", "pred", "n").unionByName(
-        overall
-    )
+        mine = F.transform(held, lambda z: F.struct(F.lit(False).alias("overall"), z["name"].alias("slice")))
+    # The samples are aggregated once; every slice, and all together, add up its counts.
+    every = F.array(F.struct(F.lit(True).alias("overall"), F.lit(OVERALL).alias("slice")))
     by = ["overall", "slice"]
-    counts = counts.groupBy(*by, "truth", "pred").agg(F.sum("n").alias("n"))
-    right = F.sum(F.when(F.col("truth").eqNullSafe(F.col("pred")), F.col("n")).otherwise(0))
-    per_slice = counts.groupBy(*by).agg((right / F.sum("n")).alias("accuracy"))
+    counts = whole.select(F.explode(F.concat(every, mine)).alias("s"), "truth", "pred", "n")
+    counts = counts.groupBy("s.overall", "s.slice", "truth", "pred").agg(F.sum("n").alias("n"))
     scores = _scores(counts, by)
-    same = F.col("a.overall").eqNullSafe(F.col("b.overall")) & F.col("a.slice").eqNullSafe(
-        F.col("b.slice")
-    )
-    return scores.alias("a").join(per_slice.alias("b"), same).select("a.*", "b.accuracy")
+    # Each sample is in one class's support, and in its tp if it was right.
+    whole_slice = Window.partitionBy(*by)
+    accuracy = F.sum("tp").over(whole_slice) / F.sum("support").over(whole_slice)
+    return scores.withColumn("accuracy", accuracy)
 
 
 # -- detections ----------------------------------------------------------------------
@@ -149,56 +144,21 @@ def evaluate_by_slice(
 def _with_matches(
     ds: Dataset, pred_field: str, truth_field: str, least_iou: float, classwise: bool
 ) -> DataFrame:
-    """``sample_id``, both label lists and the matched pairs.
+    """``sample_id``, both label lists and ``found``: the pairs, and which labels are in one.
 
     Predictions are taken by descending confidence, then id; each takes the free truth
     with the highest IoU, ties by id (Lin et al. 2014). Both lists are in the sample's
-    row, so matching is a fold over them: no join, no shuffle, no pair leaves the row.
+    row, so matching takes no join and no shuffle, and no pair leaves the row.
     """
     for name in (pred_field, truth_field):
         if not is_label_list(field_type(ds.df.schema, name)):
             raise ValueError(f"'{name}' is not a list of labels")
-    preds = F.coalesce(F.col(quoted_path(pred_field)), F.array())
-    truths = F.coalesce(F.col(quoted_path(truth_field)), F.array())
-    queue = F.sort_array(
-        F.transform(
-            F.col("preds"),
-            lambda p: F.struct(
-                p["confidence"].isNull().alias("last"),
-                (-p["confidence"]).alias("down"),
-                p["id"].alias("id"),
-                p["label"].alias("label"),
-                p["box"].alias("box"),
-            ),
-        )
-    )
-    pair = "array<struct<pred_id:string,truth_id:string,iou:double>>"
-
-    def take(done: Column, p: Column) -> Column:
-        free = F.filter(
-            F.col("truths"),
-            lambda t: ~F.exists(done, lambda d: d["truth_id"] == t["id"])
-            & (t["label"].eqNullSafe(p["label"]) if classwise else F.lit(True)),
-        )
-        rated = F.transform(
-            free, lambda t: F.struct((-iou(p["box"], t["box"])).alias("down"), t["id"].alias("id"))
-        )
-        best = F.array_min(F.filter(rated, lambda r: r["down"] <= -least_iou))
-        won = F.transform(
-            F.filter(F.array(best), lambda b: b.isNotNull()),
-            lambda b: F.struct(
-                p["id"].alias("pred_id"), b["id"].alias("truth_id"), (-b["down"]).alias("iou")
-            ),
-        )
-        return F.concat(done, won.cast(pair))
-
-    return (
-        ds.df.select(
-            F.col(quoted(ds.id_col)).alias("sample_id"),
-            preds.alias("preds"),
-            truths.alias("truths"),
-        )
-        .withColumn("pairs", F.aggregate(queue, F.array().cast(pair), take))
+    preds, truths = F.col(quoted_path(pred_field)), F.col(quoted_path(truth_field))
+    return ds.df.select(
+        F.col(quoted(ds.id_col)).alias("sample_id"),
+        F.coalesce(preds, F.array()).alias("preds"),
+        F.coalesce(truths, F.array()).alias("truths"),
+        matches(preds, truths, least_iou, classwise).alias("found"),
     )
 
 
@@ -215,9 +175,27 @@ def evaluate_detections(
     ``classwise`` only labels of one class match.
     """
     matched = _with_matches(ds, pred_field, truth_field, iou, classwise)
-    # A plain explode would also filter on the list's size, and so match twice.
-    pairs = matched.select("sample_id", F.explode_outer("pairs").alias("p"))
-    return pairs.filter("p IS NOT NULL").select("sample_id", "p.pred_id", "p.truth_id", "p.iou")
+    return matched.select("sample_id", F.explode("found.pairs").alias("p")).select(
+        "sample_id", "p.pred_id", "p.truth_id", "p.iou"
+    )
+
+
+def store_evaluation(
+    ds: Dataset,
+    eval_key: str,
+    pred_field: str = "predictions",
+    truth_field: str = "ground_truth",
+    iou: float = DEFAULT_IOU,
+    classwise: bool = True,
+) -> Dataset:
+    """The dataset with an evaluation run under a key: each sample keeps its own matched
+    pairs in a private column, which saves, loads and clones with the dataset."""
+    _with_matches(ds, pred_field, truth_field, iou, classwise)  # checks the fields
+    preds, truths = F.col(quoted_path(pred_field)), F.col(quoted_path(truth_field))
+    found = matches(preds, truths, iou, classwise)["pairs"]
+    column = found.alias(RUN + eval_key, metadata={"pred_field": pred_field, "truth_field": truth_field})
+    kept = [quoted(c) for c in ds.df.columns if c != RUN + eval_key]
+    return ds.with_df(ds.df.select(*kept, column))
 
 
 def detection_report(
@@ -233,19 +211,15 @@ def detection_report(
     """
     matched = _with_matches(ds, pred_field, truth_field, iou, classwise)
 
-    def outcome(labels: str, side: str, hit: str, miss: str) -> Column:
-        return F.transform(
-            F.col(labels),
-            lambda l: F.struct(
-                l["label"].alias("class"),
-                F.when(F.exists("pairs", lambda p: p[side] == l["id"]), hit)
-                .otherwise(miss)
-                .alias("type"),
-            ),
+    def outcome(labels: str, flags: str, hit: str, miss: str) -> Column:
+        return F.zip_with(
+            labels,
+            F.col(f"found.{flags}"),
+            lambda l, h: F.struct(l["label"].alias("class"), F.when(h, hit).otherwise(miss).alias("type")),
         )
 
     outcomes = F.concat(
-        outcome("preds", "pred_id", "tp", "fp"), outcome("truths", "truth_id", "matched", "fn")
+        outcome("preds", "pred_hit", "tp", "fp"), outcome("truths", "truth_hit", "matched", "fn")
     )
     counts = (
         matched.select(F.explode(outcomes).alias("o"))
@@ -264,6 +238,36 @@ def detection_report(
     )
 
 
+def _stored_patches(ds: Dataset, eval_key: str, fields: dict[str, str]) -> DataFrame:
+    """The patches of a stored run, out of each sample's own row."""
+    pairs = F.col(quoted(RUN + eval_key))
+    kind = "array<struct<type:string,pred_id:string,truth_id:string,iou:double>>"
+
+    def part(type_: str, values: Column, pred: bool) -> Column:
+        none = F.lit(None).cast("string")
+        return F.transform(
+            values,
+            lambda i: F.struct(
+                F.lit(type_).alias("type"),
+                (i if pred else none).alias("pred_id"),
+                (none if pred else i).alias("truth_id"),
+                F.lit(None).cast("double").alias("iou"),
+            ),
+        )
+
+    def left(name: str) -> Column:
+        ids = F.col(quoted_path(fields[name]))["id"].cast("array<string>")
+        return F.array_except(F.coalesce(ids, F.array().cast("array<string>")), pairs[f"{name}_id"])
+
+    both = F.transform(
+        pairs, lambda p: F.struct(F.lit("tp").alias("type"), p["pred_id"], p["truth_id"], p["iou"])
+    )
+    rows = F.concat(both.cast(kind), part("fp", left("pred"), True).cast(kind), part("fn", left("truth"), False).cast(kind))
+    # A plain explode would also filter on the list's size, and so build it twice.
+    exploded = ds.df.select(F.col(quoted(ds.id_col)).alias("sample_id"), F.explode_outer(rows).alias("r"))
+    return exploded.filter("r IS NOT NULL").select("sample_id", "r.*")
+
+
 def to_evaluation_patches(
     ds: Dataset,
     eval_key: str,
@@ -273,15 +277,24 @@ def to_evaluation_patches(
     """One row per evaluation example of the run ``eval_key``: a matched pair (``tp``),
     an unmatched prediction (``fp``) or an unmatched truth (``fn``).
 
-    Columns ``patch_id, sample_id, type, pred_id, truth_id, iou`` [chosen]. The run is a
-    table of matched pairs ``sample_id, pred_id, truth_id, iou`` attached with
-    :meth:`Dataset.with_run`; the label fields default to ``predictions`` and
-    ``ground_truth``.
+    Columns ``patch_id, sample_id, type, pred_id, truth_id, iou`` [chosen]. A run that
+    :func:`store_evaluation` left in the dataset is read from each sample's own row. Any
+    other is a table of matched pairs ``sample_id, pred_id, truth_id, iou`` attached with
+    :meth:`Dataset.with_run`, and is joined. The label fields default to those of the
+    stored run, else to ``predictions`` and ``ground_truth``.
     """
-    if eval_key not in ds.runs:
-        raise ValueError(f"no evaluation '{eval_key}', have: {', '.join(ds.runs) or 'none'}")
-    fields = {"pred": pred_field or "predictions", "truth": truth_field or "ground_truth"}
+    stored = RUN + eval_key
+    if stored not in ds.df.columns and eval_key not in ds.runs:
+        known = [*ds.runs, *(c.removeprefix(RUN) for c in ds.df.columns if c.startswith(RUN))]
+        raise ValueError(f"no evaluation '{eval_key}', have: {', '.join(known) or 'none'}")
+    about = ds.df.schema[stored].metadata if stored in ds.df.columns else {}
+    fields = {
+        "pred": pred_field or about.get("pred_field", "predictions"),
+        "truth": truth_field or about.get("truth_field", "ground_truth"),
+    }
     require_fields(ds, list(fields.values()))
+    if stored in ds.df.columns:
+        return _as_patches(ds, _stored_patches(ds, eval_key, fields))
 
     def side(name: str) -> Column:
         ids = F.col(quoted_path(fields[name]))["id"]
@@ -312,12 +325,17 @@ def to_evaluation_patches(
     is_pred = F.col("side") == "pred"
     rows = rows.filter(is_pred | F.col("other").isNull())
     kind = F.when(~is_pred, "fn").when(F.col("other").isNull(), "fp").otherwise("tp")
-    patches = rows.select(
-        F.concat_ws("/", "sample_id", kind, "id").alias("patch_id"),
+    rows = rows.select(
         "sample_id",
         kind.alias("type"),
         F.when(is_pred, F.col("id")).alias("pred_id"),
         F.when(is_pred, F.col("other")).otherwise(F.col("id")).alias("truth_id"),
         "iou",
     )
+    return _as_patches(ds, rows)
+
+
+def _as_patches(ds: Dataset, rows: DataFrame) -> Dataset:
+    name = F.concat_ws("/", "sample_id", "type", F.coalesce("pred_id", "truth_id"))
+    patches = rows.select(name.alias("patch_id"), "sample_id", "type", "pred_id", "truth_id", "iou")
     return ds.with_df(patches, id_col="patch_id", order=("sample_id",), reverse=False, label_fields=())

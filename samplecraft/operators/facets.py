@@ -27,7 +27,7 @@ _KEYS = {"values", "exclude", "isMatching", "onlyMatch", "range", "none", "nan",
 def _holds(value: Column, dtype: T.DataType, state: Mapping) -> Column:
     """Whether a value passes the facet; never null."""
     options = []
-    if state.get("values") is not None:
+    if state.get("values"):
         listed = [v for v in state["values"] if v is not None]
         if listed:
             options.append(value.isin(listed))
@@ -51,6 +51,13 @@ def _holds(value: Column, dtype: T.DataType, state: Mapping) -> Column:
     return ~passed if state.get("exclude") else passed
 
 
+def _conditions(state: Mapping) -> bool:
+    """Whether a facet says anything about values at all."""
+    return bool(state.get("values")) or state.get("range") is not None or any(
+        state.get(k) for k in ("true", "false", "none", "nan")
+    )
+
+
 def _sample_passes(value: Column, dtype: T.DataType, state: Mapping) -> Column:
     """A list of plain values (tags) passes if one of its elements does."""
     if not isinstance(dtype, T.ArrayType):
@@ -76,12 +83,16 @@ def facet_filter(ds: Dataset, filters: Mapping[str, Mapping]) -> Dataset:
     A range includes both ends; ``none`` and ``nan`` add the nulls and the NaNs;
     ``exclude`` negates. On a path into a label list ``isMatching`` keeps whole samples
     that have a passing label; otherwise the labels are filtered, and ``onlyMatch``
-    drops samples left without one. Elsewhere the facet filters samples [chosen].
+    drops samples left without one. Elsewhere the facet filters samples [chosen]. A facet
+    without a condition, such as ``{}`` or an empty list of values, does not filter.
     """
     for path, state in filters.items():
         unknown = set(state) - _KEYS
         if unknown:
             raise ValueError(f"facet '{path}': unknown keys {', '.join(sorted(unknown))}")
+        if not _conditions(state):
+            field_type(ds.df.schema, path)
+            continue
         list_path, leaf = list_on_path(ds.df.schema, path)
         dtype = field_type(ds.df.schema, path)
         if leaf is None:

@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 
 from ..dataset import Dataset, field_type, quoted, quoted_path, resolve_path, with_path
 from ..functions.predicates import text_array
-from ..plans.keylists import INLINE_VALUES, first_occurrences, key_table
-from .labels import lookup
+from ..plans.keylists import INLINE_VALUES, first_occurrences, key_table, typed_mapping
 from .ordering import positioned
 from .samples import id_flag
 from .stages import apply_stages
@@ -61,6 +60,11 @@ def _selection(ds: Dataset, view, sample_ids) -> DataFrame:
     return id_flag(ds, view, sample_ids, _TOUCHED)
 
 
+def _with_tags(df: DataFrame) -> DataFrame:
+    """A dataset that has never been tagged gets the field."""
+    return df if "tags" in df.columns else df.withColumn("tags", F.lit(None).cast("array<string>"))
+
+
 def _tag_list(tags: str | Sequence[str]) -> list[str]:
     return first_occurrences([tags] if isinstance(tags, str) else tags)
 
@@ -73,7 +77,7 @@ def tag_samples(
     ``sample_ids`` wins over ``view`` (a dataset or stage specs), an empty list selects
     nobody, and neither selects everybody. Samples that had the tags already count.
     """
-    df = _selection(ds, view, sample_ids)
+    df = _with_tags(_selection(ds, view, sample_ids))
     old = F.coalesce("tags", F.array().cast("array<string>"))
     added = F.array_union(old, text_array(_tag_list(tags)))
     df = df.withColumn("tags", F.when(F.col(_TOUCHED), added).otherwise(F.col("tags")))
@@ -85,7 +89,7 @@ def untag_samples(
 ) -> Change:
     """Remove tags from the selected samples; selection and count as in
     :func:`tag_samples`. Other tags keep their places and repeats."""
-    df = _selection(ds, view, sample_ids)
+    df = _with_tags(_selection(ds, view, sample_ids))
     gone = _tag_list(tags)
     left = F.filter("tags", lambda t: ~F.coalesce(t.isin(gone), F.lit(False)))
     df = df.withColumn("tags", F.when(F.col(_TOUCHED), left).otherwise(F.col("tags")))
@@ -94,7 +98,7 @@ def untag_samples(
 
 def count_sample_tags(ds: Dataset) -> DataFrame:
     """``tag, n``: the number of samples with each tag."""
-    once = ds.df.select(F.array_distinct("tags").alias("tags"))
+    once = _with_tags(ds.df).select(F.array_distinct("tags").alias("tags"))
     return (
         resolve_path(once, "tags")
         .filter(F.col("value").isNotNull())
@@ -136,8 +140,9 @@ def set_values(
 ) -> Change:
     """Set a field, new or not, of all samples.
 
-    * a dict ``{id: value}`` or a DataFrame ``(key, value)``: samples without a value
-      get null, unless ``keep_unmatched`` keeps what they have [chosen]. The count is
+    * a dict ``{id: value}`` or a DataFrame ``(key, value)``: of a dict's keys that are
+      equal as values of the key field the last wins, and None is no key; samples without
+      a value get null, unless ``keep_unmatched`` keeps what they have [chosen]. The count is
       of the non-null values assigned. ``key_field`` replaces the id as the key.
     * a list: one value per sample in dataset order, and the count is of all samples.
     """
@@ -147,8 +152,8 @@ def set_values(
         key_name = key_field or ds.id_col
         key_type = field_type(ds.df.schema, key_name)
         if isinstance(values, Mapping):
-            keys = [str(k) if isinstance(key_type, T.StringType) else k for k in values]
-            given = list(values.values())
+            values = {k: v for k, v in typed_mapping(values, key_type).items() if k is not None}
+            keys, given = list(values), list(values.values())
             table = key_table(
                 ds.spark, {"_key": (keys, key_type), "_value": (given, _spark_type(ds.spark, given))}
             )
@@ -184,27 +189,31 @@ def set_values(
 def remap_values(ds: Dataset, field: str, mapping: Mapping | DataFrame) -> Dataset:
     """Replace values of a scalar field; values not in the mapping stay.
 
-    A long mapping, or a DataFrame ``(old, new)``, is joined instead of inlined.
+    A long mapping, or a DataFrame ``(old, new)``, is joined instead of inlined. Keys
+    and values must be of the field's type. None as a key stands for null, None as a
+    value makes null.
     """
     dtype = field_type(ds.df.schema, field)
     value = F.col(quoted_path(field))
-    if isinstance(mapping, Mapping) and len(mapping) <= INLINE_VALUES:
-        return ds.with_df(with_path(ds.df, field, lookup(value, mapping).cast(dtype)))
     if isinstance(mapping, Mapping):
-        table = key_table(
-            ds.spark,
-            {"_key": (list(mapping), dtype), "_value": (list(mapping.values()), dtype)},
-        )
+        pairs = typed_mapping(mapping, dtype, dtype)
+        of_null = F.lit(pairs.pop(None, None)).cast(dtype)
+        if not pairs:
+            new = F.coalesce(value, of_null)
+            return ds.with_df(with_path(ds.df, field, new))
+        if len(pairs) <= INLINE_VALUES:
+            table = F.create_map(*[F.lit(x).cast(dtype) for pair in pairs.items() for x in pair])
+            new = F.when(F.map_contains_key(table, value), F.try_element_at(table, value)).otherwise(value)
+            return ds.with_df(with_path(ds.df, field, F.when(value.isNull(), of_null).otherwise(new)))
+        table = key_table(ds.spark, {"_key": (list(pairs), dtype), "_value": (list(pairs.values()), dtype)})
     else:
         table = _unique_values(mapping)
-    df = ds.df.join(
-        table.select(F.col("_key").cast(dtype), F.col("_value").cast(dtype)),
-        value == F.col("_key"),
-        "left",
-    )
-    return ds.with_df(
-        with_path(df, field, F.coalesce("_value", value)).drop("_key", "_value")
-    )
+        of_null = table.filter("_key IS NULL").select(F.col("_value").cast(dtype)).scalar()
+        table = table.filter("_key IS NOT NULL")
+    keys = table.select(F.col("_key").cast(dtype), F.col("_value").cast(dtype), F.lit(True).alias("_hit"))
+    df = ds.df.join(keys, value == F.col("_key"), "left")
+    new = F.when(value.isNull(), of_null).when(F.col("_hit"), F.col("_value")).otherwise(value)
+    return ds.with_df(with_path(df, field, new).drop("_key", "_value", "_hit"))
 
 
 def clone_field(ds: Dataset, field: str, new_field: str) -> Dataset:
@@ -251,13 +260,40 @@ def add_samples(ds: Dataset, samples: Sequence[Mapping] | DataFrame, batch: str)
     )
     added = samples.withColumn(ds.id_col, digest)
     if "position" not in ds.df.columns:
-        # The batch follows the samples already there, in its own order.
-        for name in ds.order:
-            if name not in added.columns and ds.df.schema[name].dataType == T.LongType():
-                last = ds.df.agg(F.coalesce(F.max(quoted(name)), F.lit(-1))).scalar()
-                added = added.withColumn(name, last + 1 + F.col("position"))
-        added = added.drop("position")
+        added = _placed_last(ds, added).drop("position")
     df = ds.df.withColumn(_TOUCHED, F.lit(False)).unionByName(
         added.withColumn(_TOUCHED, F.lit(True)), allowMissingColumns=True
     )
     return Change(ds.with_df(df))
+
+
+def _placed_last(ds: Dataset, added: DataFrame) -> DataFrame:
+    """Order values that put a batch behind the samples already there, in its own order.
+
+    The first order field that the batch lacks decides. A number goes on counting, a
+    date or time goes on in days or microseconds, and a text continues the largest one
+    with the position, in twenty digits. Later order fields stay null, since the first
+    one already tells the samples apart. In a reversed dataset the batch comes last too.
+    Other types raise.
+    """
+    missing = [n for n in ds.order if n not in added.columns and n != ds.id_col]
+    if not missing:
+        return added
+    name = missing[0]
+    dtype, place = ds.df.schema[name].dataType, F.col("position")
+    pick, sign = (F.min, -1) if ds.reverse else (F.max, 1)
+    last = ds.df.agg(pick(quoted(name))).scalar()
+    step = (place + 1) * sign
+    if isinstance(dtype, T.NumericType):
+        # A type that has no room for the next number raises instead of turning over.
+        value = (F.coalesce(last, F.lit(0 if ds.reverse else -1).cast(dtype)) + step).cast(dtype)
+    elif isinstance(dtype, T.DateType):
+        value = F.date_add(F.coalesce(last, F.lit("1970-01-01").cast(dtype)), step.cast("int"))
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        start = F.coalesce(last, F.lit("1970-01-01 00:00:00").cast(dtype))
+        value = (start + F.make_dt_interval(secs=(step / 1_000_000).cast("decimal(18,6)"))).cast(dtype)
+    elif isinstance(dtype, T.StringType) and not ds.reverse:
+        value = F.concat(F.coalesce(last, F.lit("")), F.lpad(place.cast("string"), 20, "0"))
+    else:
+        raise ValueError(f"samples can't be put behind others by '{name}' of type {dtype.simpleString()}: give its values")
+    return added.withColumn(name, value)

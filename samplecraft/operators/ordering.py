@@ -34,12 +34,13 @@ def sort_by(ds: Dataset, field_or_expr: str | Column, reverse: bool = False) ->
 
 
 def limit(ds: Dataset, limit: int) -> Dataset:
-    """The first ``limit`` samples in the current order."""
+    """The first ``limit`` samples in the current order, exactly as many also if ids repeat."""
     return ds.with_df(ranking.first_rows(ds.df, ds.order_columns(), limit, ds.reverse))
 
 
 def skip(ds: Dataset, skip: int) -> Dataset:
-    """All samples but the first ``skip`` in the current order."""
+    """All samples but the first ``skip`` in the current order, exactly as many also if
+    ids repeat."""
     return ds.with_df(ranking.after_rows(ds.df, ds.order_columns(), skip, ds.reverse))
 
 
@@ -85,11 +86,16 @@ def with_position(ds: Dataset, first: int = 0) -> DataFrame:
 
 
 def positioned(ds: Dataset, first: int = 0) -> DataFrame:
-    """``ds.df``, private columns included, with the column ``position``."""
+    """``ds.df``, private columns included, with the column ``position``.
+
+    Places are joined by id, so ids that repeat raise.
+    """
     names = [f"_order_{i}" for i in range(len(ds.order_columns()))]
     bare = ds.df.select(*[c.alias(n) for c, n in zip(ds.order_columns(), names)])
     places = ranking.ranked(bare, [F.col(n) for n in names], ds.reverse, first)
     places = places.select(F.col(names[-1]).alias("_id"), "position")
+    if not places.groupBy("_id").count().filter("count > 1").isEmpty():
+        raise ValueError(f"values of '{ds.id_col}' repeat, so samples have no place of their own")
     mine = F.col(quoted(ds.id_col)).eqNullSafe(F.col("_id"))  # a group's key may be null
     return ds.df.join(places, mine).drop("_id")
 

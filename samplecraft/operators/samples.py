@@ -12,7 +12,7 @@ from ..functions.predicates import (
     has_tags,
     sample_predicate,
 )
-from ..plans.keylists import INLINE_VALUES, as_text, first_occurrences, keys_with_position
+from ..plans.keylists import INLINE_VALUES, first_occurrences, keys_with_position, typed_keys
 
 
 def match(ds: Dataset, filter: Column | str) -> Dataset:
@@ -83,7 +83,7 @@ def _select_keys(ds: Dataset, field: str, keys, ordered: bool) -> Dataset:
     dtype = field_type(ds.df.schema, field)
     value = F.col(quoted_path(field))
     if not isinstance(keys, DataFrame):
-        keys = first_occurrences(keys)
+        keys = typed_keys(keys, dtype)
         if not ordered and len(keys) <= INLINE_VALUES:
             # A literal list reaches the Parquet scan as a pushed-down filter.
             return ds.keep(value.isin(keys) if keys else F.lit(False))
@@ -107,19 +107,18 @@ def select(ds: Dataset, sample_ids, ordered: bool = False) -> Dataset:
     """Keep the listed ids: a list, or a DataFrame with the ids in its first column.
 
     ``ordered`` puts the samples in list order. A repeated id keeps its first place,
-    unknown ids are ignored [chosen].
+    unknown ids and None are ignored [chosen].
     """
     if not isinstance(sample_ids, DataFrame):
         if isinstance(sample_ids, str):
             sample_ids = [sample_ids]
-        if ds.df.schema[ds.id_col].dataType.simpleString() == "string":
-            sample_ids = as_text(sample_ids)
     return _select_keys(ds, ds.id_col, sample_ids, ordered)
 
 
 def select_by(ds: Dataset, field: str, values, ordered: bool = False) -> Dataset:
     """Keep samples whose field has one of the values; ``ordered``: in value order,
-    samples of one value by id [chosen]."""
+    samples of one value by id [chosen]. None selects nothing, and a value that is not
+    of the field's type raises."""
     require_fields(ds, [field])
     return _select_keys(ds, field, values, ordered)
 
@@ -182,9 +181,7 @@ def id_flag(ds: Dataset, view: Dataset | None, sample_ids, flag: str) -> DataFra
     """
     ident = F.col(quoted(ds.id_col))
     if sample_ids is not None and not isinstance(sample_ids, DataFrame):
-        keys = first_occurrences(sample_ids)
-        if ds.df.schema[ds.id_col].dataType.simpleString() == "string":
-            keys = as_text(keys)
+        keys = typed_keys(sample_ids, ds.df.schema[ds.id_col].dataType)
         if len(keys) <= INLINE_VALUES:
             chosen = F.coalesce(ident.isin(keys), F.lit(False)) if keys else F.lit(False)
             return ds.df.withColumn(flag, chosen)

@@ -151,24 +151,89 @@ def add_sample_field(
     return ds.with_df(ds.df.select("*", column))
 
 
-def _typed(variant_schema: str) -> str:
-    """A variant schema as DDL over the declarable types: decimals become doubles, and
-    values without one type stay text."""
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", variant_schema)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl)
+FIELDS = 5_000  # fields that an inferred document may have in all
+
+_SIMPLE = {
+    "BIGINT": T.LongType(),
+    "BINARY": T.BinaryType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "DOUBLE": T.DoubleType(),
+    "FLOAT": T.DoubleType(),
+    "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
 
 
-def infer_fields(ds: Dataset, field: str, into: str | None = None) -> Dataset:
+class _VariantSchema:
+    """Reads a variant's schema, ``OBJECT<name: TYPE, ...>``, into a Spark type. Names
+    stand where the grammar has names, so a key may be called like a type."""
+
+    def __init__(self, text: str):
+        self.text, self.at, self.fields = text, 0, 0
+
+    def _take(self, what: str) -> bool:
+        if self.text.startswith(what, self.at):
+            self.at += len(what)
+            return True
+        return False
+
+    def _name(self) -> str:
+        if not self._take("`"):
+            end = self.text.index(":", self.at)
+            name, self.at = self.text[self.at : end], end
+            return name
+        name = ""
+        while True:
+            end = self.text.index("`", self.at)
+            name, self.at = name + self.text[self.at : end], end + 1
+            if not self._take("`"):
+                return name
+            name += "`"
+
+    def type(self) -> T.DataType:
+        if self._take("OBJECT<"):
+            found = []
+            while not self._take(">"):
+                self._take(", ")
+                name = self._name()
+                self._take(": ")
+                found.append(T.StructField(name, self.type()))
+                self.fields += 1
+            return T.StructType(found)
+        if self._take("ARRAY<"):
+            inner = self.type()
+            self._take(">")
+            return T.ArrayType(inner)
+        word = re.compile(r"[A-Z_]+(\(\d+, ?\d+\))?").match(self.text, self.at)
+        self.at = word.end()
+        if word[0].startswith("DECIMAL"):
+            return T.DoubleType()
+        # Nothing but nulls, or values without one type, stay text.
+        return _SIMPLE.get(word[0], T.StringType())
+
+
+def infer_fields(ds: Dataset, field: str, into: str | None = None, max_fields: int = FIELDS) -> Dataset:
     """Turn a JSON text field into a typed one.
 
-    The schema is merged over all rows, so it costs one pass; the result is the struct
-    field ``into`` (default: the field itself). Text that is no JSON gives null.
+    The schema is merged over all rows that hold a JSON object; the result is the struct
+    field ``into`` (default: the field itself). Text that is no JSON, or JSON that is no
+    object, gives null; without any object it raises. Decimals become doubles, values of
+    mixed types stay text. JSON that is used as a map, so with more than ``max_fields``
+    different keys, raises: the keys are counted first, and then all nested fields.
     """
     field_type(ds.df.schema, field)
     text = F.col(quoted_path(field))
-    found = ds.df.agg(F.schema_of_variant_agg(F.try_parse_json(text))).first()[0]
+    keys = ds.df.select(F.explode(F.json_object_keys(text)).alias("k")).agg(F.approx_count_distinct("k", 0.05)).first()[0]
+    if keys > 1.2 * max_fields:
+        raise ValueError(f"'{field}' has about {keys} different keys, more than {max_fields}")
+    parsed = F.try_parse_json(text)
+    objects = ds.df.select(parsed.alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT<"))
+    found = objects.agg(F.schema_of_variant_agg("v")).first()[0]
     if not found.startswith("OBJECT<"):
-        raise ValueError(f"'{field}' does not hold JSON objects but {found}")
-    typed = F.from_json(text, _typed(found))
-    return ds.with_df(ds.df.withColumn(into or field, typed))
+        raise ValueError(f"'{field}' does not hold JSON objects")
+    reader = _VariantSchema(found)
+    dtype = reader.type()
+    if reader.fields > max_fields:
+        raise ValueError(f"'{field}' has {reader.fields} fields, more than {max_fields}")
+    return ds.with_df(ds.df.withColumn(into or field, F.from_json(text, dtype)))

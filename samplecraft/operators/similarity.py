@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numbers as numbers_abc
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +13,7 @@ from pyspark.sql import Window
 from ..dataset import ORDER, Dataset, field_type, quoted_path
 from ..functions import vectors as V
 from ..plans import vector_cells
-from ..plans.skew import attach
+from ..plans.vector_cells import DIGEST
 from ..plans.staging import staged
 from .ordering import limit
 from .samples import select
@@ -44,40 +47,47 @@ def _mean_vector(rows: DataFrame, vec: str) -> list[float]:
     return [row["x"] for row in means]
 
 
-def _query_vector(ds: Dataset, query, vec: str) -> list[float]:
-    if isinstance(query, (list, tuple)) and any(isinstance(x, float) for x in query):
-        return [float(x) for x in query]
-    if not isinstance(query, (list, tuple, DataFrame)):
-        query = [query]
+def _query_vector(ds: Dataset, query, vector, vec: str) -> list[float]:
+    if (query is None) == (vector is None):
+        raise ValueError("give either a query or a vector")
+    if vector is None and not isinstance(query, (str, DataFrame)):
+        values = [query] if np.ndim(query) == 0 else list(query)
+        numbers = bool(values) and all(isinstance(x, numbers_abc.Real) and not isinstance(x, bool) for x in values)
+        counted = isinstance(ds.df.schema[ds.id_col].dataType, T.NumericType)
+        fractions = any(not isinstance(x, numbers_abc.Integral) for x in values)
+        if np.ndim(query) and numbers and (fractions or not counted):
+            vector = values
+        else:
+            query = values
+    if vector is not None:
+        return [float(x) for x in vector]
     return _mean_vector(select(ds, query).df, vec)
 
 
 def sort_by_similarity(
     ds: Dataset,
-    query,
+    query=None,
     k: int | None = None,
     brain_key: str | None = None,
     metric: str = "cosine",
     dist_field: str | None = None,
+    vector=None,
 ) -> Dataset:
     """Order by nearness to ``query``; ``k`` keeps the nearest k.
 
-    ``query`` is a vector (a list of floats), an id, ids, or a DataFrame of ids; several
-    ids stand for the mean of their vectors. ``brain_key`` names the embedding column
-    and ``dist_field`` a field for the distances. Samples without a vector are left out
-    [chosen]. Text queries need a model and are not supported.
+    ``query`` is an id, ids, a DataFrame of ids, or a vector; several ids stand for the
+    mean of their vectors. ``vector`` is always a vector. A list or array of numbers is a
+    vector if it has a fraction type or the dataset's ids are not numbers; whole numbers
+    are ids where ids are numbers [chosen]. ``brain_key`` names the embedding column and
+    ``dist_field`` a field for the distances. Samples without a vector are left out
+    [chosen]; a vector of another length, and for the cosine metric a query of length
+    zero, raises. Text queries need a model and are not supported.
     """
     if metric not in V.METRICS:
         raise ValueError(f"metric must be one of {', '.join(V.METRICS)}")
     vec = embedding_field(ds, brain_key)
-    value, target = F.col(quoted_path(vec)), _query_vector(ds, query, vec)
-    if metric == "cosine":
-        apart = F.lit(1.0) - V.cosine_to(value, target)
-    else:
-        apart = V.euclidean(value, F.lit(target))
-    # A filter on the distance would be pushed below it and compute it twice; it cannot
-    # be pushed below a list that is unwound, here of one distance.
-    df = ds.df.drop(ORDER).select("*", F.explode_outer(F.array(apart)).alias(ORDER))
+    apart = V.distance_to(F.col(quoted_path(vec)), _query_vector(ds, query, vector, vec), metric)
+    df = ds.df.drop(ORDER).withColumn(ORDER, apart)
     df = df.filter(F.col(ORDER).isNotNull() & ~F.isnan(ORDER))
     if dist_field is not None:
         df = df.withColumn(dist_field, F.col(ORDER))
@@ -97,7 +107,9 @@ def knn_join(
     """``query_id, rank, neighbour_id, distance``: the k nearest base samples of every
     query sample, exactly; ties go to the smaller id.
 
-    ``exclude_self`` leaves out the base sample with the query's id.
+    ``exclude_self`` leaves out the base sample with the query's id. Samples on either
+    side whose vector is null, has a missing number or, for the cosine metric, has
+    length zero are left out.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -130,8 +142,9 @@ def knn_join(
     lists = found.groupBy("key").agg(
         F.slice(F.sort_array(F.flatten(F.collect_list(one))), 1, need).alias("near")
     )
-    per_vector = vectors.select("key", "vec", "copies").join(lists, "key")
-    answers = attach(asked, per_vector.select("vec", "copies", "near"), "vec")
+    per_vector = vectors.select("key", *DIGEST).join(lists, "key").drop("key")
+    # One row per digest on this side: adaptive execution splits a vector with many ids.
+    answers = asked.select("id", *DIGEST).join(per_vector, DIGEST)
     near = F.col("near")
     if exclude_self:
         near = F.filter(near, lambda n: n["id"] != F.col("id"))
@@ -159,7 +172,9 @@ def near_duplicates(
     similarity of the two, and ``n_near`` how many other samples are within the
     threshold of ``id_b``. All pairs are compared (exactly, up to what the triangle
     inequality rules out), but a group of m copies gives m - 1 rows and not m squared
-    pairs [chosen]. For thresholds in (0, 1].
+    pairs [chosen]. For thresholds in (0, 1]. Samples whose vector is null, has a
+    missing number or has length zero are left out. A cosine of up to 1e-9 less than the
+    threshold counts, so that parallel vectors are found at 1.
     """
     if not 0.0 < threshold <= 1.0:
         raise ValueError("threshold must be in (0, 1]")
@@ -178,9 +193,10 @@ def near_duplicates(
         )
         return ds.spark.createDataFrame([], schema)
     counts = vector_cells.neighbour_counts(cells, threshold).filter(F.col("total") > 1)
-    per_vector = members.select("key", "vec", "copies").join(counts, "key").drop("key")
+    per_vector = members.select("key", *DIGEST).join(counts, "key").drop("key")
     return (
-        attach(rows, per_vector, "vec")
+        rows.select("id", *DIGEST)
+        .join(per_vector, DIGEST)
         .filter(F.col("first") < F.col("id"))
         .select(
             F.col("first").alias("id_a"),
@@ -200,7 +216,8 @@ def uniqueness(
     """``id, uniqueness``: the mean cosine distance to the k nearest other samples,
     divided by the largest such mean, so the most isolated sample has 1 [chosen].
 
-    A sample without any other sample to compare with has 1.
+    A sample without any other sample to compare with has 1; samples whose vector is
+    null, has a missing number or has length zero are left out.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -227,9 +244,9 @@ def uniqueness(
         (apart / F.nullif(F.sum("used"), F.lit(0))).alias("mean")
     )
     means = staged(means, "means")
-    per_vector = members.select("key", "vec", "copies").join(means, "key").drop("key")
+    per_vector = members.select("key", *DIGEST).join(means, "key").drop("key")
     largest = means.agg(F.max("mean")).scalar()
     scaled = F.when(F.col("mean").isNull(), 1.0).when(largest == 0, 0.0)
-    return attach(rows, per_vector, "vec").select(
+    return rows.select("id", *DIGEST).join(per_vector, DIGEST).select(
         "id", scaled.otherwise(F.col("mean") / largest).alias("uniqueness")
     )

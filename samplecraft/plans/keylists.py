@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +17,32 @@ def first_occurrences(values: Iterable) -> list:
     return list(dict.fromkeys(values))
 
 
-def as_text(values: Iterable) -> list[str]:
-    return [str(v) for v in values]
+def typed_keys(values: Iterable, dtype: T.DataType) -> list:
+    """The distinct values that are not None, as values of a field's type, in order.
+
+    A text field takes every value as its text. For other types a value that the type
+    does not hold raises, whether the list is short or long.
+    """
+    known = [v for v in values if v is not None]
+    if isinstance(dtype, T.StringType):
+        return first_occurrences(str(v) for v in known)
+    try:
+        found = pa.array(known, type=to_arrow_type(dtype)).to_pylist()
+        if isinstance(dtype, T.IntegralType) and found != known:
+            raise TypeError(f"no whole numbers: {[v for v, f in zip(known, found) if v != f][:3]}")
+        return first_occurrences(found)
+    except (pa.ArrowException, TypeError, OverflowError) as failure:
+        raise ValueError(f"not all values are of the type {dtype.simpleString()}: {failure}") from None
+
+
+def typed_mapping(mapping: Mapping, dtype: T.DataType, value_type: T.DataType | None = None) -> dict:
+    """A mapping with its keys, and its values if their type is given, as values of a
+    field's type. None stays None, as a key too; of keys that become equal the last wins."""
+
+    def one(value, kind):
+        return value if value is None or kind is None else typed_keys([value], kind)[0]
+
+    return {one(k, dtype): one(v, value_type) for k, v in mapping.items()}
 
 
 def key_table(

@@ -5,13 +5,17 @@ rows into one partition. Both are fine for a page and wrong for a billion rows.
 limit or a skip becomes a filter against the key of the n-th row, so the wide rows
 never move, and only the narrow sort keys are ranked:
 
-* up to ``TOPK_KEYS`` keys: one top-k over the key columns, as a scalar subquery;
+* up to ``TOPK_KEYS`` keys: one top-k over the key columns;
 * beyond: keys range-partitioned and sorted, written once, and ranked as
   ``rows in earlier partitions + index within the partition``.
 
 A key is a list of columns that are compared one by one, nulls lowest; as a struct it
-compares the same way. It ends in the unique id, so a sort value shared by a third of the rows is split
-over range partitions like any other.
+compares the same way. It ends in the id, so a sort value shared by a third of the rows
+is split over range partitions like any other.
+
+Keys may repeat, and the number of rows is exact all the same, for every n: if rows
+beyond the n-th have its key too, those with this one key are numbered where they are,
+and as many of them count as are missing. Which of the equal ones these are is open.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import Window
 from .staging import staged
 
 TOPK_ROWS = 1_000  # whole rows one top-k task may hold
-TOPK_KEYS = 100_000  # bare sort keys one top-k task may hold
+TOPK_KEYS = 10_000  # bare sort keys one top-k task may hold
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition above, row index below
 
@@ -39,18 +43,16 @@ def ranked(df: DataFrame, keys: list[Column], reverse: bool = False, first: int
     table is written before it is counted because range boundaries are sampled: two runs
     of the same plan may cut differently.
     """
-    names = df.columns
-    placed = (
-        df.repartitionByRange(*directed(keys, reverse))
-        .sortWithinPartitions(*directed(keys, reverse))
-        .select(
-            *[F.col(f"`{c}`") for c in names],
-            F.spark_partition_id().alias("_part"),
-            F.monotonically_increasing_id().bitwiseAND((1 << _INDEX_BITS) - 1).alias("_index"),
-        )
-    )
-    table = staged(placed, "ranked")
-    # One row per range partition, whatever the data: a bounded window and broadcast.
+    order = directed(keys, reverse)
+    placed = _placed(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    return _with_offsets(placed, "ranked", first)
+
+
+def _with_offsets(placed: DataFrame, label: str, first: int = 0) -> DataFrame:
+    """Write rows with their partition and their index in it; number them all."""
+    names = [c for c in placed.columns if c not in ("_part", "_index")]
+    table = staged(placed, label)
+    # One row per partition, whatever the data: a bounded window and broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         table.groupBy("_part")
@@ -63,31 +65,63 @@ def ranked(df: DataFrame, keys: list[Column], reverse: bool = False, first: int
     )
 
 
-def nth_key(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> Column:
-    """The key of the n-th row (from 1), or of the last one if there are fewer, as a
-    scalar subquery that gives a struct."""
+def _placed(df: DataFrame) -> DataFrame:
+    """Partition and index of each row where it is."""
+    return df.select(
+        "*",
+        F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND((1 << _INDEX_BITS) - 1).alias("_index"),
+    )
+
+
+def _cut(df: DataFrame, keys: list[Column], n: int, reverse: bool) -> tuple[Column, int | None]:
+    """The key of the n-th row (from 1; of the last one, if there are fewer) as a
+    constant struct, and how many rows of this key belong to the first n, or None if all
+    do. One job over the bare keys."""
     bare = df.select(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)])
     keys = [F.col(c) for c in bare.columns]
-    if n <= TOPK_KEYS:
-        first = bare.orderBy(*directed(keys, reverse)).limit(n)
-        last = first.orderBy(*directed(keys, not reverse)).limit(1)
-        return last.select(F.struct(*keys)).scalar()
-    positions = ranked(bare, keys, reverse)
-    cut = F.max_by(F.struct(*keys), F.col("position"))
-    return positions.filter(F.col("position") < n).agg(cut).scalar()
+    if n < TOPK_KEYS:
+        first = bare.orderBy(*directed(keys, reverse)).limit(n + 1)
+        # At most n + 1 keys, sorted by the top-k: a bounded window.
+        place = F.row_number().over(Window.orderBy(*directed(keys, reverse))) - 1
+        first = first.select(F.struct(*keys).alias("key"), place.alias("position"))
+    else:
+        first = ranked(bare, keys, reverse).select(F.struct(*keys).alias("key"), "position")
+    key, place = F.col("key"), F.col("position")
+    ends = first.agg(
+        F.max_by(key, F.when(place < n, place)).alias("cut"),
+        F.max_by(key, F.when(place == n, place)).alias("next"),
+    ).withColumn("tied", F.col("next").eqNullSafe(F.col("cut")))
+    row = ends.first()
+    constant = df.sparkSession.createDataFrame([(row["cut"],)], ends.select("cut").schema)
+    cut = constant.select("cut").scalar()
+    if row["cut"] is None or not row["tied"]:
+        return cut, None
+    return cut, first.filter((place < n) & (key == cut)).count()
 
 
 def first_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> DataFrame:
+    """Exactly the first ``n`` rows, or all if there are fewer."""
     if n <= 0:
         return df.limit(0)
     if n <= TOPK_ROWS:
         return df.orderBy(*directed(keys, reverse)).limit(n)
-    cut, key = nth_key(df, keys, n, reverse), F.struct(*keys)
-    return df.filter(key >= cut if reverse else key <= cut)
+    cut, here = _cut(df, keys, n, reverse)
+    key = F.struct(*keys)
+    if here is None:
+        return df.filter(key >= cut if reverse else key <= cut)
+    tied = _with_offsets(_placed(df.filter(key == cut)), "tied-rows").filter(F.col("position") < here)
+    return df.filter(key > cut if reverse else key < cut).unionByName(tied.drop("position"))
 
 
 def after_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> DataFrame:
+    """All rows but exactly the first ``n``."""
     if n <= 0:
         return df
-    cut, key = nth_key(df, keys, n, reverse), F.struct(*keys)
-    return df.filter(key < cut if reverse else key > cut)
+    cut, here = _cut(df, keys, n, reverse)
+    key = F.struct(*keys)
+    later = df.filter(key < cut if reverse else key > cut)
+    if here is None:
+        return later
+    tied = _with_offsets(_placed(df.filter(key == cut)), "tied-rows").filter(F.col("position") >= here)
+    return later.unionByName(tied.drop("position"))

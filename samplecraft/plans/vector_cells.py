@@ -19,6 +19,7 @@ chunk, so chunks are as large as a task's memory comfortably allows.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -33,15 +34,17 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.vectors import squared_norm
+from ..functions.vectors import usable
 from .staging import staged, written
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ONE_CELL_ROWS = 4_096  # up to here a single matrix product is quicker than any cells
 CELL_ROWS = 128  # members per cell: bounds bite when cells are finer than clusters,
-MAX_PIVOTS = 4_096  # and pivots have to fit in every task
+PIVOTS = 4_096  # but every vector is compared with every pivot: beyond this many, pivots
+MAX_PIVOTS = 65_536  # grow as the root of the vectors, and they have to fit in every task
+COSINE_SLACK = 1e-9  # a cosine this much below a threshold counts
+SALTS = 64  # parts in which the smallest ids of one vector are found
 CHUNK_ROWS = 16_384
 TILE_ROWS = 512  # vectors handled at a time inside a task
 _SLACK = 1e-6  # more than the rounding error of a distance, relative to vector length
@@ -97,36 +100,41 @@ def same_keys(queries: pa.Table, members: pa.Table) -> tuple[np.ndarray, np.ndar
 
 
 def comparable(df: DataFrame, id_col: str, vec_col: str, unit: bool) -> DataFrame:
-    """``id, vec`` of the rows that can be compared: no null, no NaN, and for cosine a
-    length above zero."""
-    square = squared_norm(F.col("vec"))
-    usable = (square > 0 if unit else square >= 0) & (square < float("inf"))
-    return df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vec_col}`").alias("vec")).filter(
-        usable
+    """``id, vec, d1, d2`` of the rows that can be compared: no null, no NaN, and for
+    cosine a length above zero. ``d1, d2`` are a digest of the vector: rows are grouped
+    and joined by it, so that vectors are carried and not compared."""
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vec_col}`").alias("vec"))
+    return rows.filter(usable(F.col("vec"), unit)).select(
+        "id", "vec", F.xxhash64("vec").alias("d1"), F.xxhash64(F.lit(1), "vec").alias("d2")
     )
 
 
+DIGEST = ["d1", "d2"]
+
+
 def collapse(vectors: DataFrame, ids: int = 1) -> DataFrame:
-    """``key, vec, copies, ids``: identical vectors as one row, written to storage.
+    """``key, vec, copies, ids, d1, d2``: identical vectors as one row, written to storage.
 
-    ``key`` is the smallest id and ``ids`` the ``ids`` smallest. Both steps shrink each
-    group before the shuffle: the count by partial aggregation, the ids by a rank limit.
+    ``key`` is the smallest id and ``ids`` the ``ids`` smallest. Copies are combined
+    before the shuffle; the smallest ids of a vector that a third of the rows share are
+    found in ``SALTS`` parts first, whatever their number.
     """
-    counted = vectors.groupBy("vec").agg(
-        F.min("id").alias("key"), F.count(F.lit(1)).alias("copies")
+    counted = vectors.groupBy(*DIGEST).agg(
+        F.min("id").alias("key"), F.count(F.lit(1)).alias("copies"), F.any_value("vec").alias("vec")
     )
     if ids == 1:
         table = counted.withColumn("ids", F.array("key"))
     else:
-        place = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
+        salted = vectors.select("id", *DIGEST, F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+        place = F.row_number().over(Window.partitionBy(*DIGEST, "salt").orderBy("id"))
         smallest = (
-            vectors.withColumn("place", place)
+            salted.withColumn("place", place)
             .filter(F.col("place") <= ids)
-            .groupBy("vec")
-            .agg(F.sort_array(F.collect_list("id")).alias("ids"))
+            .groupBy(*DIGEST)
+            .agg(F.slice(F.sort_array(F.collect_list("id")), 1, ids).alias("ids"))
         )
-        table = counted.join(smallest, "vec")
-    return staged(table.select("key", "vec", "copies", "ids"), "vectors")
+        table = counted.join(smallest, DIGEST)
+    return staged(table.select("key", "vec", "copies", "ids", *DIGEST), "vectors")
 
 
 # -- cells ---------------------------------------------------------------------------
@@ -192,9 +200,8 @@ def build_cells(vectors: DataFrame, unit: bool, cell_rows: int | None = None) ->
     total = vectors.count()
     if total == 0:
         return None
-    if cell_rows is None:
-        cell_rows = ONE_CELL_ROWS if total <= ONE_CELL_ROWS else CELL_ROWS
-    wanted = min(max(total // cell_rows, 1), MAX_PIVOTS)
+    wanted = max(total // (cell_rows or CELL_ROWS), 1)
+    wanted = min(wanted, max(PIVOTS, math.isqrt(total)), MAX_PIVOTS)
     drawn = vectors.orderBy(F.xxhash64("key"), "key").select("vec").limit(wanted).toArrow()
     pivots = matrix(drawn["vec"], unit)
     # Written, so that every later step sees one and the same assignment.
@@ -217,7 +224,6 @@ def routed(cells: Cells, queries: DataFrame, radius: float | None) -> DataFrame:
     """
     pivots, unit, slack = cells.pivots, cells.unit, cells.slack
     inner, outer, filled = cells.inner, cells.outer, cells.rows > 0
-    between = distances(pivots, pivots, unit)
     by_column, tile = radius is None, TILE_ROWS
 
     def visit(batches):
@@ -225,7 +231,7 @@ def routed(cells: Cells, queries: DataFrame, radius: float | None) -> DataFrame:
             apart = distances(matrix(batch["vec"], unit), pivots, unit)
             at, home = np.arange(len(apart)), batch["cell"].to_numpy()
             limit = batch["radius"].to_numpy()[:, None] if by_column else radius
-            gap = between[home]
+            gap = distances(pivots[home], pivots, unit)
             plane = np.divide(
                 apart**2 - apart[at, home][:, None] ** 2,
                 2.0 * gap,
@@ -248,7 +254,8 @@ def routed(cells: Cells, queries: DataFrame, radius: float | None) -> DataFrame:
     schema = T.StructType(
         [fields["key"], fields["vec"], T.StructField("cells", T.ArrayType(T.IntegerType()))]
     )
-    visits = queries.select(*columns).mapInArrow(visit, schema)
+    # Written, since visits are counted before they are made.
+    visits = staged(queries.select(*columns).mapInArrow(visit, schema), "visits")
     return visits.select("key", "vec", F.explode("cells").alias("cell"))
 
 
@@ -314,10 +321,12 @@ def neighbour_counts(cells: Cells, least_cosine: float) -> DataFrame:
         ]
     )
 
+    least = least_cosine - COSINE_SLACK
+
     def summarise(q: pa.Table, asked: np.ndarray, m: pa.Table, known: np.ndarray) -> pa.Table:
         close = asked @ known.T
         close[same_keys(q, m)] = 1.0
-        hit = close >= least_cosine
+        hit = close >= least
         some = np.nonzero(hit.any(axis=1))[0]
         first = hit[some].argmax(axis=1)
         total = hit[some] @ m["copies"].to_numpy().astype(np.int64)
@@ -330,7 +339,7 @@ def neighbour_counts(cells: Cells, least_cosine: float) -> DataFrame:
             }
         )
 
-    radius = float(np.sqrt(max(2.0 - 2.0 * least_cosine, 0.0)))
+    radius = float(np.sqrt(max(2.0 - 2.0 * least, 0.0)))
     visits = routed(cells, cells.members, radius)
     parts = probe(cells, visits, ["copies"], summarise, schema)
     return (

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import Window
 from ..dataset import Dataset, quoted, stored_definition
 from ..operators.mutations import count_sample_tags
 from ..operators.schema import get_field_schema
+from ..operators.stages import apply_stages
 
 # What the summary leaves out, and where its value counts end.
 SUMMARY_SKIPS = ("id", "filepath", "metadata")
@@ -31,6 +33,9 @@ _LISTING = (
 NESTED_AS_TEXT = ("csv",)  # formats without nested types
 
 
+_FAILURES = (PySparkException, Py4JError)
+
+
 class UnknownDataset(ValueError):
     """No dataset or view of that name."""
 
@@ -73,36 +78,40 @@ def list_datasets(
 ) -> DataFrame:
     """One row per dataset: name, media_type, num_samples, persistent, tags, error.
 
-    ``sources`` maps names to Parquet paths; None lists the catalog. Sizes come from one
-    plan for all datasets, and a plain count reads no column. A dataset that cannot be
-    opened has a row with its error instead of failing the listing.
+    ``sources`` maps names to Parquet paths; None lists the catalog. The sizes are counted
+    at once, by one plan for all datasets, which reads no column. A dataset that cannot be
+    opened or read has a row with its error instead of failing the listing: if the common
+    plan fails, each dataset is counted on its own.
     """
     if sources is None:
         entries = [(t.name, not t.isTemporary) for t in spark.catalog.listTables()]
     else:
         entries = [(name, True) for name in sources]
-    rows = []
+    rows, counted = {}, {}
     for name, persistent in entries:
         try:
             df = spark.read.parquet(sources[name]) if sources else spark.table(name)
-            known, error = stored_definition(df), None
-            sized = df.agg(F.count(F.lit(1)).alias("num_samples"))
-        except PySparkException as failure:
-            known, error = {}, str(failure).splitlines()[0]
-            sized = spark.range(1).select(F.lit(None).cast("long").alias("num_samples"))
-        rows.append(
-            sized.select(
-                F.lit(name).alias("name"),
-                F.lit(known.get("media_type")).cast("string").alias("media_type"),
-                "num_samples",
-                F.lit(persistent).alias("persistent"),
-                F.lit(list(known.get("tags", []))).cast("array<string>").alias("tags"),
-                F.lit(error).cast("string").alias("error"),
-            )
-        )
-    if not rows:
-        return spark.createDataFrame([], _LISTING)
-    return reduce(DataFrame.unionByName, rows)
+            known = stored_definition(df)
+            rows[name] = [name, known.get("media_type"), None, persistent, list(known.get("tags", [])), None]
+            counted[name] = df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        except _FAILURES as failure:
+            rows[name] = [name, None, None, persistent, [], _reason(failure)]
+    try:
+        if counted:
+            for row in reduce(DataFrame.unionByName, counted.values()).collect():
+                rows[row["name"]][2] = row["n"]
+    except _FAILURES:
+        for name, size in counted.items():
+            try:
+                rows[name][2] = size.first()["n"]
+            except _FAILURES as failure:
+                rows[name][5] = _reason(failure)
+    return spark.createDataFrame([tuple(r) for r in rows.values()], _LISTING)
+
+
+def _reason(failure: Exception) -> str:
+    lines = [x.strip() for x in str(failure).splitlines() if x.strip()]
+    return lines[0] if lines else type(failure).__name__
 
 
 # -- summary -------------------------------------------------------------------------
@@ -197,19 +206,56 @@ def dataset_summary(ds: Dataset) -> Summary:
 # -- saved views ---------------------------------------------------------------------
 
 
-def save_view(ds: Dataset, name: str) -> None:
-    """Save a view by name for this session, its order and label fields with it.
+def save_view(ds: Dataset, name: str, folder: str | None = None, stages=None, replace: bool = False) -> None:
+    """Save a view by name, its order and label fields with it.
 
-    The view stays lazy: loading it re-runs its stages on the current data.
+    Without a ``folder`` the view lives as long as the session and stays lazy: loading it
+    re-runs its stages on the current data. With one it outlives the session, in one of
+    two ways: with ``stages`` their specs are saved, and ``load_view`` applies them to the
+    dataset that it is given; without, the view's samples are written as they are now.
+    A name that is taken raises, unless ``replace`` is set, which a written view refuses:
+    lazy results may still read it.
     """
-    ds.stamped().createOrReplaceTempView(name)
-
-
-def load_view(spark: SparkSession, name: str) -> Dataset:
-    """A saved view; an unknown name is an error."""
-    if name not in {t.name for t in spark.catalog.listTables() if t.isTemporary}:
-        raise UnknownDataset(f"no saved view '{name}'")
-    return Dataset.from_df(spark.table(name))
+    if folder is None:
+        if not replace and name in _session_views(ds.spark):
+            raise ValueError(f"a view '{name}' is saved already")
+        view = apply_stages(ds, stages) if stages else ds
+        view.stamped().createOrReplaceTempView(name)
+        return
+    if replace:
+        raise ValueError("a view in a folder is not replaced: save it under a new name")
+    path = f"{folder.rstrip('/')}/{name}"
+    if stages is None:
+        export_samples(ds, path)
+        return
+    apply_stages(ds, stages)  # a spec that does not work is not saved
+    specs = [(i, json.dumps(dict(s))) for i, s in enumerate(stages)]
+    ds.spark.createDataFrame(specs, _SPECS).coalesce(1).write.parquet(path)
+
+
+_SPECS = "view_stage int, view_spec string"
+
+
+def _session_views(spark: SparkSession) -> set[str]:
+    return {t.name for t in spark.catalog.listTables() if t.isTemporary}
+
+
+def load_view(spark: SparkSession, name: str, folder: str | None = None, ds: Dataset | None = None) -> Dataset:
+    """A saved view; an unknown name is an error. One that was saved as stages needs the
+    dataset ``ds`` to apply them to."""
+    if folder is None:
+        if name not in _session_views(spark):
+            raise UnknownDataset(f"no saved view '{name}'")
+        return Dataset.from_df(spark.table(name))
+    try:
+        df = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+    except PySparkException as failure:
+        raise UnknownDataset(f"no saved view '{name}': {_reason(failure)}") from None
+    if df.columns != ["view_stage", "view_spec"]:
+        return Dataset.from_df(df)
+    if ds is None:
+        raise ValueError(f"the view '{name}' is saved as stages: name the dataset")
+    return apply_stages(ds, [json.loads(r.view_spec) for r in df.orderBy("view_stage").collect()])
 
 
 # -- import, export, clone -----------------------------------------------------------

@@ -206,3 +206,37 @@ def test_find_issues(spark):
     assert issues[("filepath", "duplicate")][0] == 2
     none = sc.find_issues(ds.with_df(ds.df.limit(0))).collect()
     assert {(r.n, r.share) for r in none} == {(0, 0.0)}
+
+
+def test_a_damaged_file_has_an_error_in_its_row(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), tmp_path / "bad"
+    spark.range(5).write.parquet(good)
+    spark.range(5).coalesce(1).write.parquet(str(bad))
+    part = next(p for p in bad.iterdir() if p.suffix == ".parquet")
+    whole = part.read_bytes()
+    (bad / "part-x.parquet").write_bytes(whole[:-20] + b"\0" * 20)
+    rows = {r.name: r for r in sc.list_datasets(spark, {"good": good, "bad": str(bad), "gone": str(tmp_path / "no")}).collect()}
+    assert rows["good"].num_samples == 5 and rows["good"].error is None
+    assert rows["bad"].num_samples is None and rows["bad"].error
+    assert rows["gone"].num_samples is None and rows["gone"].error
+
+
+def test_views_in_a_folder(spark, ten, tmp_path):
+    folder, stages = str(tmp_path), [{"type": "MatchTags", "tags": ["train"]}, {"type": "SortBy", "field_or_expr": "score"}]
+    view = sc.apply_stages(ten, stages)
+    sc.save_view(view, "samples", folder)
+    sc.save_view(ten, "stages", folder, stages=stages)
+    expected = [r.sample_id for r in view.sorted_rows().collect()]
+    for name in ("samples", "stages"):
+        assert [r.sample_id for r in sc.load_view(spark, name, folder, ten).sorted_rows().collect()] == expected
+    with pytest.raises(Exception, match="exist"):
+        sc.save_view(view, "samples", folder)
+    with pytest.raises(ValueError, match="name the dataset"):
+        sc.load_view(spark, "stages", folder)
+    with pytest.raises(sc.UnknownDataset):
+        sc.load_view(spark, "other", folder)
+    with pytest.raises(ValueError):
+        sc.save_view(ten, "bad", folder, stages=[{"type": "Nothing"}])
+    sc.save_view(view, "taken")
+    with pytest.raises(ValueError, match="saved already"):
+        sc.save_view(view, "taken")

@@ -129,3 +129,26 @@ def test_patches_account_for_every_label(scenes):
 def test_detections_need_label_lists(ten):
     with pytest.raises(ValueError, match="not a list of labels"):
         sc.evaluate_detections(ten, "tags", "tags")
+
+
+def test_one_crowded_sample(spark):
+    random = np.random.default_rng(1)
+    def crowd(prefix):
+        return [(f"{prefix}{i}", "c", float(random.random()), [float(x) for x in random.random(2) * 40] + [1.0, 1.0]) for i in range(1600)]
+    rows = [("one", crowd("p"), crowd("t"))]
+    ds = dataset(spark, rows, f"sample_id string, predictions {BOX}, ground_truth {BOX}")
+    got = {(r.pred_id, r.truth_id) for r in sc.evaluate_detections(ds, "predictions", "ground_truth", 0.3).collect()}
+    assert got == {(p, t) for p, t, _ in greedy(rows[0][1], rows[0][2], 0.3, True)}
+
+
+def test_a_stored_run_survives_a_reload(scenes, tmp_path):
+    ds, _ = scenes
+    joined = ds.with_run("eval", sc.evaluate_detections(ds, "predictions", "ground_truth"))
+    expected = sorted(map(str, sc.to_evaluation_patches(joined, "eval").rows().collect()))
+    stored = sc.store_evaluation(ds, "eval")
+    assert sorted(map(str, sc.to_evaluation_patches(stored, "eval").rows().collect())) == expected
+    again = sc.clone_dataset(stored, str(tmp_path / "copy"))
+    assert sorted(map(str, sc.to_evaluation_patches(again, "eval").rows().collect())) == expected
+    assert "_run_eval" not in again.rows().columns
+    with pytest.raises(ValueError, match="have: eval"):
+        sc.to_evaluation_patches(again, "other")

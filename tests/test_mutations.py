@@ -185,3 +185,77 @@ def test_every_sample_needs_a_filepath(spark, six, bad):
     table = spark.createDataFrame([(0, bad.get("filepath"))], "position long, filepath string")
     with pytest.raises(ValueError, match="filepath"):
         sc.add_samples(six, table, "batch")
+
+
+@pytest.mark.parametrize("inline", [1, 1_000])
+def test_short_and_long_key_lists_are_alike(spark, monkeypatch, inline):
+    for module in ("samples", "mutations"):
+        monkeypatch.setattr(f"samplecraft.operators.{module}.INLINE_VALUES", inline)
+    rows = [("a", 1, "x"), ("b", 2, None), ("c", None, "z"), ("7", 7, "x")]
+    ds = dataset(spark, rows, "sample_id string, n long, s string", 2)
+    assert {r.sample_id for r in sc.select_by(ds, "n", [1, 2, None, 9]).df.collect()} == {"a", "b"}
+    assert {r.sample_id for r in sc.select(ds, ["a", 7, None]).df.collect()} == {"a", "7"}
+    for wrong in (["5", "6"], [1.5, 2], [2**70, 1]):
+        with pytest.raises(ValueError, match="type bigint"):
+            sc.select_by(ds, "n", wrong)
+    change = sc.tag_samples(ds, "t", sample_ids=["a", None, 7])
+    assert count(change) == 2 and count(sc.untag_samples(ds, "t", sample_ids=["a", 7])) == 2
+    mapped = sc.remap_values(ds, "s", {"x": "y", None: "none", "z": None, "q": "r"})
+    assert {r.sample_id: r.s for r in mapped.df.collect()} == {"a": "y", "b": "none", "c": None, "7": "y"}
+    assert {r.n for r in sc.remap_values(ds, "n", {1: 10, 2: 20}).df.collect()} == {10, 20, None, 7}
+    with pytest.raises(ValueError, match="type bigint"):
+        sc.remap_values(ds, "n", {"1": 2, "3": 4})
+    numbers = dataset(spark, [("1",), ("2",)], "sample_id string")
+    set_ = sc.set_values(numbers, "v", {1: "first", "1": "last", None: "x"}).dataset.df.collect()
+    assert {r.sample_id: r.v for r in set_} == {"1": "last", "2": None}
+
+
+def test_a_dataset_without_tags_can_be_tagged(spark):
+    ds = dataset(spark, [("a",), ("b",)], "sample_id string")
+    tagged = sc.tag_samples(ds, "new", sample_ids=["b"]).dataset
+    assert {r.sample_id: r.tags for r in tagged.df.collect()} == {"a": None, "b": ["new"]}
+    assert sc.untag_samples(ds, "new").dataset.df.filter("tags IS NOT NULL").count() == 0
+    assert sc.count_sample_tags(ds).count() == 0
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("int", [5, 1, 9]), ("double", [0.5, -1.0, 2.5]), ("string", ["b", "a", "zz"]),
+        ("timestamp", ["2024-01-01 00:00:00", "2025-06-01 12:00:00", "2023-01-01 00:00:00"]),
+        ("date", ["2024-01-01", "2025-06-01", "2023-01-01"]), ("decimal(10,2)", ["1.5", "7.25", "3"]),
+    ],
+)
+@pytest.mark.parametrize("reverse", [False, True])
+def test_added_samples_are_last(spark, kind, values, reverse):
+    rows = [(f"s{i}", f"f{i}", str(v)) for i, v in enumerate(values)]
+    base = spark.createDataFrame(rows, "sample_id string, filepath string, n string")
+    ds = sc.Dataset(base.withColumn("n", base.n.cast(kind)), order=("n",), reverse=reverse)
+    new = [{"filepath": f"new{i}"} for i in range(12)]
+    if kind == "string" and reverse:
+        with pytest.raises(ValueError, match="give its values"):
+            sc.add_samples(ds, new, "batch")
+        return
+    grown = sc.add_samples(ds, new, "batch").dataset
+    assert [r.filepath for r in grown.sorted_rows().collect()][3:] == [s["filepath"] for s in new]
+
+
+def test_added_samples_by_two_order_fields(spark):
+    ds = dataset(spark, [("a", "f", 3, 1), ("b", "g", 3, 2)], "sample_id string, filepath string, x long, y long", order=("x", "y"))
+    grown = sc.add_samples(ds, [{"filepath": "one"}, {"filepath": "two"}], "batch").dataset
+    assert [r.filepath for r in grown.sorted_rows().collect()] == ["f", "g", "one", "two"]
+
+
+def test_inferred_fields_by_type_and_not_by_text(spark):
+    texts = ['{"VOID": 1, "DECIMAL(3,1)": 2.5, "VARIANT": {"OBJECT<": [1, 2], "a: b": "x", "q`t": true}}', "[1, 2]", "no json", "3", None, '{"mix": 1}', '{"mix": "t"}']
+    ds = dataset(spark, [(i, t) for i, t in enumerate(texts)], "sample_id long, doc string")
+    rows = [r.doc for r in sc.infer_fields(ds, "doc").df.orderBy("sample_id").collect()]
+    assert rows[0]["VOID"] == 1 and rows[0]["DECIMAL(3,1)"] == 2.5
+    assert rows[0]["VARIANT"]["OBJECT<"] == [1, 2] and rows[0]["VARIANT"]["a: b"] == "x" and rows[0]["VARIANT"]["q`t"] is True
+    assert rows[1:5] == [None] * 4 or all(r is None or all(v is None for v in r) for r in rows[1:5])
+    assert [r["mix"] for r in rows[5:]] == ["1", "t"]
+    with pytest.raises(ValueError, match="no|not hold"):
+        sc.infer_fields(dataset(spark, [(0, "[1]")], "sample_id long, doc string"), "doc")
+    wide = dataset(spark, [(i, f'{{"user{i}": 1}}') for i in range(300)], "sample_id long, doc string")
+    with pytest.raises(ValueError, match="more than 100"):
+        sc.infer_fields(wide, "doc", max_fields=100)

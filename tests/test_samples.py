@@ -225,3 +225,31 @@ def test_every_stage_has_a_spec_name():
     from samplecraft.operators.stages import _stage_functions
 
     assert len(_stage_functions()) == 23
+
+
+@pytest.mark.parametrize("topk_keys", [50, 10_000])
+@pytest.mark.parametrize("key", ["id", "id div 2", "7", "if(id < 700, 5, id)"])
+def test_counts_are_exact_with_repeated_ids(spark, monkeypatch, topk_keys, key):
+    monkeypatch.setattr(ranking, "TOPK_ROWS", 10)
+    monkeypatch.setattr(ranking, "TOPK_KEYS", topk_keys)
+    ds = sc.Dataset(spark.range(2000, numPartitions=5).selectExpr(f"{key} AS sample_id", "id AS v"))
+    everything = sorted(r.sample_id for r in ds.df.collect())
+    for n in (0, 9, 11, 701, 1501, 1999, 2000, 2500):
+        first, rest = sc.limit(ds, n), sc.skip(ds, n)
+        assert sorted(r.sample_id for r in first.df.collect()) == everything[:n]
+        assert sorted(r.sample_id for r in rest.df.collect()) == everything[n:]
+    assert sc.take(ds, 1501, seed=1).df.count() == 1501
+    assert sc.get_values(ds, "v", limit=1501).filter("truncated").count() == 1501
+    assert sc.get_values(ds, "v", limit=2000).filter("NOT truncated").count() == 2000
+
+
+def test_positions_need_unique_ids(spark):
+    ds = sc.Dataset(spark.range(10).selectExpr("id div 2 AS sample_id"))
+    with pytest.raises(ValueError, match="repeat"):
+        sc.with_position(ds)
+
+
+def test_a_facet_without_a_condition_does_not_filter(ten, labelled):
+    for state in ({}, {"exclude": True}, {"values": []}, {"none": False}):
+        assert sc.facet_filter(ten, {"score": state}).df.count() == 10
+        assert sc.facet_filter(labelled, {"animals.label": {**state, "isMatching": True}}).df.count() == 5

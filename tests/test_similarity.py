@@ -5,7 +5,7 @@ import pytest
 
 import samplecraft as sc
 from samplecraft.operators.similarity import embedding_field
-from samplecraft.plans import skew, vector_cells
+from samplecraft.plans import vector_cells
 
 from .conftest import dataset, ids
 
@@ -114,15 +114,32 @@ def test_knn_join_of_two_tables(spark, small_chunks, cell_rows):
         assert distance == pytest.approx(apart[q, rank - 1], abs=1e-9)
 
 
-def test_rare_and_hot_vectors_join_alike(spark, monkeypatch):
-    # With a hot share of one third only the copied vector is hot.
-    monkeypatch.setattr(skew, "HOT_SHARE", 4)
-    m = clustered()
-    assert sc.uniqueness(vectors(spark, m), k=3).count() == len(m)
-    found = sc.near_duplicates(vectors(spark, m), 0.9).collect()
-    close = cosines(m, m) >= 0.9
+def test_many_groups_without_a_cell_size(spark, small_chunks):
+    """The plan of a large table: more vectors than any one cell or chunk holds."""
+    m = clustered(n=700, dim=5, seed=9)
+    found = sc.near_duplicates(vectors(spark, m), 0.97).collect()
+    close = cosines(m, m) >= 0.97
     np.fill_diagonal(close, True)
-    assert {r.id_b for r in found} == {b for b in range(len(m)) if close[b].argmax() < b}
+    assert {r.id_b: r.n_near for r in found} == {
+        b: int(close[b].sum()) - 1 for b in range(len(m)) if close[b].argmax() < b
+    }
+    assert sc.uniqueness(vectors(spark, m), k=3).count() == len(m)
+
+
+def test_parallel_vectors_are_near_at_threshold_one(spark):
+    random = np.random.default_rng(3)
+    one = random.normal(size=(50, 16))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([one, 3 * one]))]
+    ds = dataset(spark, rows, "sample_id long, embedding array<double>")
+    found = {(r.id_a, r.id_b) for r in sc.near_duplicates(ds, 1.0).collect()}
+    assert found == {(i, i + 50) for i in range(50)}
+
+
+def test_a_vector_of_many_samples_and_a_large_k(spark):
+    m = np.tile(np.array([[1.0, 2.0]], np.float32), (1500, 1))
+    plan = sc.knn_join(vectors(spark, m, partitions=3), vectors(spark, m[:1200], partitions=3), 1100)
+    got = plan.filter("query_id = 7").orderBy("rank").collect()
+    assert [r.neighbour_id for r in got] == list(range(1100))
 
 
 def test_knn_asks_for_more_than_there_is(spark):
@@ -193,3 +210,36 @@ def test_similarity_errors(spark, ten):
         sc.near_duplicates(ds, 0.0)
     with pytest.raises(ValueError, match="k must"):
         sc.knn_join(ds, ds, 0)
+
+
+def test_a_vector_is_not_taken_for_ids(spark):
+    m = clustered(30)
+    ds = vectors(spark, m)
+    named = dataset(
+        spark, [(f"s{i}", [float(x) for x in v]) for i, v in enumerate(m)], "sample_id string, embedding array<float>"
+    )
+    axis = [1, 0, 0, 0, 0, 0]
+    apart = 1.0 - cosines(np.array([axis], float), m)[0]
+    expected = pytest.approx(np.sort(apart), abs=1e-9)
+    for view in (
+        sc.sort_by_similarity(named, axis, dist_field="d"),
+        sc.sort_by_similarity(named, np.array(axis), dist_field="d"),
+        sc.sort_by_similarity(ds, vector=axis, dist_field="d"),
+        sc.sort_by_similarity(ds, np.array(axis, np.float32), dist_field="d"),
+        sc.sort_by_similarity(ds, [np.float64(x) for x in axis], dist_field="d"),
+    ):
+        assert [r.d for r in view.sorted_rows().collect()] == expected
+    by_ids = sc.sort_by_similarity(ds, np.array([1, 2]), dist_field="d").sorted_rows().first()
+    assert by_ids.d == pytest.approx((1.0 - cosines(m[[1, 2]].mean(axis=0, keepdims=True), m)[0]).min(), abs=1e-6)
+
+
+def test_wrong_query_vectors_raise(spark):
+    ds = vectors(spark, np.eye(3, dtype=np.float32))
+    with pytest.raises(Exception, match="3 dimensions, the query 2"):
+        sc.sort_by_similarity(ds, [1.0, 0.0]).df.count()
+    with pytest.raises(ValueError, match="length zero"):
+        sc.sort_by_similarity(ds, [0.0, 0.0, 0.0])
+    with pytest.raises(ValueError, match="either"):
+        sc.sort_by_similarity(ds)
+    with pytest.raises(ValueError, match="either"):
+        sc.sort_by_similarity(ds, 1, vector=[1.0, 0.0, 0.0])
