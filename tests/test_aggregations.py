@@ -1,4 +1,5 @@
-import math
+import statistics
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,16 +9,14 @@ import samplecraft as sc
 from .conftest import dataset
 
 
+KINDS = ["elm", "oak", "oak", "fir", "elm", "oak", "fir", "oak"]
+HEIGHTS = [2.0, 5.5, 3.25, 9.0, 7.5, 4.25, 6.0, 11.5]
+
+
 @pytest.fixture(scope="module")
-def six(spark):
-    rows = list(
-        zip(
-            [f"s{i}" for i in range(6)],
-            "cat dog cat bird dog cat".split(),
-            [0.1, 0.5, 0.3, 0.9, 0.7, 0.4],
-        )
-    )
-    return dataset(spark, rows, "sample_id string, category string, score double")
+def trees(spark):
+    rows = [(f"s{i}", kind, height) for i, (kind, height) in enumerate(zip(KINDS, HEIGHTS))]
+    return dataset(spark, rows, "sample_id string, kind string, height double")
 
 
 @pytest.fixture(scope="module")
@@ -31,11 +30,9 @@ def empty(spark):
     return dataset(spark, [], "sample_id string, v double")
 
 
-def test_count_values(six):
-    assert {r.value: r.n for r in sc.count_values(six, "category").collect()} == {
-        "cat": 3, "dog": 2, "bird": 1
-    }
-    assert sc.count_values_totals(six, "category").first().asDict() == {"total": 6, "num_values": 3}
+def test_count_values(trees):
+    assert {r.value: r.n for r in sc.count_values(trees, "kind").collect()} == Counter(KINDS)
+    assert sc.count_values_totals(trees, "kind").first().asDict() == {"total": 8, "num_values": 3}
 
 
 def test_null_is_a_value(awkward):
@@ -50,20 +47,18 @@ def test_values_through_lists(labelled):
     assert tags == {"ok": 2, "bad": 2}
 
 
-def test_distinct(six, awkward):
-    assert [r.value for r in sc.distinct(six, "category").collect()] == ["bird", "cat", "dog"]
-    assert sc.distinct_count(six, "category").first()[0] == 3
+def test_distinct(trees, awkward):
+    assert [r.value for r in sc.distinct(trees, "kind").collect()] == ["elm", "fir", "oak"]
+    assert sc.distinct_count(trees, "kind").first()[0] == 3
     assert sc.distinct_count(awkward, "v").first()[0] == 3
 
 
-def test_measures(six):
-    assert sc.bounds(six, "score").first() == (0.1, 0.9)
-    assert sc.mean(six, "score").first()[0] == pytest.approx(2.9 / 6)
-    assert sc.sum(six, "score").first()[0] == pytest.approx(2.9)
-    scores = [0.1, 0.5, 0.3, 0.9, 0.7, 0.4]
-    square = sum((s - 2.9 / 6) ** 2 for s in scores)
-    assert sc.std(six, "score").first()[0] == pytest.approx(math.sqrt(square / 6))
-    assert sc.std(six, "score", sample=True).first()[0] == pytest.approx(math.sqrt(square / 5))
+def test_measures(trees):
+    assert sc.bounds(trees, "height").first() == (2.0, 11.5)
+    assert sc.mean(trees, "height").first()[0] == pytest.approx(statistics.fmean(HEIGHTS))
+    assert sc.sum(trees, "height").first()[0] == pytest.approx(49.0)
+    assert sc.std(trees, "height").first()[0] == pytest.approx(statistics.pstdev(HEIGHTS))
+    assert sc.std(trees, "height", sample=True).first()[0] == pytest.approx(statistics.stdev(HEIGHTS))
 
 
 def test_measures_ignore_null_and_nan(awkward):
@@ -80,17 +75,17 @@ def test_measures_of_nothing(empty):
     assert sc.count_values_totals(empty, "v").first().asDict() == {"total": 0, "num_values": 0}
 
 
-def test_view_stages(six):
-    stages = [{"type": "Match", "filter": "score > 0.35"}]
-    counts = {r.value: r.n for r in sc.count_values(six, "category", stages).collect()}
-    assert counts == {"cat": 1, "dog": 2, "bird": 1}
+def test_view_stages(trees):
+    stages = [{"type": "Match", "filter": "height > 5"}]
+    counts = {r.value: r.n for r in sc.count_values(trees, "kind", stages).collect()}
+    assert counts == {"oak": 2, "fir": 2, "elm": 1}
 
 
-def test_missing_field(six):
+def test_missing_field(trees):
     for aggregate in (sc.count_values, sc.distinct, sc.bounds, sc.mean, sc.sum, sc.std,
                       sc.histogram_values, sc.get_values):
         with pytest.raises(sc.FieldNotFound):
-            aggregate(six, "nothing")
+            aggregate(trees, "nothing")
 
 
 def histogram(ds, *args, **kwargs):
@@ -98,20 +93,20 @@ def histogram(ds, *args, **kwargs):
     return [r.n for r in rows], rows
 
 
-def test_histogram(six):
-    counts, rows = histogram(six, "score", bins=4)
-    # the edge after 0.1 is 0.30000000000000004, so 0.3 lies below it
-    assert counts == [2, 1, 2, 1] and {r.other for r in rows} == {0}
-    assert rows[0].lower == 0.1 and rows[-1].upper == pytest.approx(0.9)
+def test_histogram(trees):
+    # bins of 2.375 from 2 on: 2 3.25 4.25 | 5.5 6 | 7.5 9 | 11.5
+    counts, rows = histogram(trees, "height", bins=4)
+    assert counts == [3, 2, 2, 1] and {r.other for r in rows} == {0}
+    assert rows[0].lower == 2.0 and rows[-1].upper == pytest.approx(11.5)
     assert all(a.upper == pytest.approx(b.lower) for a, b in zip(rows, rows[1:]))
-    assert len(histogram(six, "score")[0]) == 50
+    assert len(histogram(trees, "height")[0]) == 50
 
 
-def test_histogram_range(six):
-    counts, rows = histogram(six, "score", bins=10, value_range=[0, 1])
-    assert sum(counts) == 6 and rows[0].other == 0
-    counts, rows = histogram(six, "score", bins=2, value_range=[0.3, 0.7])
-    assert counts == [2, 2] and rows[0].other == 2  # 0.3 0.4 | 0.5 0.7
+def test_histogram_range(trees):
+    counts, rows = histogram(trees, "height", bins=10, value_range=[0, 20])
+    assert sum(counts) == 8 and rows[0].other == 0
+    counts, rows = histogram(trees, "height", bins=2, value_range=[3.25, 7.25])
+    assert counts == [2, 2] and rows[0].other == 4  # 3.25 4.25 | 5.5 6
 
 
 def test_histogram_edge_cases(awkward, empty, spark):
@@ -130,13 +125,13 @@ def values(df):
     return [r.value for r in df.orderBy("position").collect()]
 
 
-def test_get_values(six):
-    first = sc.get_values(six, "category", limit=3)
-    assert values(first) == ["cat", "dog", "cat"]
+def test_get_values(trees):
+    first = sc.get_values(trees, "kind", limit=3)
+    assert values(first) == KINDS[:3]
     assert {r.truncated for r in first.collect()} == {True}
-    assert {r.truncated for r in sc.get_values(six, "category", limit=6).collect()} == {False}
-    everything = sc.get_values(six, "score", limit=0)
-    assert values(everything) == [0.1, 0.5, 0.3, 0.9, 0.7, 0.4]
+    assert {r.truncated for r in sc.get_values(trees, "kind", limit=8).collect()} == {False}
+    everything = sc.get_values(trees, "height", limit=0)
+    assert values(everything) == HEIGHTS
     assert {r.truncated for r in everything.collect()} == {False}
 
 

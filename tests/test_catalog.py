@@ -143,8 +143,8 @@ def test_list_and_load(spark, ten, tmp_path):
 
 
 def test_saved_views(spark, ten):
-    sc.save_view(sc.sort_by(sc.match_tags(ten, "test"), "score", reverse=True), "tests_only")
-    assert ids(sc.load_view(spark, "tests_only")) == ["s9", "s8", "s7"]
+    sc.save_view(sc.sort_by(sc.match_tags(ten, "test"), "score", reverse=True), "tests_only", replace=True)
+    assert ids(sc.load_view(spark, "tests_only")) == ["s8", "s9", "s7"]
     assert "tests_only" in {r.name for r in sc.list_datasets(spark).collect()}
     with pytest.raises(sc.UnknownDataset):
         sc.load_view(spark, "never_saved")

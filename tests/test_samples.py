@@ -10,8 +10,8 @@ from .conftest import dataset, id_set, ids
 
 
 def test_match(ten):
-    assert len(ids(sc.match(ten, "category = 'cat'"))) == 4
-    assert len(ids(sc.match(ten, F.col("category") == "cat"))) == 4
+    assert len(ids(sc.match(ten, "category = 'blue'"))) == 4
+    assert len(ids(sc.match(ten, F.col("category") == "blue"))) == 4
 
 
 def test_match_rejects_what_is_no_predicate(ten):
@@ -44,8 +44,8 @@ def test_match_labels_treats_null_as_no_match(labelled):
 
 
 def test_filter_field(ten):
-    assert len(ids(sc.filter_field(ten, "score", "score > 0.5"))) == 5
-    kept = sc.filter_field(ten, "score", "score > 0.5", only_matches=False)
+    assert len(ids(sc.filter_field(ten, "score", "score > 5"))) == 5
+    kept = sc.filter_field(ten, "score", "score > 5", only_matches=False)
     assert kept.df.filter("score IS NULL").count() == 5
 
 
@@ -71,9 +71,9 @@ def test_select_by_table_needs_positions_for_order(spark, ten):
 
 
 def test_select_by(ten):
-    assert ids(sc.select_by(ten, "category", ["dog", "bird"])) == ["s1", "s3", "s4", "s6", "s7", "s9"]
-    ordered = sc.select_by(ten, "category", ["dog", "bird"], ordered=True)
-    assert ids(ordered) == ["s1", "s4", "s7", "s3", "s6", "s9"]
+    assert ids(sc.select_by(ten, "category", ["red", "green"])) == ["s0", "s3", "s4", "s6", "s7", "s8"]
+    ordered = sc.select_by(ten, "category", ["red", "green"], ordered=True)
+    assert ids(ordered) == ["s0", "s4", "s8", "s3", "s6", "s7"]
 
 
 def test_select_group_slices(spark):
@@ -86,10 +86,10 @@ def test_select_group_slices(spark):
 
 def test_filter_view(ten):
     view = sc.filter_view(
-        ten, filters={"category": "cat"}, match="score < 0.5", exists="score", tags="train",
-        sample_ids=["s0", "s2", "s8"], limit=1,
+        ten, filters={"category": "blue"}, match="score < 5", exists="score", tags="train",
+        sample_ids=["s1", "s2", "s5", "s9"], limit=1,
     )
-    assert ids(view) == ["s0"]
+    assert ids(view) == ["s1"]
 
 
 def test_filter_view_none_matches_null(labelled):
@@ -101,8 +101,8 @@ def test_filter_view_none_matches_null(labelled):
 
 def test_sort_by(ten):
     view = sc.sort_by(ten, "score", reverse=True)
-    assert ids(view)[:3] == ["s9", "s3", "s6"]
-    assert ids(sc.sort_by(ten, "-score"))[:3] == ["s9", "s3", "s6"]
+    assert ids(view)[:3] == ["s4", "s6", "s2"]
+    assert ids(sc.sort_by(ten, "-score"))[:3] == ["s4", "s6", "s2"]
     assert view.rows().columns == ten.rows().columns
 
 
@@ -119,8 +119,8 @@ def test_nulls_first_ascending(spark):
 
 
 def test_chain(ten):
-    view = sc.limit(sc.sort_by(sc.match(ten, "score > 0.5"), "score", reverse=True), 2)
-    assert [r.score for r in view.sorted_rows().collect()] == [0.95, 0.9]
+    view = sc.limit(sc.sort_by(sc.match(ten, "score > 5"), "score", reverse=True), 2)
+    assert [r.score for r in view.sorted_rows().collect()] == [9.5, 8.0]
 
 
 @pytest.mark.parametrize("topk_rows, topk_keys", [(1_000, 100_000), (0, 100_000), (0, 0)])
@@ -177,15 +177,15 @@ def test_take_after_shuffle_keeps_the_shuffled_order(ten):
 
 def test_group_by(ten):
     groups = {r.key: (r.n, r.first_id) for r in sc.group_by(ten, "category").df.collect()}
-    assert groups == {"cat": (4, "s0"), "dog": (3, "s1"), "bird": (3, "s3")}
+    assert groups == {"red": (3, "s0"), "blue": (4, "s1"), "green": (3, "s3")}
     last = sc.group_by(sc.sort_by(ten, "score", reverse=True), "category").df.collect()
-    assert {r.key: r.first_id for r in last} == {"cat": "s8", "dog": "s4", "bird": "s9"}
+    assert {r.key: r.first_id for r in last} == {"red": "s4", "blue": "s2", "green": "s6"}
 
 
 def test_group_members(ten):
-    assert ids(sc.group_members(ten, "category"))[:3] == ["s3", "s6", "s9"]
+    assert ids(sc.group_members(ten, "category"))[:3] == ["s1", "s2", "s5"]
     by_score = sc.group_members(sc.sort_by(ten, "-score"), "category")
-    assert ids(by_score)[:3] == ["s9", "s3", "s6"]
+    assert ids(by_score)[:3] == ["s2", "s9", "s5"]
 
 
 # -- specs ---------------------------------------------------------------------------
@@ -195,12 +195,12 @@ def test_specs(ten):
     view = sc.apply_stages(
         ten,
         [
-            {"type": "Match", "filter": "score > 0.5"},
+            {"type": "Match", "filter": "score > 5"},
             {"type": "SortBy", "field_or_expr": "score", "reverse": True},
             {"type": "Limit", "limit": 2},
         ],
     )
-    assert ids(view) == ["s9", "s3"]
+    assert ids(view) == ["s4", "s6"]
     assert ids(sc.apply_stages(ten, [])) == ids(ten)
 
 
