@@ -148,9 +148,10 @@ def summary_value_counts(ds: Dataset) -> DataFrame:
     Values are text, null is a value, and lists count by element. Skipped are the id,
     the filepath and metadata, documents, and lists of floats (vectors) [chosen].
 
-    Two passes whatever the number of fields: a sketch of every field's distinct count
-    drops the wide fields, then one unpivot counts the values of the rest, combined
-    before the shuffle, and the limit is applied exactly.
+    Three passes whatever the number of fields: sketches of the distinct counts of all
+    scalar fields, then of all lists' elements, drop the wide fields, then one unpivot
+    counts the values of the rest, combined before the shuffle, and the limit is applied
+    exactly. Without lists, or without scalars, there are two.
     """
     scalars, lists = [], []
     for f in ds.df.schema.fields:
