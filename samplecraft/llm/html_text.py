@@ -47,6 +47,7 @@ _HINTS = set(
     "widget toolbar pagination pager paywall skip".split()
 )
 _READERS = {"comment", "comments", "commentlist", "disqus", "respond", "replies"}
+_BY_RULE, _BY_HINT = 1, 2
 _LAYOUT = {"has", "with", "no", "without", "non", "not"}
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -54,7 +55,7 @@ _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 def _hinted(names: str, among: set[str]) -> bool:
     for name in names.lower().split():
         parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
-        if parts and parts[0] not in _LAYOUT and any(p in among for p in parts):
+        if any(p in among for p in parts) and not any(p in _LAYOUT for p in parts):
             return True
     return False
 
@@ -65,7 +66,7 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
-        self.open: list[tuple[str, int, bool]] = []  # tag, container number or -1, dropped
+        self.open: list[tuple[str, int, int]] = []  # tag, container number or -1, why dropped
         self.kinds: list[str] = []  # of each container
         self.parts: list[str] = []
         self.tags = self.links = self.linked = 0
@@ -80,7 +81,8 @@ class _Lines(HTMLParser):
 
     def _implied_ends(self, tag):
         """What a block's start closes: a paragraph, an item before an item, the head;
-        and a form around an article is a page's frame, not a form."""
+        and what stands around an article is a page's frame, whatever its class says, and
+        so is a form. Only reader comments stay comments."""
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == "p" or tag == "li" and self.open[i][0] == "li" or tag == "body" and self.open[i][0] == "head":
                 del self.open[i:]
@@ -88,7 +90,7 @@ class _Lines(HTMLParser):
             if self.open[i][1] >= 0:
                 break
         if tag in ("article", "main"):
-            self.open = [(t, c, d and t != "form") for t, c, d in self.open]
+            self.open = [(t, c, 0 if t == "form" else d & ~_BY_HINT) for t, c, d in self.open]
 
     def handle_starttag(self, tag, attrs):
         if tag in _BLOCK:
@@ -105,18 +107,19 @@ class _Lines(HTMLParser):
             own = {k: v or "" for k, v in attrs}
             names = f"{own.get('class', '')} {own.get('id', '')}"
             page = tag in ("html", "body", "article", "main")
-            dropped = (
+            hard = (
                 tag in _DROPPED
                 or own.get("role", "").lower() in _ROLES
                 or "hidden" in own
                 or _UNSEEN.search(own.get("style", "")) is not None
-                or _hinted(names, _READERS if page else _HINTS)
+                or _hinted(names, _READERS)
             )
+            dropped = _BY_RULE * hard | _BY_HINT * (not page and _hinted(names, _HINTS))
             number = -1
             if tag in _CONTAINER:
                 number = len(self.kinds)
                 self.kinds.append("main" if own.get("role") == "main" else tag)
-            self.open.append((tag, number, dropped and tag not in ("html", "body")))
+            self.open.append((tag, number, 0 if tag in ("html", "body") else dropped))
 
     def handle_startendtag(self, tag, attrs):
         if tag in _BLOCK:

@@ -36,6 +36,13 @@ def test_article():
     assert html_text.main_text(page(body)) == "\n".join(["Café & more", A, B, C, "one", "two"])
 
 
+def test_frames_around_an_article():
+    for frame in ("content-with-sidebar", "sidebar-left", "no-menu"):
+        assert html_text.main_text(page(f"<div class='{frame}'><article><p>{A}</p></article></div>{NAV}")) == A
+    teaser = f"<div class='sidebar'><article><p>{C}</p></article></div>"
+    assert html_text.main_text(page(f"<article><p>{A}</p><p>{B}</p></article>{teaser}")) == f"{A}\n{B}"
+
+
 def test_without_article():
     body = f"{NAV}<div id='wrap'><div class='content'><h1>Head line</h1><p>{A}</p><p>{B}</p></div><div class='right-sidebar'>{lorem(4)}</div></div><div class='footer'>Imprint</div>"
     assert html_text.main_text(page(body)) == "\n".join(["Head line", A, B])

@@ -1,5 +1,6 @@
 """Packing, token files and token counts against the tokenizers library itself."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -33,11 +34,44 @@ def test_ids_are_those_of_whole_texts(library):
             assert ids[at[k] : at[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
-def test_a_tokenizer_that_joins_words_encodes_whole_texts():
-    encoder = tokens.Encoder("byte_bpe_50k.json")
-    assert not encoder.by_word
-    ids, at = encoder.ids(pa.array(["a  b\n\nc", None]))
-    assert ids.tolist() == encoder.tokenizer.encode("a  b\n\nc", add_special_tokens=False).ids and at.tolist()[1:] == [len(ids)] * 2
+SPACED = [
+    "a  b\n\nc", None, "", " ", " lead and trail ", "x\ny", "x \ny", "x\n y", "tab\tx  y", "nb\u00a0 x", "nb \u00a0x y\u00a0\nz", "<|endoftext|> it's we'll",
+    "naïve façade 漢字 \n 漢 字", "emoji 🙂🙂 x", "\u2028 a\u2028 b", "a\r\nb c", "1 22 333 ,,, ...\n...",
+]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", tokens.WORD_TOKENIZER])
+def test_spans_are_those_of_whole_texts(name):
+    rng = random.Random(8)
+    texts = SPACED + ODD + [t for _, t in corpus()]
+    texts += ["".join(rng.choices(list("ab Zé\n \t'.1\u00a0漢"), k=rng.randint(1, 60))) for _ in range(400)]
+    encoder = tokens.Encoder(name, offsets=True)
+    assert encoder.kind == ("space" if name.startswith("byte") else "word")
+    for _ in range(2):
+        first, after, at, begins = encoder.spans(pa.array(texts))
+        ids, _ = encoder.ids(pa.array(texts))
+        for k, text in enumerate(texts):
+            one = encoder.tokenizer.encode(text or "", add_special_tokens=False)
+            part = slice(at[k], at[k + 1])
+            assert ids[part].tolist() == one.ids
+            assert list(zip((first[part] - begins[k]).tolist(), (after[part] - begins[k]).tolist())) == one.offsets
+            assert begins[k + 1] - begins[k] == len(text or "")
+
+
+def test_a_tokenizer_of_another_kind_encodes_whole_texts(tmp_path):
+    import json
+
+    with open(tokens.tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        rules = json.load(f)
+    rules["pre_tokenizer"]["add_prefix_space"] = True
+    path = str(tmp_path / "own.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(rules, f)
+    encoder = tokens.Encoder(path, offsets=True)
+    assert encoder.kind == "whole"
+    first, after, at, begins = encoder.spans(pa.array(["a b\nc", None, "é x"]))
+    one = encoder.tokenizer.encode("é x", add_special_tokens=False)
+    assert list(zip((first[at[2] :] - begins[2]).tolist(), (after[at[2] :] - begins[2]).tolist())) == one.offsets
 
 
 def test_packed_documents(spark, library):
@@ -137,7 +171,7 @@ def test_token_files_of_nothing(spark):
 
 
 def slow_counts(text, spans, rule):
-    tokenizer = token_counts._tokenizer(token_counts.TOKENIZER)
+    tokenizer = tokens.Encoder(token_counts.TOKENIZER).tokenizer
     offsets = tokenizer.encode(text, add_special_tokens=False).offsets
     out = []
     for a, b in spans:
