@@ -27,7 +27,6 @@ START, SEPARATOR, STOP = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 _TAILS = r"\|[A-Za-z_]+\|>|/?s>|<SYS>>|</SYS>>|/?INST\]"
 _PLAIN = rf"([<\[])(\\*)(?=(?:{_TAILS}))"
 _MARKED = rf"([<\[])\\(\\*)(?=(?:{_TAILS}))"
-MOST_ROUNDS = 40  # a path of 2^40 messages
 
 
 def escaped(text: Column) -> Column:
@@ -77,22 +76,21 @@ def reply_paths(messages: DataFrame) -> DataFrame:
     )
     ways = staged(ways, "reply-ways")
     parents = ways.filter(F.col("up").isNotNull()).select("conversation", F.col("up").alias("message")).distinct()
-    for _ in range(MOST_ROUNDS):
-        if ways.filter(F.col("up").isNotNull()).isEmpty():
+    # A way of n messages ends within log2(n) rounds, one on a ring never does.
+    for _ in range(ways.count().bit_length()):
+        under_way = ways.filter(F.col("up").isNotNull())
+        if under_way.isEmpty():
             break
         above = ways.select(
             F.col("conversation").alias("c"), F.col("message").alias("m"), F.col("up").alias("next"),
             F.col("root").alias("top"), F.col("depth").alias("more"), F.col("total").alias("sum"),
         )
-        ways = staged(
-            ways.join(above, same & (F.col("up") == F.col("m")), "left").select(
-                "conversation", "message", F.col("next").alias("up"),
-                F.coalesce("top", "root").alias("root"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total"),
-            ),
-            "reply-ways",
-        )
+        # Only ways that go on take part; the message they have come to always exists.
+        further = under_way.join(above, same & (F.col("up") == F.col("m"))).select(
+            "conversation", "message", F.col("next").alias("up"), F.col("top").alias("root"),
+            (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("sum")).alias("total"),
+        )
+        ways = staged(ways.filter(F.col("up").isNull()).unionByName(further), "reply-ways")
     at_root = ways.filter(F.col("up").isNull()).alias("w")
     ends = parents.select(F.col("conversation").alias("c"), F.col("message").alias("m"))
     return at_root.join(ends, same & (F.col("message") == F.col("m")), "left_anti").select(
