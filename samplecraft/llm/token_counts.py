@@ -11,38 +11,18 @@ boundary goes by one of these rules:
 
 from __future__ import annotations
 
-import os
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import by_size, tokenizer_file
+from . import words as W
+from .tokens import SLICE, encoder
 
 TOKENIZER = "byte_bpe_50k.json"  # its tokens hold white space, so they can cross lines
-SLICE = 500_000  # characters encoded at once, unless one text is longer
 RULES = ("first", "last", "split")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(name: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_file(name))
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
-
-
-def line_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each line, with its line feed."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    starts = np.concatenate([[0], np.flatnonzero(points == 10) + 1])
-    return starts, np.append(starts[1:], len(text))
-
-
 def counted(first: np.ndarray, after: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of each span, and how many of these reach over the span's border.
 
@@ -77,6 +57,40 @@ def counted(first: np.ndarray, after: np.ndarray, starts: np.ndarray, ends: np.n
     return (high - np.searchsorted(last, starts)).astype(float), np.maximum(np.minimum(b, high) - a, 0)
 
 
+def _lines(texts: pa.Array, begins: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """The lines of all texts, each with its line feed: text, number, start and end."""
+    data, bounds = W.text_bytes(texts)
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    feeds = np.flatnonzero(data == 10) + 1
+    owner = np.searchsorted(bounds, feeds - 1, side="right") - 1  # empty texts have no bytes
+    count = np.bincount(owner, minlength=len(texts)) + 1
+    at = np.concatenate([[0], np.cumsum(count)])
+    first = np.zeros(at[-1], bool)
+    first[at[:-1]] = True
+    starts = np.zeros(at[-1], np.int64)
+    starts[first], starts[~first] = begins[:-1], before[feeds]
+    last = np.zeros(at[-1], bool)
+    last[at[1:] - 1] = True
+    ends = np.zeros(at[-1], np.int64)
+    ends[last], ends[~last] = begins[1:], before[feeds]
+    number = np.arange(at[-1]) - np.repeat(at[:-1], count)
+    return np.repeat(np.arange(len(texts)), count), pa.array(number).cast(pa.string()), starts, ends
+
+
+def _given(sections: pa.Array, begins: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """The sections of all texts, cut to the texts: text, name, start and end."""
+    owner, labels, starts, ends = [], [], [], []
+    for n, own in enumerate(sections.to_pylist()):
+        for s in own or []:
+            if s:
+                low, high = int(begins[n]), int(begins[n + 1])
+                owner.append(n)
+                labels.append(None if s["section"] is None else str(s["section"]))
+                starts.append(min(max(low + (s["start"] or 0), low), high))
+                ends.append(min(max(low + (s["end"] or 0), low), high))
+    return np.array(owner, np.int64), pa.array(labels, pa.string()), np.array(starts, np.int64), np.array(ends, np.int64)
+
+
 def fields_as_text(fields: list[str], joiner: str = "\n") -> tuple[Column, Column]:
     """One text of several string columns, and the sections (name, start, end) they
     have in it. A null field is empty; a joiner belongs to the field before it."""
@@ -117,29 +131,28 @@ def count_tokens(
     names = ["key", "section", "start", "end", "n_tokens", "crossing", "doc_tokens"]
 
     def run(batches):
-        encode = _tokenizer(tokenizer)
+        encode = encoder(tokenizer, offsets=True)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i, j in by_size([len(t) for t in texts], SLICE):
-                found = encode.encode_batch(texts[i:j], add_special_tokens=False)
-                owners, parts = [], [[] for _ in range(6)]
-                for n in range(i, j):
-                    offsets = np.array(found[n - i].offsets, np.int64).reshape(-1, 2)
-                    found[n - i] = None
-                    if sections:
-                        own = [s for s in batch.column("sections")[n].as_py() or [] if s]
-                        labels = [None if s["section"] is None else str(s["section"]) for s in own]
-                        starts, ends = (np.clip(np.array([s[e] or 0 for s in own], np.int64), 0, len(texts[n])) for e in ("start", "end"))
-                    else:
-                        starts, ends = line_spans(texts[n])
-                        labels = [str(x) for x in range(len(starts))]
-                    tokens, crossing = counted(offsets[:, 0], offsets[:, 1], starts, ends, rule)
-                    owners += [n] * len(starts)
-                    for p, v in zip(parts, (labels, starts, ends, tokens, crossing, np.full(len(starts), len(offsets)))):
-                        p.extend(v)
-                kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            texts = batch.column("text")
+            for i, j in W.slices(W.text_bytes(texts)[1], SLICE):
+                part = texts.slice(i, j - i)
+                # Characters and tokens are counted through all texts of the slice.
+                first, after, at, begins = encode.spans(part)
+                if sections:
+                    owner, labels, starts, ends = _given(batch.column("sections").slice(i, j - i), begins)
+                else:
+                    owner, labels, starts, ends = _lines(part, begins)
+                tokens, crossing = counted(first, after, starts, ends, rule)
+                size = np.diff(at)[owner]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").take(pa.array(owners, pa.int64())), *(pa.array(p, t) for p, t in zip(parts, kinds))], names
+                    [
+                        batch.column("key").take(pa.array(owner + i, pa.int64())),
+                        labels,
+                        *(pa.array(x, pa.int64()) for x in (starts - begins[owner], ends - begins[owner])),
+                        pa.array(tokens, pa.float64()),
+                        *(pa.array(x, pa.int64()) for x in (crossing, size)),
+                    ],
+                    names,
                 )
 
     schema = f"key {kind}, section string, start long, end long, n_tokens double, crossing long, doc_tokens long"

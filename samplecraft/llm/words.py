@@ -30,6 +30,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def _powers_to(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     if base not in _powers or len(_powers[base][0]) < n:
         size = max(n, SLICE + 1)
