@@ -30,7 +30,8 @@ def set_local_folder(spark: SparkSession) -> SparkSession:
     """For entry points, tests and benchmarks: give a local session that names no shared
     folder one of its own. On a cluster nothing is set, since a machine's own folder is
     not visible to the other machines."""
-    if not spark.conf.get(CHECKPOINT_DIR, None) and spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if not spark.conf.get(CHECKPOINT_DIR, None) and (master == "local" or master.startswith("local[")):
         spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="samplecraft-"))
     return spark
 
