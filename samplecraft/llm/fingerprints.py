@@ -122,7 +122,7 @@ def with_next(docs: DataFrame, key: str, text: str, run, schema: str) -> DataFra
                     yield from run([g["key"] for g in group[start:]], [g["text"] for g in group[start:]])
 
     return (
-        both.repartition(max(len(held), 1), "bucket")
+        both.repartitionById(len(splits) + 1, "bucket")
         .sortWithinPartitions("bucket", "extra", F.col("order").desc(), "text")
         .select("key", "text", "extra")
         .mapInArrow(each, schema)
