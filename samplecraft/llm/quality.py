@@ -80,22 +80,39 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 300) -> np.ndarray:
-    """Logistic regression weights, the constant last, by accelerated gradient steps."""
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
-    w = v = np.zeros(x.shape[1])
-    scale = 0.25 * max(float((x * x).sum(axis=1).max(initial=1.0)), 1.0) * max(len(x), 1) ** 0.5
-    scale = min(scale, 0.25 * float((x * x).sum())) + ridge
+def fitted(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, ridge: float = 1.0, steps: int = 200) -> np.ndarray:
+    """Logistic regression weights by accelerated gradient steps of the length that the
+    largest curvature allows. The last column of ``x`` is the constant 1, its weight is
+    not held back. Rows whose ``y`` is NaN do not count; ``start`` is a guess to begin
+    from."""
+    w = np.zeros(x.shape[1]) if start is None else start.astype(float)
+    counts = (~np.isnan(y)).astype(np.float32)
+    target = np.nan_to_num(y).astype(np.float32)
+    way = np.full(x.shape[1], x.shape[1] ** -0.5, np.float32)
+    largest = 0.0
+    for _ in range(15):
+        along = x.T @ ((x @ way) * counts)
+        largest = float(np.linalg.norm(along))
+        way = along / np.float32(max(largest, 1e-12))
+    scale = 0.25 * 1.1 * largest + ridge
     penalty = np.full(len(w), ridge)
     penalty[-1] = 0
+    v = w
     for t in range(1, steps + 1):
-        step = v - (x.T @ (_sigmoid(x @ v) - y) + penalty * v) / scale
+        miss = (_sigmoid(x @ v.astype(np.float32)) - target).astype(np.float32) * counts
+        step = v - (x.T @ miss + penalty * v) / scale
         v = step + (t - 1) / (t + 2) * (step - w)
         w = step
     return w
 
 
+def with_constant(*parts: np.ndarray) -> np.ndarray:
+    """Columns side by side, and one of 1."""
+    return np.concatenate([*parts, np.ones((len(parts[0]), 1))], axis=1, dtype=np.float32)
+
+
 def applied(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Scores of rows without the constant column."""
     return x @ w[:-1] + w[-1]
 
 
@@ -167,17 +184,19 @@ def _edges(values: np.ndarray) -> np.ndarray:
     return np.unique(np.quantile(values, np.arange(1, BINS) / BINS)) if len(values) else np.zeros(0)
 
 
-def _pick_terms(docs_terms: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """The words that depend on the label most, by their chi-squared statistic."""
-    if not len(y) or y.min() == y.max():
+def _pick_terms(terms: np.ndarray, bounds: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The words that depend on the label most, by their chi-squared statistic; documents
+    whose ``y`` is NaN do not count."""
+    used = ~np.isnan(y)
+    if not used.any() or y[used].min() == y[used].max():
         return np.zeros(0, np.uint64)
-    every = np.concatenate(docs_terms) if docs_terms else np.zeros(0, np.uint64)
-    label = np.repeat(y, [len(t) for t in docs_terms])
-    names, place = np.unique(every, return_inverse=True)
+    size = np.diff(bounds)
+    mine = np.repeat(used, size)
+    names, place = np.unique(terms[mine], return_inverse=True)
     seen = np.bincount(place, minlength=len(names)).astype(float)
-    good = np.bincount(place, label, len(names))
-    rate = y.mean()
-    absent = np.maximum(len(y) - seen, 1)
+    good = np.bincount(place, np.repeat(y, size)[mine], len(names))
+    n, rate = used.sum(), y[used].mean()
+    absent = np.maximum(n - seen, 1)
     expected = np.maximum(seen * rate * (1 - rate) * (1 + seen / absent), 1e-9)
     chi = (good - seen * rate) ** 2 / expected
     chi[(seen < LEAST_SEEN) | (chi < 15)] = 0
@@ -185,29 +204,32 @@ def _pick_terms(docs_terms: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.sort(names[best[chi[best] > 0]])
 
 
-def _presence(docs_terms: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(docs_terms), len(terms)), np.float32)
-    if len(terms):
-        for i, own in enumerate(docs_terms):
-            at = np.minimum(np.searchsorted(terms, own), len(terms) - 1)
-            out[i, at[terms[at] == own]] = 1
+def _presence(terms: np.ndarray, bounds: np.ndarray, known: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(bounds) - 1, len(known)), np.float32)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+        hit = known[at] == terms
+        out[np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[hit], at[hit]] = 1
     return out
 
 
-def cotrained(model: Model, looks: np.ndarray, docs_terms: list[np.ndarray], meta: np.ndarray, y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> Target:
+def cotrained(
+    model: Model, looks: np.ndarray, terms: np.ndarray, bounds: np.ndarray, meta: np.ndarray, y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS
+) -> Target:
     """Train one label; ``y`` is NaN for the pool, ``fold`` marks the labelled documents
     kept aside for calibration."""
     train, held, pool = ~np.isnan(y) & ~fold, ~np.isnan(y) & fold, np.isnan(y)
     if not held.any() or not train.any():
         held = train = ~np.isnan(y)
-    terms = _pick_terms([docs_terms[i] for i in np.flatnonzero(train)], y[train])
-    views = [np.concatenate([model.look_bins(looks), _presence(docs_terms, terms)], axis=1), meta]
+    chosen = _pick_terms(terms, bounds, np.where(train, y, np.nan))
+    views = [with_constant(model.look_bins(looks), _presence(terms, bounds, chosen)), with_constant(meta)]
     given = [np.where(train, y, np.nan) for _ in views]  # labels that each view trains on
     labelled = 0
-    weights: list[np.ndarray] = []
+    weights: list = [None for _ in views]
     for turn in range(rounds + 1):
-        weights = [fitted(x[~np.isnan(g)], g[~np.isnan(g)]) for x, g in zip(views, given)]
-        scores = [applied(x, w) for x, w in zip(views, weights)]
+        # A round goes on from the weights of the one before.
+        weights = [fitted(x, g, w, steps=80 if turn else 400) for x, g, w in zip(views, given, weights)]
+        scores = [x @ w.astype(np.float32) for x, w in zip(views, weights)]
         scales = [calibration(s[held], y[held]) for s in scores]
         odds = [s * c[0] + c[1] for s, c in zip(scores, scales)]
         if turn == rounds:
@@ -222,13 +244,13 @@ def cotrained(model: Model, looks: np.ndarray, docs_terms: list[np.ndarray], met
             found = found[np.argsort(-np.abs(odds[mine][found]), kind="stable")][: int(SHARE * pool.sum())]
             given[other][found] = (p[found] >= 0.5).astype(float)
             labelled += len(found)
-    blend = fitted(np.stack([o[held] for o in odds], axis=1), y[held], ridge=0.1, steps=2000)
+    blend = fitted(with_constant(np.stack([o[held] for o in odds], axis=1)), y[held], ridge=0.1, steps=1000)
     # The views' calibration is folded into the blend's weights.
     mixed = np.array([blend[0] * scales[0][0], blend[1] * scales[1][0], blend[2] + blend[0] * scales[0][1] + blend[1] * scales[1][1]])
-    return Target(terms, weights[0], weights[1], mixed, labelled)
+    return Target(chosen, weights[0], weights[1], mixed, labelled)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, metadata: tuple[str, ...], targets: tuple[str, ...]) -> pd.DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, metadata: tuple[str, ...], targets: tuple[str, ...]) -> pa.Table:
     """The rows training sees, with their features instead of their texts."""
     sort = F.xxhash64("k")
     known = (
@@ -256,7 +278,7 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, metadata: t
 
     names = [n for n in rows.columns if n != "text"]
     schema = ", ".join(f"{n} {kinds[n]}" for n in names) + ", looks array<double>, terms array<long>"
-    return rows.mapInArrow(features, schema).toArrow().to_pandas()
+    return rows.mapInArrow(features, schema).toArrow()
 
 
 def train(
@@ -274,10 +296,16 @@ def train(
     largest label. Without labelled documents every score is 0.5.
     """
     numeric = tuple(docs.schema[c].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal") for c in metadata)
-    rows = _sample(docs, labels, key, text, metadata, targets)
-    rows = rows.drop_duplicates("k").sort_values("k", kind="stable").reset_index(drop=True)
-    looks = np.stack(rows["looks"].to_list()) if len(rows) else np.zeros((0, LOOKS))
-    terms = [np.asarray(t, np.int64).view(np.uint64) for t in rows["terms"]]
+    table = _sample(docs, labels, key, text, metadata, targets).combine_chunks()
+    # One row for each key, in the order of the keys.
+    rows = table.drop_columns(["looks", "terms"]).to_pandas().sort_values("k", kind="stable").drop_duplicates("k")
+    order = rows.index.to_numpy()
+    looks = table["looks"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, LOOKS)[order]
+    lists = table["terms"].combine_chunks()
+    begins, size = lists.offsets.to_numpy()[:-1][order].astype(np.int64), np.diff(lists.offsets.to_numpy())[order].astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    terms = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[np.arange(bounds[-1]) + np.repeat(begins - bounds[:-1], size)]
+    del table, lists
     columns: list = []
     values = [[None if pd.isna(v) else v for v in rows[f"m{i}"]] for i in range(len(metadata))]
     for number, column in zip(numeric, values):
@@ -297,7 +325,7 @@ def train(
             empty = np.zeros(0, np.uint64)
             model.targets[name] = Target(empty, np.zeros(LOOKS * BINS + 1), np.zeros(meta.shape[1] + 1), np.zeros(3), trained=False)
         else:
-            model.targets[name] = cotrained(model, looks, terms, meta, (y > 0).astype(float) + np.where(np.isnan(y), np.nan, 0), fold, rounds)
+            model.targets[name] = cotrained(model, looks, terms, bounds, meta, (y > 0).astype(float) + np.where(np.isnan(y), np.nan, 0), fold, rounds)
     return model
 
 

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from samplecraft.llm import queries, tokens
+from samplecraft.llm import quality, queries, tokens
 
 from .. import oracle
 from .conftest import CLASHING, corpus
@@ -93,11 +93,23 @@ def test_token_counts(spark):
 
 
 def test_quality(spark):
-    """Accuracy on labels that training has not seen."""
     rows = queries.QUERIES["op10_quality"](spark, FOLDER).toPandas()
     assert len(rows) == len(read("documents")) and set(rows.columns) == {"doc_id", "quality_score", "toxic_score", "accepted"}
 
 
+def test_quality_of_documents_whose_labels_were_kept_back(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.train(docs, labels.filter("doc_id % 4 != 0"), ("quality", "toxic"))
+    held = docs.join(labels.filter("doc_id % 4 = 0"), "doc_id", "left_semi")
+    rows = quality.score(held, model).select("doc_id", "quality_score", "toxic_score").toPandas()
+    rows = rows.merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
+    assert ((rows.quality_score >= 0.5) == (rows.quality == 1)).mean() >= 0.97
+    assert ((rows.toxic_score >= 0.5) == (rows.toxic == 1)).mean() >= 0.95
+    clean = rows[(rows.quality == 1) & (rows.toxic == 0)]
+    assert ((clean.quality_score >= 0.5) & (clean.toxic_score < 0.5)).mean() >= 0.98
+
+
 def plain(df, names=("doc_id", "text")):
     return [tuple(r[n] for n in names) for r in df.collect()]
 
