@@ -52,7 +52,8 @@ def _later(runs: DataFrame) -> DataFrame:
     """All runs of each interval but the first, with the first one's place."""
     interval, place = ["lines", "rank", "last"], F.struct("_doc", "_text", "_line")
     first = runs.groupBy(*interval).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    later = runs.join(first, interval).filter(place > F.col("first"))
+    # Written, so that the join deals both sides out itself and can split a frequent run.
+    later = runs.join(staged(first, "first-runs"), interval).filter(place > F.col("first"))
     return later.select(*_AT, "lines", F.col("first._doc").alias("first_doc"), F.col("first._line").alias("first_line"))
 
 
