@@ -10,7 +10,7 @@ from pyspark.sql import Window
 
 from ..dataset import Dataset, field_type, is_label_list, quoted, quoted_path, require_fields
 from ..functions.predicates import sample_predicate
-from ..plans.box_matching import matches
+from ..plans.box_matching import PAIR, matches
 
 DEFAULT_IOU = 0.5
 RUN = "_run_"  # a stored run's private column is this and its key
@@ -158,6 +158,7 @@ def _with_matches(
         F.col(quoted(ds.id_col)).alias("sample_id"),
         F.coalesce(preds, F.array()).alias("preds"),
         F.coalesce(truths, F.array()).alias("truths"),
+        # Null where one of the lists is empty.
         matches(preds, truths, least_iou, classwise).alias("found"),
     )
 
@@ -192,7 +193,8 @@ def store_evaluation(
     pairs in a private column, which saves, loads and clones with the dataset."""
     _with_matches(ds, pred_field, truth_field, iou, classwise)  # checks the fields
     preds, truths = F.col(quoted_path(pred_field)), F.col(quoted_path(truth_field))
-    found = matches(preds, truths, iou, classwise)["pairs"]
+    none = F.array().cast(f"array<{PAIR}>")
+    found = F.coalesce(matches(preds, truths, iou, classwise)["pairs"], none)
     column = found.alias(RUN + eval_key, metadata={"pred_field": pred_field, "truth_field": truth_field})
     kept = [quoted(c) for c in ds.df.columns if c != RUN + eval_key]
     return ds.with_df(ds.df.select(*kept, column))
@@ -212,9 +214,10 @@ def detection_report(
     matched = _with_matches(ds, pred_field, truth_field, iou, classwise)
 
     def outcome(labels: str, flags: str, hit: str, miss: str) -> Column:
+        none = F.array_repeat(F.lit(False), F.size(labels))
         return F.zip_with(
             labels,
-            F.col(f"found.{flags}"),
+            F.coalesce(F.col(f"found.{flags}"), none),
             lambda l, h: F.struct(l["label"].alias("class"), F.when(h, hit).otherwise(miss).alias("type")),
         )
 

@@ -64,18 +64,20 @@ def matched(preds: list[dict], truths: list[dict], least: float, classwise: bool
 
 def matches(preds: Column, truths: Column, least: float, classwise: bool) -> Column:
     """For each row's lists of (id, label, confidence, box): the matched pairs, and which
-    labels of either list are in one."""
+    labels of either list are in one. Null for rows where a list is null or empty: these
+    have nothing to match and are not sent to Python."""
 
     @F.arrow_udf(_RESULT)
     def run(p: pa.Array, t: pa.Array) -> pa.Array:
-        rows = []
-        for mine, theirs in zip(p.to_pylist(), t.to_pylist()):
-            found = matched(mine, theirs, least, classwise) if mine and theirs else []
+        rows: list = [None] * len(p)
+        some = np.flatnonzero(p.is_valid().to_numpy(zero_copy_only=False) & t.is_valid().to_numpy(zero_copy_only=False))
+        for row, mine, theirs in zip(some.tolist(), p.take(pa.array(some)).to_pylist(), t.take(pa.array(some)).to_pylist()):
+            found = matched(mine, theirs, least, classwise)
             hit, taken = [False] * len(mine), [False] * len(theirs)
             for i, j, _ in found:
                 hit[i] = taken[j] = True
             pairs = [{"pred_id": mine[i]["id"], "truth_id": theirs[j]["id"], "iou": x} for i, j, x in found]
-            rows.append({"pairs": pairs, "pred_hit": hit, "truth_hit": taken})
+            rows[row] = {"pairs": pairs, "pred_hit": hit, "truth_hit": taken}
         return pa.array(rows, type=kind)
 
     kind = pa.struct(
@@ -85,18 +87,21 @@ def matches(preds: Column, truths: Column, least: float, classwise: bool) -> Col
             ("truth_hit", pa.list_(pa.bool_())),
         ]
     )
+    both = (F.size(preds) > 0) & (F.size(truths) > 0)
 
     def plain(labels: Column) -> Column:
-        parts = F.transform(
-            labels,
-            lambda x: F.struct(
-                x["id"].cast("string").alias("id"),
-                x["label"].cast("string").alias("label"),
-                x["confidence"].cast("double").alias("confidence"),
-                x["box"].cast("array<double>").alias("box"),
+        return F.when(
+            both,
+            F.transform(
+                labels,
+                lambda x: F.struct(
+                    x["id"].cast("string").alias("id"),
+                    x["label"].cast("string").alias("label"),
+                    x["confidence"].cast("double").alias("confidence"),
+                    x["box"].cast("array<double>").alias("box"),
+                ),
             ),
         )
-        return F.coalesce(parts, F.array().cast("array<struct<id:string,label:string,confidence:double,box:array<double>>>"))
 
     # Not deterministic for the planner: it must not match twice to filter on the result.
     return run.asNondeterministic()(plain(preds), plain(truths))
