@@ -1,6 +1,5 @@
 """Page text, chat formatting and quality scores."""
 
-import hashlib
 import random
 import re
 
@@ -10,7 +9,7 @@ import pytest
 
 from samplecraft.llm import chat, html_text, quality
 
-from .conftest import awkward, corpus, empty, sentence
+from .conftest import sentence
 
 
 def lorem(seed, n=60):
