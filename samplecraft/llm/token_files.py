@@ -18,20 +18,18 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import new_path, staged
 from . import words as W
+from .ranges import LEAST_KEY, bucket_of, key_splits
 from .tokens import SLICE, WORD_TOKENIZER, encoder
 
 END = 2  # the id that ends a document
 BLOCK = 1 << 20  # ids in a block, unless one document has more
 BUCKET = 8_000_000  # ids in a bucket of consecutive documents, about
-MOST_BUCKETS = 20_000  # bounds what the driver and each task hold of them
-_LEAST = -(1 << 63)  # stands for a null key: before every other
 
 #: Data bytes of four ids, for each control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
@@ -61,48 +59,63 @@ def decoded(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, key: str, text: str, tokenizer: str, end: int) -> DataFrame:
-    """key, n_tokens and the ids of each document as little-endian 16- or 32-bit bytes."""
+    """key, n_tokens and the ids of each document as little-endian 16- or 32-bit bytes.
+
+    At the end of each partition stands a row without tokens whose ``counts`` says how
+    often each id occurred in it (64 bits each), so that counting takes no pass over the
+    ids.
+    """
 
     def run(batches):
         encode = encoder(tokenizer)
         width = "<u2" if encode.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        counts = np.zeros(end + 1, np.int64)
         for batch in batches:
             texts = batch.column("text")
             for i, j in W.slices(W.text_bytes(texts)[1], SLICE):
                 ids, at = encode.ids(texts.slice(i, j - i))
+                own = np.bincount(ids, minlength=len(counts))
+                own[: len(counts)] += counts
+                own[end] += j - i
+                counts = own
                 parts = [np.append(ids[a:b], np.int32(end)) for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").slice(i, j - i),
                         pa.array([len(p) for p in parts], pa.int64()),
                         pa.array([p.astype(width).tobytes() for p in parts], pa.binary()),
+                        pa.nulls(j - i, pa.binary()),
                     ],
-                    ["key", "n_tokens", "ids"],
+                    names,
                 )
+        last = [(None, pa.int64()), (0, pa.int64()), (b"", pa.binary()), (counts.astype("<i8").tobytes(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in last], names)
+
+    names = ["key", "n_tokens", "ids", "counts"]
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "key long, n_tokens long, ids binary")
+    return rows.mapInArrow(run, "key long, n_tokens long, ids binary, counts binary")
 
 
 def _ids(ids: bytes, count: int) -> np.ndarray:
     return np.frombuffer(ids, "<u2" if len(ids) == 2 * count else "<u4")
 
 
-def id_counts(rows: DataFrame) -> DataFrame:
+def id_counts(counts: DataFrame) -> DataFrame:
     """How often each id occurs in the whole corpus: id, n. Summed in tasks first."""
 
     def run(batches):
-        total = np.zeros(1 << 16, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids, n in zip(batch.column("ids"), batch.column("n_tokens").to_pylist()):
-                own = np.bincount(_ids(ids.as_buffer(), n))
+            for one in batch.column("counts"):
+                own = np.frombuffer(one.as_buffer(), "<i8")
                 if len(own) > len(total):
                     total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
                 total[: len(own)] += own
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["id", "n"])
 
-    return rows.select("n_tokens", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return counts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
@@ -121,19 +134,16 @@ def write_token_files(
     the key (a long) and the text are ignored.
     """
     spark = docs.sparkSession
-    rows = staged(encoded(docs, key, text, tokenizer, end), "token-ids", compression="zstd")
+    stored = staged(encoded(docs, key, text, tokenizer, end), "token-ids", compression="zstd")
+    rows = stored.filter("n_tokens > 0").select("key", "n_tokens", "ids")
     # At most one row for each id of the tokenizer, whose vocabulary bounds it.
-    order = id_counts(rows).orderBy(F.desc("n"), "id").select("id").toPandas()["id"].to_numpy()
+    order = id_counts(stored.select("counts").filter("counts IS NOT NULL")).orderBy(F.desc("n"), "id").select("id").toPandas()["id"].to_numpy()
     spark.createDataFrame([(int(end), [int(x) for x in order])], "end_id int, ids array<int>").coalesce(1).write.parquet(f"{path}/ranks")
     ranks = np.zeros(int(order.max(initial=0)) + 1, np.uint32)
     ranks[order] = np.arange(len(order))
 
-    total = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    wanted = min(max(total // BUCKET, spark.sparkContext.defaultParallelism * 2), MOST_BUCKETS)
-    cuts = [i / wanted for i in range(1, wanted)]
-    found = rows.agg(F.percentile_approx("key", cuts, 10 * wanted)).first()[0]
-    splits = np.unique(np.array(found or [], np.int64))
-    rows = rows.withColumn("bucket", _bucket_of(splits)(F.coalesce("key", F.lit(_LEAST))))
+    splits = key_splits(rows, "key", BUCKET, weight="n_tokens")
+    rows = rows.withColumn("bucket", bucket_of(splits)(F.coalesce("key", F.lit(LEAST_KEY))))
     totals = {r.bucket: r.n for r in rows.groupBy("bucket").agg(F.sum("n_tokens").alias("n")).collect()}
     before, so_far = {}, 0
     for b in sorted(totals):
@@ -168,7 +178,7 @@ def write_token_files(
             yield block()
 
     blocks = (
-        rows.repartition(max(len(before), 1), "bucket")
+        rows.repartitionById(len(splits) + 1, "bucket")
         .sortWithinPartitions("bucket", F.col("key").asc_nulls_first(), "ids")
         .mapInArrow(pack, "bucket int, block int, first long, keys array<long>, counts array<long>, control binary, data binary")
     )
@@ -176,16 +186,6 @@ def write_token_files(
     return path
 
 
-def _bucket_of(splits: np.ndarray):
-    """The number of splits that are not above a key."""
-
-    @F.pandas_udf("int")
-    def bucket(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(splits, keys.to_numpy(), side="right").astype(np.int32))
-
-    return bucket
-
-
 def read_token_files(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """The documents of token files: ``key``, start (ids of all documents before it),
     n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), and with
