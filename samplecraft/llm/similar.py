@@ -25,7 +25,7 @@ from . import words as W
 PERMUTATIONS = 128
 ROWS = 4  # of a band: a pair of similarity 0.8 misses all 32 bands once in 2 * 10^7
 CELL = 256  # nodes
-SENT = 2_000_000  # nodes whose numbers may be broadcast: 16 MB
+SENT = 250_000  # nodes whose numbers may be broadcast, about 100 bytes each in memory
 SLAB = 8192  # shingles compared at once
 ROUNDS = 60
 
