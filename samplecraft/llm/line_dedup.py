@@ -8,10 +8,12 @@ sorting pairs of ranks. Suffixes of equal rank stand together in the suffix arra
 such an interval has a longest common prefix of at least that many lines. Intervals of
 other depths are those whose suffixes agree in two overlapping ranks.
 
-A suffix's run is as many lines as it takes to reach ``min_words`` words. An interval of
-that depth with more than one suffix is a repeated run; its first suffix stays, the
-lines of all later ones go. Longer repeated runs are unions of such runs, so maximal
-runs go as a whole, and a line's first occurrence in the corpus always stays.
+A suffix's runs are those of ``min_words`` words that would have fewer without their
+last line, or without their first. An interval of such a depth with more than one suffix
+is a repeated run; its first suffix stays, the lines of all later ones go. A longer
+repeated run is a union of such runs: each of its lines has ``min_words`` words from it
+to the end, or from the start to it, or stands in the shortest run from the start. So
+maximal runs go as a whole, and a line's first occurrence in the corpus always stays.
 
 All of it is DataFrame functions. Ranks are taken by a range sort, groups are combined
 before the shuffle, and rows of a line that is in every document are spread by position.
@@ -70,35 +72,41 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
         .withColumn("there", F.sum("words").over(island))
         .filter(F.col("there") >= min_words)
     )
-    # The fewest lines from here that have min_words words; each line has one at least.
+    # From low, the fewest lines from here that have min_words words, to high, the most
+    # that would have fewer without the first; each line has one at least.
     ahead = F.collect_list("words").over(island.orderBy("_line").rowsBetween(0, min_words - 1))
-    need = F.aggregate(
+    reached = F.aggregate(
         ahead,
-        F.struct(F.lit(0).alias("lines"), F.lit(0).alias("words")),
-        lambda s, w: F.when(s["words"] >= min_words, s).otherwise(F.struct((s["lines"] + 1).alias("lines"), (s["words"] + w).alias("words"))),
+        F.struct(*[F.lit(0).alias(c) for c in ("low", "high", "words")]),
+        lambda s, w: F.struct(
+            (s["low"] + F.when(s["words"] < min_words, 1).otherwise(0)).alias("low"),
+            (s["high"] + F.when(s["words"] + w - F.get(ahead, F.lit(0)) < min_words, 1).otherwise(0)).alias("high"),
+            (s["words"] + w).alias("words"),
+        ),
     )
-    suffixes = staged(
-        suffixes.withColumn("need", need).select(*_AT, "rank", F.when(F.col("need.words") >= min_words, F.col("need.lines")).alias("lines")), "suffixes"
-    )
-    deepest = suffixes.agg(F.max("lines")).first()[0] or 0
+    low, high = (F.when(F.col("reached.words") >= min_words, c) for c in (F.col("reached.low"), F.greatest("reached.low", "reached.high")))
+    suffixes = staged(suffixes.withColumn("reached", reached).select(*_AT, "rank", low.alias("low"), high.alias("high")), "suffixes")
+    deepest = suffixes.agg(F.max("high")).first()[0] or 0
 
     found, level, reach = [], suffixes, 1
     while reach <= deepest:
         # Runs of reach to 2 * reach - 1 lines: the ranks of their first and last reach lines.
-        here = F.col("lines").between(reach, 2 * reach - 1)
+        here = level.filter((F.col("low") < 2 * reach) & (F.col("high") >= reach))
+        depths = F.sequence(F.greatest("low", F.lit(reach)), F.least("high", F.lit(2 * reach - 1)))
+        here = here.select(*_AT, "rank", F.explode(depths).alias("lines"))
         ends = level.select("_doc", "_text", F.col("_line").alias("end"), F.col("rank").alias("last"))
         same = F.col("_doc").eqNullSafe(F.col("d")) & (F.col("_text") == F.col("t")) & (F.col("_line") + F.col("lines") - reach == F.col("end"))
-        part = level.filter(here).join(ends.toDF("d", "t", "end", "last"), same).select(*_AT, "lines", "rank", "last")
+        part = here.join(ends.toDF("d", "t", "end", "last"), same).select(*_AT, "lines", "rank", "last")
         found.append(staged(_later(staged(part, "runs")), "later-runs"))
         if 2 * reach <= deepest:
             after = level.select("_doc", "_text", "_line", "rank").toDF("d", "t", "e", "next")
             same = F.col("_doc").eqNullSafe(F.col("d")) & (F.col("_text") == F.col("t")) & (F.col("_line") + reach == F.col("e"))
-            pairs = level.join(after, same).select(*_AT, "lines", "rank", "next")
+            pairs = level.join(after, same).select(*_AT, "low", "high", "rank", "next")
             pairs = _shared(staged(pairs, "suffix-pairs").withColumnRenamed("rank", "front"), ["front", "next"], "rank")
             level = staged(pairs, "suffixes")
         reach *= 2
     if not found:
-        return suffixes.select(*_AT, "lines", F.col("_doc").alias("first_doc"), F.col("_line").alias("first_line")).limit(0)
+        return suffixes.select(*_AT, F.col("low").alias("lines"), F.col("_doc").alias("first_doc"), F.col("_line").alias("first_line")).limit(0)
     return reduce(DataFrame.unionByName, found)
 
 

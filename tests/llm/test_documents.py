@@ -230,6 +230,51 @@ def test_line_dedup(spark, least):
     assert {r.doc_id for r in dropped.collect()} == {k for k, (t, n) in expected.items() if t is not None or not n}
 
 
+def lines_in_repeats(rows, least):
+    """The lines of each document that stand in any run of ``least`` words or more, of
+    any length, that starts earlier too."""
+    docs = sorted((k, (t or "").split("\n")) for k, t in dict(rows).items())
+    seen, gone = set(), {k: set() for k, _ in docs}
+    for k, lines in docs:
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                run = tuple(lines[i : j + 1])
+                if sum(x.count(" ") + 1 for x in run) >= least:
+                    if run in seen:
+                        gone[k].update(range(i, j + 1))
+                    seen.add(run)
+    return gone
+
+
+def line_of(rng, n):
+    return " ".join(sentence(rng, n))
+
+
+@pytest.mark.parametrize("sizes", [(60, 10, 10), (30, 30, 10), (10, 30, 30), (10, 10, 60), (20, 20, 20, 20), (49, 1, 1), (1,) * 55, (25, 49, 1, 49, 25)])
+def test_maximal_runs_go_as_a_whole(spark, sizes):
+    rng = random.Random(5)
+    run = [line_of(rng, n) for n in sizes]
+    texts = [[line_of(rng, 70), *run], [line_of(rng, 3), *run, "own", *run[1:]], run]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()
+    expected = lines_in_repeats(rows, 50)
+    for r in out:
+        assert r.n_deleted == len(expected[r.doc_id])
+        left = [x for i, x in enumerate(texts[r.doc_id]) if i not in expected[r.doc_id]]
+        assert r.text == ("\n".join(left) if left else None)
+    assert {r.doc_id: r.n_deleted for r in out}[2] == len(sizes)
+
+
+@pytest.mark.parametrize("least", [50, 7])
+def test_repeats_of_any_length(spark, least):
+    rows = [(k, t) for k, t in lines_corpus(8) if (t or "").count("\n") < 60]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=least, counts=True).collect()
+    expected = lines_in_repeats(rows, least)
+    for r in out:
+        left = [x for i, x in enumerate((dict(rows)[r.doc_id] or "").split("\n")) if i not in expected[r.doc_id]]
+        assert r.n_deleted == len(expected[r.doc_id]) and (r.text or "") == "\n".join(left), r.doc_id
+
+
 def test_line_dedup_of_odd_tables(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
     text = "w " * 60
