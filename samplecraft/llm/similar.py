@@ -27,7 +27,6 @@ ROWS = 4  # of a band: a pair of similarity 0.8 misses all 32 bands once in 2 *
 CELL = 256  # nodes
 SENT = 250_000  # nodes whose numbers may be broadcast, about 100 bytes each in memory
 SLAB = 8192  # shingles compared at once
-ROUNDS = 60
 
 
 def signed(shingles: np.ndarray, bounds: np.ndarray, seed: int = 1) -> np.ndarray:
@@ -203,21 +202,27 @@ def linked(rows: DataFrame, threshold: float, size: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, class): the smallest node of each connected component, by spreading the
-    smallest label along edges and then jumping to the label's label."""
-    both = edges.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-    both = staged(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
-    labels = staged(both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("node"), F.least("u", "low").alias("class")), "labels")
-    for _ in range(ROUNDS):
-        near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("class").alias("low"))
-        near = labels.join(near, F.col("node") == F.col("u")).select("node", F.col("class").alias("was"), F.least("class", "low").alias("class"))
-        up = labels.select(F.col("node").alias("at"), F.col("class").alias("above"))
-        new = near.join(up, F.col("class") == F.col("at")).select("node", "was", F.least("class", "above").alias("class"))
-        new = staged(new, "labels")
-        labels = new.drop("was")
-        if new.filter("was != class").isEmpty():
-            return labels
-    raise RuntimeError("links are longer than 2^60")
+    """(node, class): the smallest node of each connected component, by large and small
+    stars in turn until nothing changes, O(log^2 n) rounds for n nodes. A node's larger
+    neighbours are linked to its smallest one, then it and its smaller ones are. Links
+    never get more; in the end each goes to the smallest node."""
+    links = edges.filter("node != root").select(F.greatest("node", "root").alias("high"), F.least("node", "root").alias("low"))
+    links = staged(links.distinct(), "links")
+    while True:
+        # Written, so that the joins deal both sides out themselves and can split a frequent node.
+        least = staged(links.groupBy("high").agg(F.min("low").alias("least")), "smallest").withColumnRenamed("high", "at")
+        large = links.join(least, F.col("low") == F.col("at"), "left")
+        large = large.select("high", F.coalesce("least", "low").alias("low"), F.col("least").isNotNull().alias("moved"))
+        large = staged(large.groupBy("high", "low").agg(F.max("moved").alias("moved")), "links")
+        least = staged(large.groupBy("high").agg(F.min("low").alias("least")), "smallest").withColumnRenamed("high", "at")
+        other = F.col("low") != F.col("least")
+        small = large.join(least, F.col("high") == F.col("at"))
+        small = small.select(F.when(other, F.col("low")).otherwise(F.col("high")).alias("high"), F.col("least").alias("low"), (F.col("moved") | other).alias("moved"))
+        small = staged(small.groupBy("high", "low").agg(F.max("moved").alias("moved")), "links")
+        links = small.drop("moved")
+        if small.filter("moved").isEmpty():
+            roots = links.select("low").distinct().select(F.col("low").alias("node"), F.col("low").alias("class"))
+            return links.select(F.col("high").alias("node"), F.col("low").alias("class")).unionByName(roots)
 
 
 def with_texts(rows: DataFrame, docs: DataFrame, features: DataFrame, nodes: DataFrame, key: str, text: str, size: int) -> DataFrame:

@@ -105,6 +105,13 @@ def test_chains_are_one_class(spark):
     assert similar.components(spark.createDataFrame([], "node long, root long")).count() == 0
 
 
+def test_a_long_shuffled_chain_is_one_class(spark):
+    names = random.Random(3).sample(range(10**6), 3000)
+    edges = [(max(a, b), min(a, b)) for a, b in zip(names, names[1:])]
+    got = similar.components(spark.createDataFrame(edges, "node long, root long")).collect()
+    assert {r["node"]: r["class"] for r in got} == dict.fromkeys(names, min(names)) and len(got) == 3000
+
+
 def test_one_of_each(spark):
     docs = awkward(spark, corpus())
     classes = ngram_join.similar_documents(docs).collect()
