@@ -2,12 +2,13 @@
 
 A page goes through the standard library's streaming parser. Its events make *lines*:
 the text between two block-level tags, with the number of tags seen since the line
-before, the characters inside links and the open containers. The text-to-tag ratio of
+before and the open containers. The text-to-tag ratio of
 each line is smoothed with a Gaussian, and a threshold splits the ratios into two
 clusters. The container that holds the text of the dense cluster is the content region:
 the page's ``article`` (or ``main``) with the most of it, or, where a page has neither,
 the innermost container with most of it. A region's lines are all kept, sparse ones
 too, except what stands in navigation, forms, notices, adverts, comments and the like.
+Where the region is the whole body, a menu that no tag, role, class or id marks is kept.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 FEED = 1 << 16  # characters handed to the parser at once
 SIGMA = 1.5  # lines
 SHARE = 0.7  # of a container's dense text that lets a container inside it take its place
-LINKED = 0.6  # part of a line's text in links that makes it a menu, outside articles
 
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -61,23 +61,23 @@ def _hinted(names: str, among: set[str]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Collects ``(text, tags, linked, containers, dropped)`` for each line."""
+    """Collects ``(text, tags, containers, dropped)`` for each line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.open: list[tuple[str, int, int]] = []  # tag, container number or -1, why dropped
         self.kinds: list[str] = []  # of each container
         self.parts: list[str] = []
-        self.tags = self.links = self.linked = 0
+        self.tags = 0
 
     def _end_line(self):
         text = " ".join("".join(self.parts).split())
         if text:
             inside = tuple(c for _, c, _ in self.open if c >= 0)
-            self.lines.append((text, self.tags, self.linked, inside, any(d for _, _, d in self.open)))
+            self.lines.append((text, self.tags, inside, any(d for _, _, d in self.open)))
             self.tags = 0
-        self.parts, self.linked = [], 0
+        self.parts = []
 
     def _implied_ends(self, tag):
         """What a block's start closes: a paragraph, an item before an item, the head;
@@ -101,8 +101,6 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in _VOID:
             return
-        if tag == "a":
-            self.links += 1
         if tag in _CONTAINER or tag in _DROPPED or tag in ("a", "p", "span", "li", "figure"):
             own = {k: v or "" for k, v in attrs}
             names = f"{own.get('class', '')} {own.get('id', '')}"
@@ -132,8 +130,6 @@ class _Lines(HTMLParser):
         if tag in _BLOCK:
             self._end_line()
         self.tags += 1
-        if tag == "a" and self.links:
-            self.links -= 1
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 del self.open[i:]
@@ -144,8 +140,6 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data):
         self.parts.append(data)
-        if self.links:
-            self.linked += len(data)
 
     def finish(self):
         self.close()
@@ -192,29 +186,23 @@ def main_text(html: str) -> str:
         dense = kept
     weight: dict[int, float] = {}
     for i in np.flatnonzero(dense):
-        for c in lines[i][3]:
+        for c in lines[i][2]:
             weight[c] = weight.get(c, 0.0) + size[i]
     every: dict[int, float] = {}
     for i in np.flatnonzero(kept):
-        for c in lines[i][3]:
+        for c in lines[i][2]:
             every[c] = every.get(c, 0.0) + size[i]
     for kind in ("article", "main"):
         found = [c for c in every if parser.kinds[c] == kind]
         if found:
             region = max(found, key=lambda c: (weight.get(c, 0.0), every[c], -c))
-            return "\n".join(t for t, _, _, inside, dropped in lines if region in inside and not dropped)
+            return "\n".join(t for t, _, inside, dropped in lines if region in inside and not dropped)
     # No mark-up says where the text is: go down while one container holds most of it.
     region, total = None, sum(size[dense])
     for c in sorted(weight):
         if weight[c] >= SHARE * total:
             region, total = c, weight[c]
-    inside_region = [i for i in np.flatnonzero(kept) if region is None or region in lines[i][3]]
-    ends = [i for i in inside_region if dense[i]]
-    return "\n".join(
-        lines[i][0]
-        for i in inside_region
-        if (dense[i] or ends and ends[0] < i < ends[-1]) and lines[i][2] < LINKED * size[i]
-    )
+    return "\n".join(lines[i][0] for i in np.flatnonzero(kept) if region is None or region in lines[i][2])
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

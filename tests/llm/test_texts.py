@@ -51,6 +51,16 @@ def test_without_article():
     assert html_text.main_text(framed) == A
 
 
+@pytest.mark.parametrize("paragraphs", [6, 9, 12])
+def test_edges_of_an_article_of_divs(paragraphs):
+    menu = "".join(f"<div><a href='/{i}'>Place {i}</a></div>" for i in range(6))
+    long = [lorem(20 + i, 60 + 7 * i) for i in range(paragraphs)]
+    own = ["A heading of thirty characters", *long, "See also this page", "Short words.", "The end."]
+    body = f"<div>{own[0]}</div>" + "".join(f"<p>{t}</p>" for t in long) + f"<p><a href='/x'>{own[-3]}</a></p><p>{own[-2]}</p><p>{own[-1]}</p>"
+    foot = "<div>Imprint</div><div>Contact</div><div>2020</div>"
+    assert html_text.main_text(page(f"<div id='top'>{menu}</div><div id='text'>{body}</div><div id='end'>{foot}</div>")) == "\n".join(own)
+
+
 @pytest.mark.parametrize("html", ["", "plain words only", "<p", "<article>", "</article></p>", "<script>x", "&lt;p&gt; &#x41;", "<p>" * 3000 + "deep"])
 def test_broken_pages(html):
     assert isinstance(html_text.main_text(html), str)
