@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import set_local_folder, written
-from . import chat, decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, quality, token_counts, token_files
+from . import alignment, chat, decontaminate, fingerprints, html_text, line_dedup, merkle, mixing, ngram_join, packing, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -192,3 +192,124 @@ SELECT d.doc_id, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS class_id
        (SELECT count(*) FROM link WHERE link.a = d.doc_id) AS n_links
 FROM documents d
 """
+
+
+@query
+def op11_merkle(spark, folder):
+    """The proofs of all documents, and what they say of copies some of which have lost
+    their line feeds."""
+    docs = table(spark, folder, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = [F.translate("text", "\n", "") if c == "text" else F.col(c) for c in columns]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    manifest = merkle.build(docs, columns, other=F.when(hit, merkle.leaf_digest(changed)))
+    root = F.lit(manifest.root())
+    proofs = manifest.proofs().withColumn("folded_root", merkle.folded(F.coalesce("other", "leaf"), F.col("path")))
+    return proofs.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        root.cast("string").alias("root"),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+@query
+def op13_mixing(spark, folder):
+    return mixing.plan_mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+_FIELDS = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in [*_FIELDS, text]]
+    return f"sha256({' || '.join(parts)})"
+
+
+# Trees by level: the sources' trees, then the one of their subroots; h is a node.
+ORACLE["op11_merkle"] = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("replace(text, chr(10), '')")} AS changed,
+    list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) AS crc  -- not yet inverted
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaf
+), node AS (
+  SELECT source, 0 AS level, i, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM node WHERE n > 1 GROUP BY source, level, i // 3, n
+), subroot AS (
+  SELECT source, h, level AS depth, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS k, count(*) OVER () AS n FROM node WHERE n = 1
+), top AS (
+  SELECT 0 AS level, k AS i, n, h FROM subroot
+  UNION ALL
+  SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 3, n
+), root AS (
+  SELECT h AS root FROM top WHERE n = 1
+), step AS (  -- of each leaf and level: where its node is
+  SELECT p.doc_id, p.source, p.i AS leaf_i, s.level, CAST(p.i // CAST(3 ** s.level AS BIGINT) AS BIGINT) AS i FROM placed p JOIN subroot r ON r.source IS NOT DISTINCT FROM p.source JOIN (SELECT unnest(range(40)) AS level) s ON s.level < r.depth
+), sides AS (
+  SELECT t.source, t.leaf_i, t.level,
+    coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i < t.i), '') AS l, coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i > t.i), '') AS r
+  FROM step t JOIN node o ON o.source IS NOT DISTINCT FROM t.source AND o.level = t.level AND o.i // 3 = t.i // 3 GROUP BY ALL
+), top_sides AS (
+  SELECT s.source, o.level, coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i < CAST(s.k // CAST(3 ** o.level AS BIGINT) AS BIGINT)), '') AS l,
+    coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i > CAST(s.k // CAST(3 ** o.level AS BIGINT) AS BIGINT)), '') AS r
+  FROM subroot s JOIN top o ON o.n > 1 AND o.i // 3 = CAST(s.k // CAST(3 ** o.level AS BIGINT) AS BIGINT) // 3 GROUP BY ALL
+), way AS (
+  SELECT source, leaf_i, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM sides GROUP BY ALL
+), top_way AS (
+  SELECT source, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM top_sides GROUP BY ALL
+), whole AS (
+  SELECT p.doc_id, p.leaf, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN coalesce(changed, leaf) ELSE leaf END AS start, s.h AS subroot, root.root,
+    list_concat(coalesce(w.ls, []), coalesce(t.ls, [])) AS ls, list_concat(coalesce(w.rs, []), coalesce(t.rs, [])) AS rs
+  FROM placed p JOIN subroot s ON s.source IS NOT DISTINCT FROM p.source CROSS JOIN root
+  LEFT JOIN way w ON w.source IS NOT DISTINCT FROM p.source AND w.leaf_i = p.i LEFT JOIN top_way t ON t.source IS NOT DISTINCT FROM p.source
+), done AS (
+  SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(range(1, len(ls) + 1), lambda j: ls[j] || rs[j]), '')) AS proof_sha256,
+    list_reduce(list_prepend([start, ''], list_transform(range(1, len(ls) + 1), lambda j: [ls[j], rs[j]])), lambda x, y: [sha256(y[1] || x[1] || y[2]), ''])[1] AS folded_root
+  FROM whole
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
+
+# Sources by rising room for their weight; those before the first that the level does not fill are full.
+ORACLE["op13_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))) AS draw
+  FROM documents
+), summed AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), sources AS (
+  SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM summed
+), levels AS (
+  SELECT *, 2 * source_size / weight AS room, 1.5 * sum(source_size) OVER () AS whole,
+    coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+    sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM sources
+), level AS (
+  SELECT max(CAST(whole - held AS DOUBLE) / weights) AS level FROM levels WHERE CAST(whole - held AS DOUBLE) / weights <= room
+), target AS (
+  SELECT source, source_size, least(CAST(2 * source_size AS DOUBLE), weight * level) AS target FROM sources CROSS JOIN level
+), before AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sized
+), cut AS (
+  SELECT doc_id, b.source, size, source_size, target, before, CAST(floor(target) AS BIGINT) AS budget,
+    CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target) AS BIGINT) // source_size END AS epochs
+  FROM before b JOIN target t ON t.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, source, size, source_size, target,
+  CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
+FROM cut
+"""
+
+
+@query
+def op12_alignment(spark, folder):
+    return alignment.align(table(spark, folder, "documents"))[0]
