@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import samplecraft as sc
+from samplecraft.plans.staging import new_path
 from samplecraft.sources import curation_tables as ct
 
 from .book import DOCS, query
@@ -224,3 +225,112 @@ def infer_fields_nested(spark, folder):
     return typed.select(
         F.col("o_orderkey").alias("id"), inner["VOID"].alias("of_string"), inner["DECIMAL(3,1)"].alias("price"), F.col("doc.m").alias("mixed")
     )
+
+
+# -- stores: changes and batches written on their own ---------------------------------
+
+
+def new_store(spark, folder):
+    return sc.create_store(ct.docs(spark, folder), new_path(spark, "store"))
+
+
+def long_and_french(store):
+    """Three versions: long ones tagged, labelled ones that are long untagged, French ones tagged."""
+    store.tag_samples("long", view=[{"type": "Match", "filter": "n_chars > 1000"}])
+    store.untag_samples("long", view=lambda ds: sc.exists(ds, "quality"))
+    store.tag_samples(["fr", "seen"], view=lambda ds: sc.match(ds, "lang = 'fr'"))
+    return store
+
+
+@query(
+    "versioned_tags",
+    """SELECT sample_id, lang || ',' || source || CASE WHEN n_chars > 1000 AND quality IS NULL THEN ',long' ELSE '' END
+              || CASE WHEN lang = 'fr' THEN ',seen' ELSE '' END AS tags
+       FROM docs""",
+    using=(DOCS,),
+)
+def versioned_tags(spark, folder):
+    return tagged(long_and_french(new_store(spark, folder)).dataset())
+
+
+@query(
+    "versioned_tags_before",
+    """SELECT sample_id, lang || ',' || source || CASE WHEN n_chars > 1000 THEN ',long' ELSE '' END AS tags FROM docs""",
+    using=(DOCS,),
+)
+def versioned_tags_before(spark, folder):
+    """An earlier version, read after later ones were made."""
+    return tagged(long_and_french(new_store(spark, folder)).dataset(1))
+
+
+@query(
+    "versioned_history",
+    """SELECT CAST(0 AS BIGINT) AS version, 'compact' AS kind, count(*) AS n, count(*) AS rows FROM docs
+       UNION ALL SELECT 1, 'change', count(*), count(*) FROM docs WHERE n_chars > 1000
+       UNION ALL SELECT 2, 'change', count(*), count(*) FILTER (n_chars > 1000) FROM docs WHERE quality IS NOT NULL
+       UNION ALL SELECT 3, 'change', count(*), count(*) FROM docs WHERE lang = 'fr'""",
+    using=(DOCS,),
+)
+def versioned_history(spark, folder):
+    """What each version counted, and the rows it wrote: those whose tags change."""
+    return long_and_french(new_store(spark, folder)).history().select("version", "kind", "n", "rows")
+
+
+@query(
+    "versioned_values",
+    """SELECT sample_id, CASE WHEN quality IS NOT NULL THEN CASE WHEN toxic = 1 THEN -1 ELSE quality * 10 END END AS grade,
+              CASE WHEN toxic = 1 THEN 0 ELSE n_chars END AS n_chars
+       FROM docs""",
+    using=(DOCS,),
+)
+def versioned_values(spark, folder):
+    """A field that is set for all, then for some; another one for some only."""
+    store, labels = new_store(spark, folder), ct.table(spark, folder, "labels")
+    store.set_values("grade", ct.table(spark, folder, "documents").select("doc_id", F.lit(5)))
+    store.set_values("grade", labels.select("doc_id", F.col("quality") * 10))  # all others become null
+    toxic = labels.filter("toxic = 1")
+    store.set_values("grade", toxic.select("doc_id", F.lit(-1)), keep_unmatched=True)
+    store.set_values("n_chars", toxic.select("doc_id", F.lit(0)), keep_unmatched=True)
+    return store.dataset().rows().select("sample_id", "grade", "n_chars")
+
+
+def crawled(spark, folder):
+    return ct.table(spark, folder, "pages").select(
+        F.col("page_id").alias("position"), F.col("url").alias("filepath"), F.lit("xx").alias("lang")
+    )
+
+
+@query(
+    "versioned_append",
+    """SELECT sample_id, ord, filepath, lang FROM docs
+       UNION ALL
+       SELECT md5(concat_ws(chr(31), 'crawl-1', page_id, url)),
+              (SELECT max(ord) FROM docs) + 1 + page_id, url, 'xx'
+       FROM pages""",
+    using=(DOCS,),
+)
+def versioned_append(spark, folder):
+    """A batch that is added twice, as a retry does, with a compaction between."""
+    store = new_store(spark, folder)
+    store.add_samples(crawled(spark, folder).filter("position % 2 = 0"), "crawl-1")
+    store.add_samples(crawled(spark, folder), "crawl-1")
+    store.compact()
+    store.add_samples(crawled(spark, folder), "crawl-1")
+    return store.dataset().rows().select("sample_id", "ord", "filepath", "lang")
+
+
+@query(
+    "versioned_append_history",
+    """SELECT CAST(0 AS BIGINT) AS version, 'compact' AS kind, CAST(NULL AS VARCHAR) AS batch, count(*) AS rows FROM docs
+       UNION ALL SELECT 1, 'samples', 'crawl-1', count(*) FROM pages
+       UNION ALL SELECT 2, 'change', NULL, count(*) FROM pages
+       UNION ALL SELECT 3, 'compact', NULL, (SELECT count(*) FROM docs) + count(*) FROM pages""",
+    using=(DOCS,),
+)
+def versioned_append_history(spark, folder):
+    """Rows written by an append, by tagging what it added, and by a compaction."""
+    store = new_store(spark, folder)
+    store.add_samples(crawled(spark, folder), "crawl-1")
+    store.tag_samples("crawled", view=[{"type": "Match", "filter": "lang = 'xx'"}])
+    store.compact()
+    return store.history().select("version", "kind", "batch", "rows")

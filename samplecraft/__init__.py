@@ -82,3 +82,4 @@ from .sources.catalog import (
     save_view,
     summary_value_counts,
 )
+from .sources.versions import Store, create_store, open_store

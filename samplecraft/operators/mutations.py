@@ -131,6 +131,20 @@ def _unique_values(values: DataFrame) -> DataFrame:
     )
 
 
+def keyed_values(ds: Dataset, values: Mapping | DataFrame, key_name: str) -> DataFrame:
+    """``(_key, _value, _hit)`` of the values given for keys; a key occurs once."""
+    key_type = field_type(ds.df.schema, key_name)
+    if isinstance(values, Mapping):
+        values = {k: v for k, v in typed_mapping(values, key_type).items() if k is not None}
+        keys, given = list(values), list(values.values())
+        table = key_table(
+            ds.spark, {"_key": (keys, key_type), "_value": (given, _spark_type(ds.spark, given))}
+        )
+    else:
+        table = _unique_values(values)
+    return table.select(F.col("_key").cast(key_type), "_value", F.lit(True).alias("_hit"))
+
+
 def set_values(
     ds: Dataset,
     field: str,
@@ -150,16 +164,7 @@ def set_values(
     exists = field.split(".")[0] in fields
     if isinstance(values, (Mapping, DataFrame)):
         key_name = key_field or ds.id_col
-        key_type = field_type(ds.df.schema, key_name)
-        if isinstance(values, Mapping):
-            values = {k: v for k, v in typed_mapping(values, key_type).items() if k is not None}
-            keys, given = list(values), list(values.values())
-            table = key_table(
-                ds.spark, {"_key": (keys, key_type), "_value": (given, _spark_type(ds.spark, given))}
-            )
-        else:
-            table = _unique_values(values)
-        table = table.select(F.col("_key").cast(key_type), "_value", F.lit(True).alias("_hit"))
+        table = keyed_values(ds, values, key_name)
         df = ds.df.join(table, F.col(quoted_path(key_name)) == F.col("_key"), "left")
         new: Column = F.col("_value")
         touched = F.col("_value").isNotNull()
