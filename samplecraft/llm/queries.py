@@ -112,20 +112,15 @@ WITH docs AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), line AS (
   SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM docs
-), counted AS (
-  SELECT doc_id, i, len(string_split(line, ' ')) AS words,
-         sum(len(string_split(line, ' '))) OVER (PARTITION BY doc_id ORDER BY i) AS upto
-  FROM line
-), run AS (  -- the shortest run of 50 words from each line
-  SELECT a.doc_id, a.i, min(b.i) AS j
-  FROM counted a JOIN counted b ON b.doc_id = a.doc_id AND b.i BETWEEN a.i AND a.i + 49 AND b.upto - a.upto + a.words >= 50
-  GROUP BY a.doc_id, a.i
-), named AS (
-  SELECT run.doc_id, i, j, array_to_string(lines[i:j], chr(10)) AS name FROM run JOIN docs USING (doc_id)
-), later AS (
-  SELECT *, row_number() OVER (PARTITION BY name, j - i ORDER BY doc_id, i) AS place FROM named
+), pair AS (  -- equal lines, the later one of this document
+  SELECT b.doc_id, b.i, a.doc_id AS first_doc, a.i AS first_i, len(string_split(b.line, ' ')) AS words
+  FROM line a JOIN line b ON a.line = b.line AND (a.doc_id, a.i) < (b.doc_id, b.i)
+), run AS (  -- pairs that follow one another are one maximal run
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, first_doc, i - first_i ORDER BY i) AS run FROM pair
+), long AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id, first_doc, i - first_i, run) AS total FROM run
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM later WHERE place > 1
+  SELECT DISTINCT doc_id, i FROM long WHERE total >= 50
 ), rest AS (
   SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_deleted,
          coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS left_over

@@ -198,27 +198,32 @@ def lines_corpus(seed=7):
 
 
 def brute_lines(rows, least=50):
-    """Text left of each distinct (key, text), by listing every run's lines."""
+    """Text left of each distinct (key, text), by following every maximal run of lines
+    that stands earlier too."""
     docs = sorted({(k, t or "", t) for k, t in rows if k is not None}, key=lambda d: d[0])
-    seen, out = set(), {}
-    runs = []
-    for k, t, _ in docs:
-        lines = t.split("\n")
-        for i in range(len(lines)):
-            total = 0
-            for j in range(i, len(lines)):
-                total += lines[j].count(" ") + 1
-                if total >= least:
-                    runs.append((k, i, j, tuple(lines[i : j + 1])))
-                    break
-    gone = defaultdict(set)
-    for k, i, j, run in runs:
-        if run in seen:
-            gone[k].update(range(i, j + 1))
-        seen.add(run)
-    for k, t, original in docs:
-        left = [x for i, x in enumerate(t.split("\n")) if i not in gone[k]]
-        out[k] = ((None if gone[k] else original) if not left or not gone[k] else "\n".join(left), len(gone[k]))
+    lines = [(d, i, x) for d, (_, t, _) in enumerate(docs) for i, x in enumerate(t.split("\n"))]
+    places, gone, out = defaultdict(list), defaultdict(set), {}
+    for at, (_, _, x) in enumerate(lines):
+        places[x].append(at)
+
+    def equal(p, q, step):  # whether the lines next to these are equal, inside their documents
+        if p + step < 0 or q + step >= len(lines):
+            return False
+        (d, i, _), (e, j, _) = lines[p], lines[q]
+        return lines[p + step][:2] == (d, i + step) and lines[q + step][:2] == (e, j + step) and lines[p + step][2] == lines[q + step][2]
+
+    for same in places.values():
+        for n, q in enumerate(same):
+            for p in same[:n]:
+                if not equal(p, q, -1):
+                    size = 1
+                    while equal(p + size - 1, q + size - 1, 1):
+                        size += 1
+                    if sum(x.count(" ") + 1 for _, _, x in lines[q : q + size]) >= least:
+                        gone[lines[q][0]].update(range(lines[q][1], lines[q][1] + size))
+    for d, (k, t, original) in enumerate(docs):
+        left = [x for i, x in enumerate(t.split("\n")) if i not in gone[d]]
+        out[k] = ((None if gone[d] else original) if not left or not gone[d] else "\n".join(left), len(gone[d]))
     return out
 
 
