@@ -3,11 +3,18 @@
 ``orderBy().limit(n)`` keeps n rows in one task and ``orderBy().offset(n)`` moves all
 rows into one partition. Both are fine for a page and wrong for a billion rows. Here a
 limit or a skip becomes a filter against the key of the n-th row, so the wide rows
-never move, and only the narrow sort keys are ranked:
+never move, and that key is found by selection over the bare sort keys:
 
-* up to ``TOPK_KEYS`` keys: one top-k over the key columns;
-* beyond: keys range-partitioned and sorted, written once, and ranked as
-  ``rows in earlier partitions + index within the partition``.
+* up to ``TOPK_KEYS`` keys: a top-k; on a cluster of many cores the keys of about
+  ``CORES`` cores are cut to n before they meet those of the others, so no task gets n
+  keys of every input task;
+* beyond: quantile sketches of the first key column bound the n-th row from below and
+  above, all rows below are counted exactly, and only what lies between is ranked. That is
+  about a hundredth of the rows, or those that share a value (or the first bytes of a
+  text) with the n-th.
+
+``ranked`` gives all rows their positions: keys range-partitioned and sorted, written once,
+and numbered as ``rows in earlier partitions + index within the partition``.
 
 A key is a list of columns that are compared one by one, nulls lowest; as a struct it
 compares the same way. It ends in the id, so a sort value shared by a third of the rows
@@ -22,12 +29,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from .staging import staged
 
 TOPK_ROWS = 1_000  # whole rows one top-k task may hold
 TOPK_KEYS = 10_000  # bare sort keys one top-k task may hold
+CORES = 16  # whose keys are cut together before all meet
+GRID = 200  # quantiles asked of the sketches
+ACCURACY = 1_000  # a sketch's ranks are off by one in so many at most
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition above, row index below
 
@@ -74,30 +85,90 @@ def _placed(df: DataFrame) -> DataFrame:
     )
 
 
-def _cut(df: DataFrame, keys: list[Column], n: int, reverse: bool) -> tuple[Column, int | None]:
-    """The key of the n-th row (from 1; of the last one, if there are fewer) as a
-    constant struct, and how many rows of this key belong to the first n, or None if all
-    do. One job over the bare keys."""
+def _top(bare: DataFrame, keys: list[Column], n: int, reverse: bool) -> list:
+    """The n-th row and the one after it, as far as there are any, by a top-k."""
+    order = directed(keys, reverse)
+    groups = bare.sparkSession.sparkContext.defaultParallelism // CORES
+    if groups > 1:
+        # Spark cuts each task's share of a group to n rows before the shuffle, too.
+        group = F.spark_partition_id() % groups
+        place = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
+        bare = bare.withColumn("_group", group).withColumn("_place", place).filter(F.col("_place") <= n + 1).drop("_group", "_place")
+    return bare.orderBy(*order).offset(n - 1).limit(2).collect()
+
+
+def _number(key: Column, dtype: T.DataType) -> Column | None:
+    """A double that never falls where the key grows, or None if the type has none."""
+    if isinstance(dtype, T.StringType) and dtype.isUTF8BinaryCollation():
+        value = F.conv(F.rpad(F.hex(F.substring(key.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    elif isinstance(dtype, (T.NumericType, T.BooleanType)):
+        value = F.nanvl(key.cast("double"), F.lit(float("inf")))
+    elif isinstance(dtype, T.DateType):
+        value = F.unix_date(key).cast("double")
+    elif isinstance(dtype, T.TimestampType):
+        value = F.unix_micros(key).cast("double")
+    else:
+        return None
+    return F.coalesce(value, F.lit(float("-inf")))
+
+
+def _between(bare: DataFrame, keys: list[Column], n: int, reverse: bool) -> tuple[DataFrame, int, int]:
+    """Rows among which the n-th is, its number among them, and how many they are. Two
+    jobs: sketches, and exact counts around the bounds."""
+    x = _number(keys[0], bare.schema[0].dataType)
+    if x is None:
+        return bare, n, bare.count()
+    x = -x if reverse else x
+    shares = [i / GRID for i in range(GRID + 1)]
+    row = bare.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, shares, ACCURACY).alias("grid")).first()
+    if row["n"] < n:
+        return bare, n, row["n"]
+    step = 1
+    while True:
+        # One step of the grid is several times what a sketch can be off.
+        at = n * GRID // row["n"]
+        low, high = (row["grid"][k] if 0 <= k <= GRID else None for k in (at - step, at + 1 + step))
+        below = F.lit(False) if low is None else x < F.lit(low)
+        above = F.lit(False) if high is None else x > F.lit(high)
+        counts = bare.agg(F.count_if(below).alias("below"), F.count_if(~below & ~above).alias("inside")).first()
+        if counts["below"] < n <= counts["below"] + counts["inside"]:
+            return bare.filter(~below & ~above), n - counts["below"], counts["inside"]
+        step *= 4
+
+
+def _cut(df: DataFrame, keys: list[Column], n: int, reverse: bool) -> tuple[Column | None, int | None]:
+    """The key of the n-th row (from 1) as a constant struct, or None if there are fewer
+    rows; and how many rows of this key belong to the first n, or None if all do."""
     bare = df.select(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)])
-    keys = [F.col(c) for c in bare.columns]
-    if n < TOPK_KEYS:
-        first = bare.orderBy(*directed(keys, reverse)).limit(n + 1)
-        # At most n + 1 keys, sorted by the top-k: a bounded window.
-        place = F.row_number().over(Window.orderBy(*directed(keys, reverse))) - 1
-        first = first.select(F.struct(*keys).alias("key"), place.alias("position"))
+    own, part, m = [F.col(c) for c in bare.columns], bare, n
+    if n > TOPK_KEYS:
+        part, m, size = _between(bare, own, n, reverse)
+        if size < m:
+            return None, None
+    if m <= TOPK_KEYS:
+        rows = _top(part, own, m, reverse)
     else:
-        first = ranked(bare, keys, reverse).select(F.struct(*keys).alias("key"), "position")
-    key, place = F.col("key"), F.col("position")
-    ends = first.agg(
-        F.max_by(key, F.when(place < n, place)).alias("cut"),
-        F.max_by(key, F.when(place == n, place)).alias("next"),
-    ).withColumn("tied", F.col("next").eqNullSafe(F.col("cut")))
-    row = ends.first()
-    constant = df.sparkSession.createDataFrame([(row["cut"],)], ends.select("cut").schema)
-    cut = constant.select("cut").scalar()
-    if row["cut"] is None or not row["tied"]:
+        rows = ranked(part, own, reverse).filter(F.col("position").isin(m - 1, m)).orderBy("position").drop("position").collect()
+    if not rows:
+        return None, None
+    constant = df.sparkSession.createDataFrame([tuple(rows[0])], T.StructType([T.StructField(f.name, f.dataType) for f in bare.schema]))
+    cut = F.struct(*[_constant(v, f.dataType, constant, f.name) for v, f in zip(rows[0], bare.schema)])
+    if len(rows) == 1:
+        # The last row, or the last between the bounds: then later ones have other keys.
+        return cut, None
+    if rows[1] != rows[0] and not any(v != v for v in rows[0]):
         return cut, None
-    return cut, first.filter((place < n) & (key == cut)).count()
+    key = F.struct(*own)
+    counts = bare.agg(F.count_if(key > cut if reverse else key < cut).alias("before"), F.count_if(key == cut).alias("tied")).first()
+    here = n - counts["before"]
+    return cut, None if here == counts["tied"] else here
+
+
+def _constant(value, dtype: T.DataType, row: DataFrame, name: str) -> Column:
+    """A value as a literal; where Python's values do not name it exactly, out of a row."""
+    if value is None or isinstance(dtype, (T.StringType, T.IntegralType, T.DoubleType, T.BooleanType)):
+        return F.lit(value).cast(dtype)
+    return row.select(F.col(name)).scalar()
 
 
 def first_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False) -> DataFrame:
@@ -108,6 +179,8 @@ def first_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False)
         return df.orderBy(*directed(keys, reverse)).limit(n)
     cut, here = _cut(df, keys, n, reverse)
     key = F.struct(*keys)
+    if cut is None:
+        return df
     if here is None:
         return df.filter(key >= cut if reverse else key <= cut)
     tied = _with_offsets(_placed(df.filter(key == cut)), "tied-rows").filter(F.col("position") < here)
@@ -119,6 +192,8 @@ def after_rows(df: DataFrame, keys: list[Column], n: int, reverse: bool = False)
     if n <= 0:
         return df
     cut, here = _cut(df, keys, n, reverse)
+    if cut is None:
+        return df.limit(0)
     key = F.struct(*keys)
     later = df.filter(key < cut if reverse else key > cut)
     if here is None:
