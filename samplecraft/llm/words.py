@@ -1,8 +1,9 @@
 """Word and shingle hashes of whole Arrow batches of texts, in numpy.
 
 A word is a longest run of bytes other than ASCII white space (tab to carriage return,
-and space). A word's hash is a polynomial over its bytes, taken from prefix sums over
-the batch, so no Python object is made for a word. Texts are cut into slices of whole
+and space). A word's hash adds up a mixed number for every eight bytes of it and their
+place, so no Python object is made for a word, and words of any pattern collide by chance
+only (a polynomial modulo 2^64 gives whole families of words one value). Texts are cut into slices of whole
 texts, so memory follows ``SLICE`` or the longest single text.
 """
 
@@ -16,11 +17,12 @@ import pyarrow as pa
 SHINGLE = 5  # words
 SLICE = 1_000_000  # bytes of text handled at once, unless one text is longer
 
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd; of two independent hashes
+_SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # of two independent hashes
+_PLACE = np.uint64(0xD1B54A32D192ED03)  # odd
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes
 _WEIGHTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -34,16 +36,6 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return _SPACE[data]
 
 
-def _powers_to(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    if base not in _powers or len(_powers[base][0]) < n:
-        size = max(n, SLICE + 1)
-        _powers[base] = tuple(
-            np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, p, np.uint64)]))
-            for p in (base, pow(base, -1, 1 << 64))
-        )
-    return _powers[base]
-
-
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts (null: empty) and where each begins, plus the end."""
     if isinstance(texts, pa.ChunkedArray):
@@ -79,10 +71,19 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    power, inverse = _powers_to(len(data) + 1, _BASES[which])
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """Hashes of the bytes of spans that are not empty."""
+    size = ends - starts
+    number = (size + 7) >> 3
+    first = np.cumsum(number) - number
+    place = np.arange(number.sum()) - np.repeat(first, number)
+    at = np.repeat(starts, number) + 8 * place
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each byte on
+    value = eights[at] & _MASKS[np.minimum(np.repeat(ends, number) - at, 8)]
+    value = mixed(value ^ (np.uint64(_SALTS[which]) + place.astype(np.uint64) * _PLACE))
+    if len(value) > len(size):
+        value = np.add.reduceat(value, first)
+    return mixed(value + size.astype(np.uint64) * _PLACE)
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

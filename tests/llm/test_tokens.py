@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from samplecraft.llm import packing, token_counts, token_files, tokens
+from samplecraft.llm import packing, token_counts, token_files, tokens, words
 from samplecraft.llm.packing import Pool, binary_tail
 
 from .conftest import awkward, corpus, empty
@@ -220,3 +220,31 @@ def test_fields(spark):
     got = token_counts.count_tokens(rows, sections="s").orderBy("start", "end").collect()
     assert [(r.section, r.start, r.end) for r in got] == [("a", 0, 6), ("b", 6, 7), ("c", 7, 16)]
     assert sum(r.n_tokens for r in got) == got[0].doc_tokens
+
+
+def regular_words(n=1024):
+    """Words that every polynomial hash modulo 2^64 takes for one: letters by the parity of
+    the place's bits, and the same with the letters changed."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return [one, one.translate(str.maketrans("ab", "ba"))]
+
+
+@pytest.mark.parametrize("name", [tokens.WORD_TOKENIZER, "byte_bpe_50k.json"])
+def test_ids_of_regular_words(name):
+    texts = [*regular_words(), *regular_words(16), *(w * 2 for w in regular_words(8)), " ".join(regular_words())]
+    encoder = tokens.Encoder(name)
+    for _ in range(2):  # the second time out of memory
+        ids, at = encoder.ids(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[at[i] : at[i + 1]].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_hashes_of_regular_words_and_slices():
+    texts = [w for n in (8, 64, 1024, 4096) for w in regular_words(n)] + ["a" * n for n in range(1, 40)] + ["\x00" * n for n in range(1, 20)]
+    data, bounds = words.text_bytes(pa.array(texts))
+    for which in (0, 1):
+        whole = words.span_hashes(data, bounds[:-1], bounds[1:], which)
+        assert len(set(whole.tolist())) == len(texts)
+        for k in range(len(texts)):  # a word's hash does not depend on what stands around it
+            own = data[bounds[k] : bounds[k + 1]]
+            assert words.span_hashes(own, np.array([0]), np.array([len(own)]), which)[0] == whole[k]
