@@ -25,6 +25,7 @@ from . import words as W
 PERMUTATIONS = 128
 ROWS = 4  # of a band: a pair of similarity 0.8 misses all 32 bands once in 2 * 10^7
 CELL = 256  # nodes
+MERGES = 2  # times that labels are taken from the nodes that share a bucket
 SENT = 250_000  # nodes whose numbers may be broadcast, about 100 bytes each in memory
 SLAB = 8192  # shingles compared at once
 
@@ -80,7 +81,12 @@ def celled(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = nodes.select("node", F.posexplode(bands).alias("band", "value"))
     shared = entries.groupBy("band", "value").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").drop("high")
     members = staged(entries.join(shared, ["band", "value"]), "bucket-members")
+    # A group's nodes have several labels at first, which meet in its buckets.
     labels = members.groupBy("node").agg(F.min("low").alias("cell"))
+    for _ in range(MERGES):
+        labels = staged(labels, "labels")
+        lowest = members.join(labels, "node").groupBy("band", "value").agg(F.min("cell").alias("cell"))
+        labels = members.join(lowest, ["band", "value"]).groupBy("node").agg(F.min("cell").alias("cell"))
     sizes = labels.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     homes = staged(labels.join(sizes, "cell").select("node", "cell", part.alias("part")), "cells")
