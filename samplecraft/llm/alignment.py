@@ -20,6 +20,7 @@ neither all pairs of all documents nor the table of counts fit a task:
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from functools import lru_cache
 from itertools import chain
@@ -38,8 +39,9 @@ from .tokens import tokenizer_file
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
-SLICE = 2_000_000  # bytes of text in a row of the staged table, unless one text is longer
+SLICE = 1_000_000  # bytes of text in a row of the staged table, unless one text is longer
 EXPANDED = 4_000_000  # products of one step of a row product
+FEW = 32  # tokens of a group
 PAIRS = 1_000_000  # distinct pairs that a task holds while it adds up
 
 
@@ -60,7 +62,7 @@ class CSR(NamedTuple):
         return np.repeat(np.arange(self.height), np.diff(self.ptr))
 
     def transposed(self) -> "CSR":
-        order = np.argsort(self.col, kind="stable")
+        order = np.argsort(self.col, kind="stable") if (np.diff(self.col) < 0).any() else slice(None)
         ptr = np.concatenate([[0], np.cumsum(np.bincount(self.col, minlength=self.width))])
         return CSR(ptr, self.rows()[order], self.val[order], self.height)
 
@@ -68,9 +70,14 @@ class CSR(NamedTuple):
 def summed(row: np.ndarray, col: np.ndarray, val: np.ndarray, shape: tuple[int, int]) -> CSR:
     """The matrix with these entries, equal places added up."""
     place = row * shape[1] + col
-    if len(place) and (np.diff(place) <= 0).any():
-        place, back = np.unique(place, return_inverse=True)
-        val = np.bincount(back, val, len(place)).astype(np.int64)
+    if (place[1:] < place[:-1]).any():
+        order = np.argsort(place, kind="stable")
+        place, val = place[order], val[order]
+    first = np.ones(len(place), bool)
+    first[1:] = place[1:] != place[:-1]
+    at = np.flatnonzero(first)
+    if len(at) < len(place):
+        place, val = place[at], np.add.reduceat(val, at)
     row, col = np.divmod(place, max(shape[1], 1))
     return CSR(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=shape[0]))]), col, val, shape[1])
 
@@ -116,6 +123,27 @@ def _byte_values() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+def _ranked(path: str, entries: list[bytes]):
+    """The file's tokenizer for the faster of the two libraries, or None if it has rules
+    besides byte-level merges in the order of their ids."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    model, before = rules["model"], rules.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not rules.get("normalizer")
+    if not plain or model.get("type") != "BPE" or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+    made = [model["vocab"].get(m.replace(" ", "", 1)) for m in merges]
+    first = 256
+    if made != list(range(first, first + len(merges))) or sorted(entries[:first]) != [bytes([b]) for b in range(256)]:
+        return None
+    import public_tokenizers
+    import tiktoken
+
+    ranks = {entry: i for i, entry in enumerate(entries[: first + len(merges)])}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Vocabulary:
     """Ids of texts, and each id's bytes."""
 
@@ -125,29 +153,32 @@ class Vocabulary:
         if path.endswith(".model"):
             import sentencepiece
 
-            self.pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.library = None
-            entries = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size()))]
+            pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+            names = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
+            entries = [bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+            self.encode = lambda texts: pieces.encode(texts, num_threads=1)
         else:
             from tokenizers import Tokenizer
 
-            self.library = Tokenizer.from_file(path)
-            self.library.encode_special_tokens = True  # their strings are ordinary text
+            library = Tokenizer.from_file(path)
+            library.encode_special_tokens = True  # their strings are ordinary text
             value = _byte_values()
-            known = self.library.get_vocab(with_added_tokens=True)
+            known = library.get_vocab(with_added_tokens=True)
             entries = [b""] * (max(known.values()) + 1)
             for token, i in known.items():
                 entries[i] = bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
+            ranked = _ranked(path, entries)
+            if ranked:
+                self.encode = lambda texts: [ranked.encode_ordinary(" " + t) for t in texts]
+            else:
+                self.encode = lambda texts: [e.ids for e in library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         self.size = np.array([len(e) for e in entries], np.int64)
         self.begin = np.cumsum(self.size) - self.size
         self.data = np.frombuffer(b"".join(entries), np.uint8)
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin, plus the end."""
-        if self.library is None:
-            found = self.pieces.encode(texts, num_threads=1)
-        else:
-            found = [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        found = self.encode(texts)
         at = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
         return np.fromiter(chain.from_iterable(found), np.int64, at[-1]), at
 
@@ -202,51 +233,68 @@ def aligned(texts: list[str], a: Vocabulary, b: Vocabulary) -> Aligned:
         ids = own[np.repeat(good, np.diff(at))]
         out.append((ids, np.concatenate([[0], np.cumsum(count)]), np.cumsum(vocab.size[ids])))
     (a_ids, at_a, ends_a), (b_ids, at_b, ends_b) = out
-    cuts = np.intersect1d(ends_a, ends_b)  # a text's end is always one
     text_ends = np.cumsum(np.where(good, np.diff(bounds), 0))
-    groups = np.concatenate([[0], np.searchsorted(cuts, text_ends, side="right")])
-    # A token without bytes belongs with the one before it.
-    return Aligned(a_ids, b_ids, at_a, at_b, ends_a, ends_b, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), groups)
-
-
-def _numbered(ids: np.ndarray, text: np.ndarray, column: np.ndarray, width: int, most: int) -> tuple[CSR, np.ndarray]:
-    """The incidence of the distinct (text, id) and a column, and these rows' (text * most + id)."""
-    rows, row = np.unique(text * most + ids, return_inverse=True)
-    return summed(row, column, np.ones(len(ids), np.int64), (len(rows), width)), rows
+    n = int(text_ends[-1]) if len(text_ends) else 0
+    cut, other = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    cut[ends_a], other[ends_b] = True, True
+    cut &= other  # a text's end is always one
+    group = np.zeros(n + 2, np.int64)  # how many cuts are before a byte
+    np.cumsum(cut, out=group[1:])
+    groups = np.concatenate([[0], group[text_ends + 1]])
+    return Aligned(a_ids, b_ids, at_a, at_b, ends_a, ends_b, group[ends_a], group[ends_b], groups)
+
+
+def _incidence(ids: np.ndarray, group: np.ndarray, width: int) -> tuple[CSR, np.ndarray]:
+    """Tokens and their groups, and the tokens' ids. In a group of many tokens those of one
+    id are one row that counts them, so a long group of few ids stays small."""
+    many = (np.bincount(group, minlength=width) > FEW)[group] if len(group) else np.zeros(0, bool)
+    count = np.ones(len(ids), np.int64)
+    if many.any():
+        most = int(ids.max()) + 1
+        rows, times = np.unique(group[many] * most + ids[many], return_counts=True)
+        group, ids = np.concatenate([group[~many], rows // most]), np.concatenate([ids[~many], rows % most])
+        count = np.concatenate([count[~many], times])
+        order = np.argsort(group, kind="stable")
+        group, ids, count = group[order], ids[order], count[order]
+    return CSR(np.arange(len(ids) + 1), group, count, width), ids
 
 
 def group_links(x: Aligned, size_a: int, size_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, id of A, id of B, links): how many pairs of tokens with these ids are in one
-    group. Rows are ids of a text, not tokens, so a long group of few ids stays small."""
+    """(text, id of A, id of B, links), sorted: how many pairs of tokens with these ids are
+    in one group."""
     width = int(x.groups[-1])
-    text_a = np.repeat(np.arange(len(x.at_a) - 1), np.diff(x.at_a))
-    text_b = np.repeat(np.arange(len(x.at_b) - 1), np.diff(x.at_b))
-    a, rows_a = _numbered(x.a, text_a, x.group_a, width, size_a)
-    b, rows_b = _numbered(x.b, text_b, x.group_b, width, size_b)
+    a, ids_a = _incidence(x.a, x.group_a, width)
+    b, ids_b = _incidence(x.b, x.group_b, width)
     links = product(a, b.transposed())
-    row = rows_a[links.rows()]
-    return row // size_a, row % size_a, rows_b[links.col] % size_b, links.val
+    row = links.rows()
+    text = np.searchsorted(x.groups, np.arange(width), side="right")[a.col[row]] - 1
+    key = (text * size_a + ids_a[row]) * size_b + ids_b[links.col]
+    place = np.sort(key)
+    first = np.ones(len(place), bool)
+    first[1:] = place[1:] != place[:-1]
+    at = np.flatnonzero(first)
+    place, total = place[at], np.diff(np.append(at, len(place)))
+    several = np.flatnonzero(links.val > 1)  # each is in total once already
+    np.add.at(total, np.searchsorted(place, key[several]), links.val[several] - 1)
+    return place // (size_a * size_b), place // size_b % size_a, place % size_b, total
 
 
 def spelled_groups(x: Aligned) -> list[bytes]:
     """Each text's groups as ``a1,a2|b1;a3|b2,b3``: decimal ids in order."""
-    group = np.concatenate([x.group_a, x.group_b])
-    side = np.repeat([0, 1], [len(x.a), len(x.b)])
-    order = np.argsort(group * 2 + side, kind="stable")
-    ids, key = np.concatenate([x.a, x.b])[order], (group * 2 + side)[order]
-    last = np.ones(len(ids), bool)
-    last[:-1] = key[1:] != key[:-1]
-    mark = np.where(last, np.where(key % 2 == 0, ord("|"), ord(";")), ord(",")).astype(np.uint8)
-    digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 10))
-    size = digits + 1
-    ends = np.cumsum(size)
-    out = np.zeros(ends[-1] if len(ids) else 0, np.uint8)
-    out[ends - 1] = mark
-    for k in range(int(digits.max(initial=0))):
-        some = digits > k
-        out[ends[some] - 2 - k] = ord("0") + ids[some] // 10**k % 10
-    total = np.concatenate([[0], ends])[x.at_a + x.at_b]
-    return [out[i : max(i, j - 1)].tobytes() for i, j in zip(total[:-1].tolist(), total[1:].tolist())]
+    width, n = int(x.groups[-1]), len(x.a) + len(x.b)
+    until_a, until_b = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=width))]).astype(np.int64) for g in (x.group_a, x.group_b))
+    ids, mark = np.zeros(n, np.int64), np.full(n, ord(","), np.uint8)
+    ids[np.arange(len(x.a)) + until_b[x.group_a]] = x.a  # behind B's tokens of earlier groups
+    ids[np.arange(len(x.b)) + until_a[x.group_b + 1]] = x.b
+    mark[until_a[1:] + until_b[:-1] - 1], mark[until_a[1:] + until_b[1:] - 1] = ord("|"), ord(";")
+    known = 1 + int(ids.max(initial=0))
+    spelling = np.array([str(i) for i in range(known)], f"S{len(str(known - 1)) + 1}")
+    digits = np.char.str_len(spelling)[ids]
+    table = spelling.view(np.uint8).reshape(known, -1)[ids]
+    table[np.arange(n), digits] = mark
+    flat = table[np.arange(table.shape[1]) <= digits[:, None]]
+    total = np.concatenate([[0], np.cumsum(digits + 1)])[x.at_a + x.at_b]
+    return [flat[i : max(i, j - 1)].tobytes() for i, j in zip(total[:-1].tolist(), total[1:].tolist())]
 
 
 # -- over a corpus -------------------------------------------------------------------
@@ -272,17 +320,16 @@ def _slices(docs: DataFrame, key: str, text: str, tokenizers: tuple[str, str]) -
                 x = aligned([t or "" for t in column.slice(i, j - i).to_pylist()], a, b)
                 doc, id_a, id_b, links = group_links(x, len(a.size), len(b.size))
                 pairs, place, holders = np.unique(id_a * len(b.size) + id_b, return_inverse=True, return_counts=True)
-                order = np.argsort(doc, kind="stable")
                 entries = np.bincount(doc, minlength=j - i)
                 shared = overlap_links(x.ends_a - a.size[x.a], x.ends_a, x.ends_b - b.size[x.b], x.ends_b)
                 overlaps = np.diff(shared.ptr[x.at_a])
                 spelled = [hashlib.sha256(s).hexdigest() if s else "" for s in spelled_groups(x)]
                 lists = [batch.column("key").slice(i, j - i), *(pa.array(v, pa.int64()) for v in (np.diff(x.at_a), np.diff(x.at_b), np.diff(x.groups), overlaps)), pa.array(spelled, pa.string())]
-                packed = [pairs // len(b.size), pairs % len(b.size), holders, entries, place[order]]
+                packed = [pairs // len(b.size), pairs % len(b.size), holders, entries, place]
                 values = [pa.array([f"{task}-{number}"], pa.string())]
                 values += [pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), v) for v in lists]
                 values += [pa.array([v.astype("<u4").tobytes()], pa.binary()) for v in packed]
-                values.append(pa.array([links[order].astype("<i8").tobytes()], pa.binary()))
+                values.append(pa.array([links.astype("<i8").tobytes()], pa.binary()))
                 number += 1
                 yield pa.RecordBatch.from_arrays(values, names)
 

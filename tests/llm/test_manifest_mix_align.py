@@ -9,8 +9,11 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pytest
+import sentencepiece
+from tokenizers import Tokenizer
 
 from samplecraft.llm import alignment, merkle, mixing, queries
+from samplecraft.llm.tokens import tokenizer_file
 
 from .conftest import CLASHING, corpus
 
@@ -205,13 +208,15 @@ def test_targets_take_many_rounds(spark):
 
 def brute_alignment(docs):
     """Per document its figures, counted; by plain loops over tokens."""
-    a, b = alignment.Vocabulary(alignment.TOKENIZER_A), alignment.Vocabulary(alignment.TOKENIZER_B)
-    shown, pieces = alignment._byte_values(), b.pieces
+    library = Tokenizer.from_file(tokenizer_file(alignment.TOKENIZER_A))
+    library.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file(alignment.TOKENIZER_B))
+    shown = alignment._byte_values()
     held, plain = Counter(), []
     for key, text in docs:
         sides = [[], []]
         if text:
-            found = a.library.encode(" " + text, add_special_tokens=False)
+            found = library.encode(" " + text, add_special_tokens=False)
             left = [(i, bytes(shown[c] for c in t)) for i, t in zip(found.ids, found.tokens)]
             right = []
             for i in pieces.encode(text):
@@ -239,7 +244,7 @@ def brute_alignment(docs):
 def awkward_texts():
     return [
         "", None, " ", "  two  spaces ", "\n\nlines\n", "tab\there", "▁already", "<s> </s> <|endoftext|> <0x41>", "é ü ñ 日本語 emoji 👩‍👩‍👧 ok", "a" * 5000,
-        "=" * 300, "é decomposed", "zero​width space", "\x00 nul", "1234567890 3.14", "x", "The cat. The cat.", "The cat. The cat.", "日" * 700,
+        "=" * 300, "é decomposed", "zero​width space", "\x00 nul", "1234567890 3.14", "x", "The cat. The cat.", "The cat. The cat.", "日" * 700, "ab" * 3000 + " 日本" * 50, "x=" * 900, "\u2028\u00a0\u3000 odd\u0085 white\u200a space", "١٢٣ ½ ²³ Ⅷ 𝟘𝟙", "don't WE'LL i'Ve",
     ]
 
 
