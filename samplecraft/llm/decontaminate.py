@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import staged
+from .names import fresh
 
 #: Weight 6, both begin with two ones, which are looked up first.
 MASKS = ("11101011", "110100111")
@@ -122,7 +123,8 @@ def overlaps(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without the documents that overlap with a benchmark item. Columns stay,
     whatever their names; an empty benchmark leaves all documents."""
-    bad = overlaps(docs, benchmark, key, text, item, item_text).select(F.struct("_doc", "_text").alias("_bad")).distinct()
+    own = fresh(docs.columns, "_bad")
+    bad = overlaps(docs, benchmark, key, text, item, item_text).select(F.struct("_doc", "_text").alias(own)).distinct()
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_bad._doc")) & (F.xxhash64(whole) == F.col("_bad._text"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(f"{own}._doc")) & (F.xxhash64(whole) == F.col(f"{own}._text"))
     return docs.join(bad, same, "left_anti")

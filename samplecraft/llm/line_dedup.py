@@ -29,6 +29,7 @@ from pyspark.sql import Window
 
 from ..plans.ranking import ranked
 from ..plans.staging import staged
+from .names import fresh
 
 MIN_WORDS = 50  # space-separated pieces of a run; an empty line counts as one
 _AT = ["_doc", "_text", "_line"]  # key, hash of the text, line number from 0
@@ -127,15 +128,16 @@ def dedup_lines(
     gone = runs.groupBy("_doc", "_text").agg(
         F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("_line"), F.col("_line") + F.col("lines") - 1)))).alias("_gone")
     )
-    gone = gone.select(F.struct("_doc", "_text", "_gone").alias("_runs"))
+    own, split = fresh(docs.columns, "_runs"), fresh(docs.columns, "_split")
+    gone = gone.select(F.struct("_doc", "_text", "_gone").alias(own))
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_runs._doc")) & (F.xxhash64(whole) == F.col("_runs._text"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(f"{own}._doc")) & (F.xxhash64(whole) == F.col(f"{own}._text"))
     joined = docs.join(gone, same, "left")
-    out = F.col("_runs._gone")
+    out = F.col(f"{own}._gone")
     # Behind a generator the text is split once, and only where lines go.
-    joined = joined.select("*", F.explode_outer(F.array(F.when(out.isNotNull(), F.split(whole, "\n")))).alias("_split"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), out)
-    left = F.array_join(F.transform(kept, lambda i: F.get("_split", i)), "\n")
+    joined = joined.select("*", F.explode_outer(F.array(F.when(out.isNotNull(), F.split(whole, "\n")))).alias(split))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), out)
+    left = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     left = F.when(out.isNull(), F.col(f"`{text}`")).when(F.size(kept) > 0, left)
     columns = [left.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if counts:

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ..plans.ranking import ranked
@@ -92,10 +93,10 @@ def _summed(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
                 so_far = int(sums[-1])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.int64())], [*batch.schema.names, "inside"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("inside", T.LongType())])
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     # The number of the partition is taken in Spark, below the Python node.
-    placed = sorted_rows.withColumn("part", F.spark_partition_id()).mapInArrow(run, f"{schema}, part int, inside long")
+    placed = sorted_rows.withColumn("part", F.spark_partition_id()).mapInArrow(run, schema)
     table = staged(placed, "running-sums")
     # A row for each partition, whatever the data: a bounded window and broadcast.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..plans.staging import staged
 from . import similar
+from .names import fresh
 from .words import SHINGLE
 
 THRESHOLD = 0.8
@@ -117,11 +118,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     own = F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("t"))
     rows = docs.select(own.alias("own"), F.col(f"`{text}`").alias("text"))
     classes = staged(similar_documents(rows, "own", "text", **options), "classes")
-    gone = classes.filter("own != class_id").select(F.col("own").alias("_gone")).distinct()
-    left = docs.join(gone, own == F.col("_gone"), "left_anti")
-    again = classes.groupBy("own").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("own").alias("_again"))
+    out, more = fresh(docs.columns, "_gone"), fresh(docs.columns, "_again")
+    gone = classes.filter("own != class_id").select(F.col("own").alias(out)).distinct()
+    left = docs.join(gone, own == F.col(out), "left_anti")
+    again = classes.groupBy("own").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("own").alias(more))
     if again.isEmpty():
         return left
-    single = left.join(again, own == F.col("_again"), "left_anti")
-    repeated = left.join(again, own == F.col("_again")).dropDuplicates(["_again"]).drop("_again")
+    single = left.join(again, own == F.col(more), "left_anti")
+    repeated = left.join(again, own == F.col(more)).dropDuplicates([more]).drop(more)
     return single.unionByName(repeated)

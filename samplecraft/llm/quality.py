@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 
@@ -338,7 +339,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", suffix: str = "_sco
     """
     names = [f"{t}{suffix}" for t in model.targets]
     rows = docs.drop(*names)
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
 
     def run(batches):
         for batch in batches:
@@ -348,4 +349,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", suffix: str = "_sco
                 scores = [pa.array(_sigmoid(model.log_odds(t, looks, terms, bounds, meta))) for t in model.targets.values()]
                 yield pa.RecordBatch.from_arrays([*part.columns, *scores], [*part.schema.names, *names])
 
-    return rows.mapInArrow(run, ", ".join([*schema, *(f"`{n}` double" for n in names)]))
+    return rows.mapInArrow(run, schema)
