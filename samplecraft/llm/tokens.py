@@ -1,23 +1,16 @@
-"""Token ids of whole texts by a public tokenizer, piece by piece with a memory.
-
-Many tokenizers let no token cross certain places of a text, so the tokens of a text are
-those of its pieces between these places, one after the other, and a piece has the same
-tokens wherever it stands. A worker asks the tokenizers library once for a piece and
-finds it again by two independent 64-bit hashes, in numpy tables of fixed size.
-``Encoder`` looks at the tokenizer's rules to tell its kind:
-
-* ``word``: white space ends a token and is dropped, so the pieces are words;
-* ``space``: byte-level tokens that begin with a space or not. A single space between
-  other characters begins a token, a single line feed between others is one, so pieces
-  begin there;
-* ``whole``: any other, which is given whole texts.
+"""Token ids of whole texts by a public tokenizer.
+
+Every text is handed whole to the tokenizers library, in slices of bounded size, and its
+ids come back as flat arrays with bounds. The characters that a token covers come from
+the library too; of a byte-level tokenizer, whose tokens are exactly the text's bytes one
+after the other, they follow from the tokens' lengths, so that the library need not list
+them.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -28,14 +21,8 @@ import pyarrow as pa
 from . import words as W
 
 WORD_TOKENIZER = "word_bpe_49k.json"
-SLOTS = 20  # bits: a worker remembers at most 2^20 words
-LONGEST = 64  # bytes of a word worth remembering
 SLICE = 1_000_000  # characters or bytes encoded at once, unless one text is longer
 
-# Latin letters, with punctuation behind them or not: one or two runs for the tokenizer,
-# each of which ends in a token with the word-end mark.
-_SIMPLE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,;:!?*#$%&|-]*)")
-
 
 def tokenizer_file(name: str) -> str:
     """Where a tokenizer's file lies on this machine; ``name`` may be a path already."""
@@ -46,196 +33,71 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-def _kind(path: str) -> str:
+def _byte_level(path: str) -> bool:
+    """Whether a text's tokens are its bytes, none added and none left out."""
     with open(path, encoding="utf-8") as f:
         rules = json.load(f)
-    before, after, change = (rules.get(k) for k in ("pre_tokenizer", "post_processor", "normalizer"))
-    before = before or {}
-    plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or " " in t["content"] for t in rules.get("added_tokens", []))
-    if after is not None or not plain:
-        return "whole"
-    if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and change is None:
-        return "space"
-    split = (before.get("pretokenizers") or [{}])[0]
-    regex = str(split.get("pattern", {}).get("Regex"))
-    if split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") and r"[^\s\p{L}\p{N}]+" in regex:
-        return "word"
-    return "whole"
-
-
-def piece_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of the pieces of the ``space`` kind: they begin at each text's start,
-    at a single space and at a single line feed, both between bytes that are no ASCII white
-    space, and behind such a line feed if an ASCII byte follows."""
-    n = len(data)
-    white = W.is_space(data)
-    solid_before = np.zeros(n, bool)
-    solid_before[1:] = ~white[:-1]
-    solid_after = np.zeros(n, bool)
-    solid_after[:-1] = ~white[1:]
-    first = bounds[:-1][bounds[:-1] < bounds[1:]]  # of the texts that are not empty
-    solid_before[first] = False
-    solid_after[bounds[1:][bounds[:-1] < bounds[1:]] - 1] = False
-    alone = solid_before & solid_after
-    feeds = np.flatnonzero(alone & (data == 10))
-    begins = np.zeros(n + 1, bool)
-    begins[first] = True
-    begins[np.flatnonzero(alone & (data == 32))] = True
-    begins[feeds] = True
-    # Beyond ASCII there is more white space, which could belong with the line feed.
-    begins[feeds[data[feeds + 1] < 128] + 1] = True
-    starts = np.flatnonzero(begins[:n])
-    return starts, np.append(starts[1:], n)
+    before = rules.get("pre_tokenizer") or {}
+    plain = not any(t.get("lstrip") or t.get("rstrip") for t in rules.get("added_tokens", []))
+    return plain and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and rules.get("normalizer") is None
 
 
 class Encoder:
-    """Tokens of texts as flat arrays with bounds. With ``offsets`` also the characters
-    that each token covers."""
+    """Tokens of texts as flat arrays with bounds."""
 
-    def __init__(self, name: str, offsets: bool = False):
+    def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         path = tokenizer_file(name)
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind, self.offsets = _kind(path), offsets
-        if self.kind == "space":
+        self.sizes = None  # bytes of each token of a byte-level tokenizer
+        if _byte_level(path):
             self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        # One place for each value of the hash's upper bits; the first piece there stays.
-        self.one, self.two = np.zeros(1 << SLOTS, np.uint64), np.zeros(1 << SLOTS, np.uint64)
-        self.begin, self.length = np.zeros(1 << SLOTS, np.int64), np.zeros(1 << SLOTS, np.int32)
-        # A row for each token: its id, and with offsets its first character and the one
-        # after its last, counted from the piece's start.
-        self.flat, self.used = np.zeros((1 << 20, 3 if offsets else 1), np.int32), 0
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a character stands for a byte
+            for i, added in self.tokenizer.get_added_tokens_decoder().items():
+                self.sizes[i] = len(added.content.encode())
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin, plus the end. Null is empty."""
-        rows, at, _ = self._tokens(texts)
-        return rows[:, 0], at
+        found, sizes = [], []
+        for one in self._encodings(texts, self.tokenizer.encode_batch_fast):
+            found.append(one.ids)
+            sizes.append(len(found[-1]))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, sum(sizes))
+        return ids, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
     def spans(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First character and the one after the last of all tokens, counted from the
         first text's start through all texts, and where each text's tokens and its
-        characters begin, plus the end."""
-        rows, at, starts = self._tokens(texts)
-        return rows[:, 1] + starts[0], rows[:, 2] + starts[0], at, starts[1]
-
-    def _tokens(self, texts: pa.Array):
+        characters begin, plus the end. A token of a part of a character covers it all."""
         data, bounds = W.text_bytes(texts)
-        before = None  # characters before each byte
-        if self.offsets:
-            before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        if self.kind == "whole":
-            rows, at = self._ask([t or "" for t in texts.to_pylist()])
-            starts = (np.repeat(before[bounds[:-1]], np.diff(at)), before[bounds]) if self.offsets else None
-            return rows, at, starts
-        starts, ends = (W.word_spans if self.kind == "word" else piece_spans)(data, bounds)
-        one, two = (W.span_hashes(data, starts, ends, k) for k in (0, 1))
-        slot = (one >> np.uint64(64 - SLOTS)).astype(np.int64)
-        known = (self.one[slot] == one) & (self.two[slot] == two) & (self.length[slot] > 0)
-        begin, length = self.begin[slot], self.length[slot].astype(np.int64)
-        missing = np.flatnonzero(~known)
-        flat = self.flat[: self.used]
-        if len(missing):
-            _, first, place = np.unique(one[missing], return_index=True, return_inverse=True)
-            odd = np.flatnonzero(two[missing] != two[missing[first]][place])  # one hash, two pieces
-            place[odd] = len(first) + np.arange(len(odd))
-            asked = missing[np.concatenate([first, odd])]
-            raw = data.tobytes()
-            new, at = self._pieces([raw[a:b].decode() for a, b in zip(starts[asked].tolist(), ends[asked].tolist())])
-            begin[missing] = self.used + at[place]
-            length[missing] = at[place + 1] - at[place]
-            flat = np.concatenate([flat, new])
-            self._keep(slot[asked], one[asked], two[asked], ends[asked] - starts[asked], new, at)
-        total = np.concatenate([[0], np.cumsum(length)])
-        index = np.arange(total[-1]) + np.repeat(begin - total[:-1], length)
-        at = total[np.searchsorted(starts, bounds)]
-        return flat[index], at, (np.repeat(before[starts], length), before[bounds]) if self.offsets else None
-
-    def _keep(self, slot, one, two, size, rows, at) -> None:
-        new = np.flatnonzero((self.length[slot] == 0) & (size <= LONGEST) & (at[1:] > at[:-1]))
-        _, first = np.unique(slot[new], return_index=True)
-        new = new[first]
-        length = (at[1:] - at[:-1])[new]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(new) else 0
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = rows[np.arange(total) + np.repeat(at[:-1][new] - (ends - length), length)]
-        self.one[slot[new]], self.two[slot[new]] = one[new], two[new]
-        self.begin[slot[new]], self.length[slot[new]] = self.used + ends - length, length
-        self.used += total
-
-    def _pieces(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of single pieces. Those that can stand in one line go to the tokenizer
-        together and are told apart again; the others go one by one."""
-        easy = np.array([self._simple(name) for name in names], np.int64)
-        together, alone = np.flatnonzero(easy), np.flatnonzero(easy == 0)
-        if not len(together):
-            return self._ask(names)
-        parts = [names[i] for i in together.tolist()]
-        line, ends = self._line(parts, easy[together])
-        if ends is None:
-            return self._ask(names)
-        rows, at = self._ask([names[i] for i in alone.tolist()])
-        length = np.zeros(len(names), np.int64)
-        length[together], length[alone] = np.diff(ends, prepend=0), np.diff(at)
-        begin = np.zeros(len(names), np.int64)
-        begin[together], begin[alone] = ends - length[together], len(line) + at[:-1]
-        total = np.concatenate([[0], np.cumsum(length)])
-        index = np.arange(total[-1]) + np.repeat(begin - total[:-1], length)
-        return np.concatenate([line, rows])[index], total
-
-    def _simple(self, name: str) -> int:
-        """0 for a piece to be asked for alone; else how many word ends it has (``word``),
-        or 1 for a space and characters without white space (``space``)."""
-        if self.kind == "word":
-            found = None if self.offsets else _SIMPLE.fullmatch(name)
-            return 0 if not found else 2 if found[1] else 1
-        return int(name[0] == " " and len(name) > 1 and name.split() == [name[1:]])
-
-    def _line(self, parts: list[str], runs: np.ndarray):
-        """The tokens of pieces that stand in one line, and where each piece's end."""
-        if self.kind == "word":
-            ids = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
-            rows = np.array(ids, np.int32).reshape(-1, 1)
-            marks = np.flatnonzero(self.ends_word[rows[:, 0]]) + 1
-            if len(marks) != runs.sum():
-                return rows, None
-            return rows, marks[np.cumsum(runs) - 1] if len(parts) else marks
-        found = self.tokenizer.encode("".join(parts), add_special_tokens=False)
-        spans = np.array(found.offsets, np.int64).reshape(-1, 2)
-        after = np.cumsum([len(p) for p in parts], dtype=np.int64)
-        owner = np.searchsorted(after, spans[:, 0], side="right")
-        if len(owner) and (spans[:, 1] > after[owner]).any():
-            return spans, None  # a token in two pieces: not what the rules say
-        rows = np.array(found.ids, np.int32).reshape(-1, 1)
-        if self.offsets:
-            rows = np.concatenate([rows, (spans - (after - [len(p) for p in parts])[owner][:, None]).astype(np.int32)], axis=1)
-        return rows, np.searchsorted(owner, np.arange(len(parts)), side="right")
-
-    def _ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ask = self.tokenizer.encode_batch if self.offsets else self.tokenizer.encode_batch_fast
-        parts, sizes, spans = [], [], []
-        for i, j in by_size([len(t) for t in texts], SLICE):
-            for one in ask(texts[i:j], add_special_tokens=False):
-                parts.append(one.ids)
-                sizes.append(len(parts[-1]))
-                if self.offsets:
-                    spans.append(np.array(one.offsets, np.int32).reshape(-1, 2))
-        rows = np.fromiter(chain.from_iterable(parts), np.int32, sum(sizes)).reshape(-1, 1)
-        if self.offsets:
-            rows = np.concatenate([rows, np.concatenate([np.zeros((0, 2), np.int32), *spans])], axis=1)
-        return rows, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters that begin in front of each byte
+        begins = before[bounds]
+        if self.sizes is not None:
+            ids, at = self.ids(texts)
+            ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+            if (ends[at] == bounds).all():
+                return before[ends[:-1] + 1] - 1, before[ends[1:]], at, begins
+        found, sizes = [np.zeros((0, 2), np.int64)], []
+        for one in self._encodings(texts, self.tokenizer.encode_batch):
+            found.append(np.array(one.offsets, np.int64).reshape(-1, 2) + begins[len(sizes)])
+            sizes.append(len(found[-1]))
+        spans = np.concatenate(found)
+        return spans[:, 0], spans[:, 1], np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), begins
+
+    def _encodings(self, texts: pa.Array, ask) -> Iterator:
+        whole = [t or "" for t in texts.to_pylist()]
+        for i, j in by_size([len(t) for t in whole], SLICE):
+            yield from ask(whole[i:j], add_special_tokens=False)
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str, offsets: bool = False) -> Encoder:
+def encoder(name: str) -> Encoder:
     """This worker's encoder, kept from task to task."""
-    return Encoder(name, offsets)
+    return Encoder(name)
 
 
 def by_size(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:

@@ -28,7 +28,7 @@ def crc(ids) -> int:
 def test_ids_are_those_of_whole_texts(library):
     encoder = tokens.Encoder(tokens.WORD_TOKENIZER)
     texts = ODD + [t for _, t in corpus()]
-    for _ in range(2):  # the second time from memory
+    for _ in range(2):  # a second call is like the first
         ids, at = encoder.ids(pa.array(texts))
         for k, text in enumerate(texts):
             assert ids[at[k] : at[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
@@ -45,8 +45,8 @@ def test_spans_are_those_of_whole_texts(name):
     rng = random.Random(8)
     texts = SPACED + ODD + [t for _, t in corpus()]
     texts += ["".join(rng.choices(list("ab Zé\n \t'.1\u00a0漢"), k=rng.randint(1, 60))) for _ in range(400)]
-    encoder = tokens.Encoder(name, offsets=True)
-    assert encoder.kind == ("space" if name.startswith("byte") else "word")
+    encoder = tokens.Encoder(name)
+    assert (encoder.sizes is not None) == name.startswith("byte")
     for _ in range(2):
         first, after, at, begins = encoder.spans(pa.array(texts))
         ids, _ = encoder.ids(pa.array(texts))
@@ -67,8 +67,8 @@ def test_a_tokenizer_of_another_kind_encodes_whole_texts(tmp_path):
     path = str(tmp_path / "own.json")
     with open(path, "w", encoding="utf-8") as f:
         json.dump(rules, f)
-    encoder = tokens.Encoder(path, offsets=True)
-    assert encoder.kind == "whole"
+    encoder = tokens.Encoder(path)
+    assert encoder.sizes is None
     first, after, at, begins = encoder.spans(pa.array(["a b\nc", None, "é x"]))
     one = encoder.tokenizer.encode("é x", add_special_tokens=False)
     assert list(zip((first[at[2] :] - begins[2]).tolist(), (after[at[2] :] - begins[2]).tolist())) == one.offsets
@@ -233,7 +233,7 @@ def regular_words(n=1024):
 def test_ids_of_regular_words(name):
     texts = [*regular_words(), *regular_words(16), *(w * 2 for w in regular_words(8)), " ".join(regular_words())]
     encoder = tokens.Encoder(name)
-    for _ in range(2):  # the second time out of memory
+    for _ in range(2):
         ids, at = encoder.ids(pa.array(texts))
         for i, text in enumerate(texts):
             assert ids[at[i] : at[i + 1]].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
