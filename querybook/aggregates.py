@@ -190,3 +190,28 @@ def resolve_path(spark, folder):
 )
 def count_sample_tags(spark, folder):
     return sc.count_sample_tags(ct.docs(spark, folder))
+
+
+@query(
+    "measures",
+    """SELECT * FROM (SELECT min(score) AS score_min, max(score) AS score_max FROM samples),
+              (SELECT round(avg(confidence), 6) AS mean_confidence, round(sum(confidence), 4) AS sum_confidence,
+                      round(stddev_pop(confidence), 6) AS std_confidence, count(*) AS n_labels,
+                      count(DISTINCT label) AS n_classes FROM detections)""",
+    using=(SAMPLES, DETECTIONS),
+)
+def measures(spark, folder):
+    """Six measures of three fields, one of the samples and two of their labels, in one scan."""
+    confidence, label = "detections.confidence", "detections.label"
+    row = sc.measures(
+        ct.samples(spark, folder),
+        {
+            "score": ("bounds", "score"), "mean_confidence": ("mean", confidence), "sum_confidence": ("sum", confidence),
+            "std_confidence": ("std", confidence), "n_labels": ("count", label), "n_classes": ("distinct_count", label),
+        },
+    )
+    return row.select(
+        F.col("score.min").alias("score_min"), F.col("score.max").alias("score_max"),
+        *[F.round(c, places).alias(c) for c, places in (("mean_confidence", 6), ("sum_confidence", 4), ("std_confidence", 6))],
+        "n_labels", "n_classes",
+    )

@@ -10,6 +10,7 @@ from .operators.aggregations import (
     get_values,
     histogram_values,
     mean,
+    measures,
     std,
     sum,
 )

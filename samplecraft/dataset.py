@@ -238,3 +238,30 @@ def resolve_path(df: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFram
     while isinstance(dtype, T.ArrayType):
         df, value, dtype = unwound(df, value), F.col("value"), dtype.elementType
     return df.select(*kept, value.alias("value"))
+
+
+@dataclass(frozen=True)
+class Listed:
+    """A path's values in one row: an array that is never null, and the values' type."""
+
+    column: Column
+    dtype: T.DataType
+
+
+def listed(df: DataFrame, path: str) -> Listed:
+    """The values that ``resolve_path`` gives, as one array for each row."""
+    parts = path.split(".")
+    if parts[0] not in df.schema.fieldNames():
+        raise FieldNotFound(f"no field '{path}' in the dataset")
+    value, dtype, many = F.col(quoted(parts[0])), df.schema[parts[0]].dataType, False
+    for part in [*parts[1:], None]:
+        while isinstance(dtype, T.ArrayType):
+            if many:
+                value = F.flatten(F.filter(value, F.isnotnull))
+            value, dtype, many = F.coalesce(value, F.array().cast(dtype)), dtype.elementType, True
+        if part is None:
+            break
+        if not isinstance(dtype, T.StructType) or part not in dtype.fieldNames():
+            raise FieldNotFound(f"no field '{path}' in the dataset")
+        value, dtype = value.getField(part), dtype[part].dataType
+    return Listed(value if many else F.array(value), dtype)

@@ -5,14 +5,15 @@ All take ``stages``, a list of stage specs applied first, and return a DataFrame
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from ..dataset import Dataset, quoted_path, require_fields, resolve_path
+from ..dataset import Dataset, listed, quoted_path, require_fields, resolve_path
 from ..plans import ranking
 from .stages import viewed
 
@@ -89,6 +90,55 @@ def std(
     return _measure(ds, field, stages, lambda v: [spread(v).alias("std")])
 
 
+MEASURES = ("count", "bounds", "mean", "sum", "std", "distinct_count")
+
+
+def measures(ds: Dataset, wanted: Mapping[str, tuple[str, str]], stages: Sequence[dict] | None = None) -> DataFrame:
+    """One row with several measures of one view, computed in one scan.
+
+    ``wanted`` maps a column's name to ``(measure, field)``; a measure is one of
+    ``MEASURES`` and means what the function of that name gives: bounds is a struct of
+    ``min`` and ``max``, ``count`` is how many values there are, null ones included. Fields
+    may have lists on their paths; every field is read once, however many measures it has.
+    """
+    if not wanted:
+        raise ValueError("no measure is wanted")
+    for name, (measure, _) in wanted.items():
+        if measure not in MEASURES:
+            raise ValueError(f"'{name}': unknown measure '{measure}', expected one of {', '.join(MEASURES)}")
+    df = viewed(ds, stages).df
+    fields = list(dict.fromkeys(field for _, field in wanted.values()))
+    lists = [listed(df, field) for field in fields]
+    kinds = [values.dtype for values in lists]
+    names = [f"v{i}" for i in range(len(fields))]
+
+    # Every value is a row with a place for each field, all but its own of which are null.
+    def row(i: int, value: Column) -> Column:
+        return F.struct(
+            F.lit(i).alias("field"),
+            *[(value if k == i else F.lit(None)).cast(kind).alias(names[k]) for k, kind in enumerate(kinds)],
+        )
+
+    parts = [F.transform(values.column, partial(row, i)) for i, values in enumerate(lists)]
+    rows = df.select(F.explode(F.concat(*parts)).alias("x")).select("x.*")
+    columns = []
+    for name, (measure, field) in wanted.items():
+        i = fields.index(field)
+        value = F.col(names[i])
+        if measure not in ("count", "distinct_count") and isinstance(kinds[i], (T.DoubleType, T.FloatType)):
+            value = F.when(~F.isnan(value), value)
+        column = {
+            "count": lambda v: F.count_if(F.col("field") == i),
+            "bounds": lambda v: F.struct(F.min(v).alias("min"), F.max(v).alias("max")),
+            "mean": F.avg,
+            "sum": lambda v: F.coalesce(F.sum(v), F.lit(0)),
+            "std": F.stddev_pop,
+            "distinct_count": F.count_distinct,
+        }[measure](value)
+        columns.append(column.alias(name))
+    return rows.agg(*columns)
+
+
 def histogram_values(
     ds: Dataset,
     field: str,

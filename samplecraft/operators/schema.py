@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..dataset import Dataset, field_type, quoted_path
 from ..plans.keylists import key_table
+from ..plans.staging import staged
 
 GEO_POINT = T.StructType(
     [T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]
@@ -165,12 +168,21 @@ _SIMPLE = {
 }
 
 
-class _VariantSchema:
-    """Reads a variant's schema, ``OBJECT<name: TYPE, ...>``, into a Spark type. Names
-    stand where the grammar has names, so a key may be called like a type."""
+KNOWN = 1_000  # schemas of rows that a task remembers, so as not to read them again
+
+
+def _word_type(word: str) -> str:
+    """A leaf's kind; decimals and floats are one."""
+    return "DOUBLE" if word.startswith("DECIMAL") or word == "FLOAT" else word
+
+
+class _VariantPaths:
+    """Reads a variant's schema, ``OBJECT<name: TYPE, ...>``, into pairs of path and kind.
+    A path's steps are ``.name`` and ``[]``. Names stand where the grammar has names, so a
+    key may be called like a type."""
 
     def __init__(self, text: str):
-        self.text, self.at, self.fields = text, 0, 0
+        self.text, self.at = text, 0
 
     def _take(self, what: str) -> bool:
         if self.text.startswith(what, self.at):
@@ -191,26 +203,69 @@ class _VariantSchema:
                 return name
             name += "`"
 
-    def type(self) -> T.DataType:
+    def pairs(self, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], str]]:
         if self._take("OBJECT<"):
-            found = []
+            yield path, "OBJECT"
             while not self._take(">"):
                 self._take(", ")
                 name = self._name()
                 self._take(": ")
-                found.append(T.StructField(name, self.type()))
-                self.fields += 1
-            return T.StructType(found)
-        if self._take("ARRAY<"):
-            inner = self.type()
+                yield from self.pairs((*path, f".{name}"))
+        elif self._take("ARRAY<"):
+            yield path, "ARRAY"
+            yield from self.pairs((*path, "[]"))
             self._take(">")
-            return T.ArrayType(inner)
-        word = re.compile(r"[A-Z_]+(\(\d+, ?\d+\))?").match(self.text, self.at)
-        self.at = word.end()
-        if word[0].startswith("DECIMAL"):
-            return T.DoubleType()
-        # Nothing but nulls, or values without one type, stay text.
-        return _SIMPLE.get(word[0], T.StringType())
+        else:
+            word = re.compile(r"[A-Z_]+(\(\d+, ?\d+\))?").match(self.text, self.at)
+            self.at = word.end()
+            yield path, _word_type(word[0])
+
+
+def _is_field(path) -> bool:
+    return bool(path) and path[-1] != "[]"
+
+
+def _profiled(schemas: Iterable[str], max_fields: int) -> set[tuple[tuple[str, ...], str]]:
+    """The paths and kinds of all schemas, read until there are more than ``max_fields``
+    different fields."""
+    found: set = set()
+    fields: set = set()
+    known: set = set()
+    for text in schemas:
+        if text in known:
+            continue
+        if len(known) >= KNOWN:
+            known.clear()
+        known.add(text)
+        for path, kind in _VariantPaths(text).pairs():
+            found.add((path, kind))
+            if _is_field(path):
+                fields.add(path)
+                if len(fields) > max_fields:
+                    return found
+    return found
+
+
+def _merged(kinds: dict[tuple[str, ...], set[str]]) -> T.DataType:
+    """The Spark type of a profile. Nothing but nulls, or values without one type, stay
+    text; whole numbers and others together are doubles."""
+    below: dict = {}
+    for path in kinds:
+        if path:
+            below.setdefault(path[:-1], []).append(path)
+
+    def typed(path):
+        own = kinds[path] - {"VOID"}
+        if own == {"OBJECT"}:
+            inner = sorted(p for p in below.get(path, []) if _is_field(p))
+            return T.StructType([T.StructField(p[-1][1:], typed(p)) for p in inner])
+        if own == {"ARRAY"}:
+            return T.ArrayType(typed((*path, "[]")))
+        if own == {"BIGINT", "DOUBLE"}:
+            own = {"DOUBLE"}
+        return _SIMPLE.get(own.pop(), T.StringType()) if len(own) == 1 else T.StringType()
+
+    return typed(())
 
 
 def infer_fields(ds: Dataset, field: str, into: str | None = None, max_fields: int = FIELDS) -> Dataset:
@@ -220,20 +275,33 @@ def infer_fields(ds: Dataset, field: str, into: str | None = None, max_fields: i
     field ``into`` (default: the field itself). Text that is no JSON, or JSON that is no
     object, gives null; without any object it raises. Decimals become doubles, values of
     mixed types stay text. JSON that is used as a map, so with more than ``max_fields``
-    different keys, raises: the keys are counted first, and then all nested fields.
+    different fields in all, at whatever depth, raises.
+
+    One pass: every task reads its rows' schemas into a profile of paths and kinds and
+    stops when that has more fields than allowed; the profiles' distinct rows are merged,
+    and no more than the limit reaches the driver.
     """
     field_type(ds.df.schema, field)
     text = F.col(quoted_path(field))
-    keys = ds.df.select(F.explode(F.json_object_keys(text)).alias("k")).agg(F.approx_count_distinct("k", 0.05)).first()[0]
-    if keys > 1.2 * max_fields:
-        raise ValueError(f"'{field}' has about {keys} different keys, more than {max_fields}")
-    parsed = F.try_parse_json(text)
-    objects = ds.df.select(parsed.alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT<"))
-    found = objects.agg(F.schema_of_variant_agg("v")).first()[0]
-    if not found.startswith("OBJECT<"):
+    schemas = ds.df.select(F.schema_of_variant(F.try_parse_json(text)).alias("s")).filter(F.col("s").startswith("OBJECT<"))
+
+    def profile(batches):
+        found = _profiled((s for batch in batches for s in batch.column("s").to_pylist()), max_fields)
+        rows = sorted(found)
+        for at in range(0, len(rows), 10_000):
+            part = rows[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([list(p) for p, _ in part], pa.list_(pa.string())), pa.array([k for _, k in part], pa.string())],
+                ["path", "kind"],
+            )
+
+    paths = schemas.mapInArrow(profile, "path array<string>, kind string").groupBy("path").agg(F.collect_set("kind").alias("kinds"))
+    is_field = F.coalesce(F.try_element_at("path", F.lit(-1)) != "[]", F.lit(False))
+    merged = staged(paths.withColumn("is_field", is_field), "json-paths")
+    if merged.filter("is_field").limit(max_fields + 1).count() > max_fields:
+        raise ValueError(f"'{field}' has more than {max_fields} fields")
+    # Elements of lists are no fields, but every one is below a field.
+    kinds = {tuple(r.path): set(r.kinds) for r in merged.collect()}
+    if () not in kinds:
         raise ValueError(f"'{field}' does not hold JSON objects")
-    reader = _VariantSchema(found)
-    dtype = reader.type()
-    if reader.fields > max_fields:
-        raise ValueError(f"'{field}' has {reader.fields} fields, more than {max_fields}")
-    return ds.with_df(ds.df.withColumn(into or field, F.from_json(text, dtype)))
+    return ds.with_df(ds.df.withColumn(into or field, F.from_json(text, _merged(kinds))))

@@ -12,7 +12,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from ..dataset import Dataset, quoted, stored_definition
 from ..operators.mutations import count_sample_tags
@@ -24,6 +23,7 @@ SUMMARY_SKIPS = ("id", "filepath", "metadata")
 SUMMARY_VALUES = 100
 
 _SKETCH_VALUES = 2 * SUMMARY_VALUES  # far above any sketch error on fewer than 100
+_MAP_VALUES = 2048  # places of a field's map, which is exact up to three quarters of them
 
 _LISTING = (
     "name string, media_type string, num_samples long, persistent boolean, "
@@ -148,10 +148,10 @@ def summary_value_counts(ds: Dataset) -> DataFrame:
     Values are text, null is a value, and lists count by element. Skipped are the id,
     the filepath and metadata, documents, and lists of floats (vectors) [chosen].
 
-    Three passes whatever the number of fields: sketches of the distinct counts of all
-    scalar fields, then of all lists' elements, drop the wide fields, then one unpivot
-    counts the values of the rest, combined before the shuffle, and the limit is applied
-    exactly. Without lists, or without scalars, there are two.
+    One pass whatever the number of fields: the values are unpivoted, and every task keeps
+    for each field a bounded map of values and counts and a sketch of how many there are.
+    Both merge. A map that never had to let a value go is exact, and that of a field of
+    which the sketch finds at most ``_SKETCH_VALUES`` never had to.
     """
     scalars, lists = [], []
     for f in ds.df.schema.fields:
@@ -170,28 +170,21 @@ def summary_value_counts(ds: Dataset) -> DataFrame:
         listed = F.transform(F.col(quoted(name)), lambda v: entry(name, v))
         return F.coalesce(listed, F.array().cast("array<struct<field:string,value:string>>"))
 
-    def unpivoted(names: list[str], list_names: list[str]) -> DataFrame:
-        parts = [F.array(*[entry(n, F.col(quoted(n))) for n in names])] if names else []
-        parts += [elements(n) for n in list_names]
-        return ds.df.select(F.explode(F.concat(*parts)).alias("x")).select("x.*")
-
-    narrow, narrow_lists = [], []
-    if scalars:
-        sketch = ds.df.agg(
-            *[F.approx_count_distinct(quoted(n)).alias(f"d{i}") for i, n in enumerate(scalars)]
-        ).first()
-        narrow = [n for i, n in enumerate(scalars) if sketch[i] <= _SKETCH_VALUES]
-    if lists:
-        sketches = unpivoted([], lists).groupBy("field").agg(F.approx_count_distinct("value"))
-        narrow_lists = [name for name, d in sketches.collect() if d <= _SKETCH_VALUES]
-    if not narrow and not narrow_lists:
+    if not scalars and not lists:
         return ds.spark.createDataFrame([], "field string, value string, n long")
-    counts = unpivoted(narrow, narrow_lists).groupBy("field", "value").agg(
-        F.count(F.lit(1)).alias("n")
+    parts = [F.array(*[entry(n, F.col(quoted(n))) for n in scalars])] if scalars else []
+    parts += [elements(n) for n in lists]
+    long = ds.df.select(F.explode(F.concat(*parts)).alias("x")).select("x.*")
+    # The map counts no null: a value has a mark in front, null is nothing but the mark's lack.
+    marked = long.select("field", F.coalesce(F.concat(F.lit("="), "value"), F.lit("")).alias("v"))
+    found = marked.groupBy("field").agg(
+        F.expr(f"approx_top_k(v, {SUMMARY_VALUES}, {_MAP_VALUES})").alias("items"),
+        F.approx_count_distinct("v").alias("values"),
+    )
+    narrow = found.filter((F.col("values") <= _SKETCH_VALUES) & (F.size("items") < SUMMARY_VALUES))
+    return narrow.select("field", F.explode("items").alias("x")).select(
+        "field", F.when(F.col("x.item") != "", F.substring("x.item", 2, 2**31 - 1)).alias("value"), F.col("x.count").alias("n")
     )
-    # The sketch left a few hundred values per field at most.
-    values = F.count(F.lit(1)).over(Window.partitionBy("field"))
-    return counts.withColumn("values", values).filter(F.col("values") < SUMMARY_VALUES).drop("values")
 
 
 def dataset_summary(ds: Dataset) -> Summary:

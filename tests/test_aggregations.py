@@ -1,3 +1,4 @@
+import datetime
 import statistics
 from collections import Counter
 
@@ -158,3 +159,53 @@ def test_partitions_do_not_matter(spark, partitions):
         k: len(range(k, 200, 7)) for k in range(7)
     }
     assert histogram(ds, "v", bins=4)[0] == [50, 50, 50, 50]
+
+
+NESTED = "sample_id string, x double, d date, name string, found array<struct<label:string,boxes:array<array<double>>>>, note struct<words:array<string>>"
+
+
+def nested(spark):
+    day = datetime.date(2024, 5, 1)
+    rows = [
+        ("a", 1.5, day, "n", [("cat", [[1.0, 2.0], None, []]), (None, None), None], (["x", None],)),
+        ("b", None, None, None, [], None),
+        ("c", float("nan"), day + datetime.timedelta(9), "m", None, ([],)),
+        ("d", -4.0, day, "m", [("dog", [[7.0, None, float("nan")]])], (None,)),
+    ]
+    return dataset(spark, rows, NESTED)
+
+
+@pytest.mark.parametrize("field", ["x", "d", "name", "found.label", "found.boxes", "note.words"])
+def test_measures_are_those_of_single_functions(spark, field):
+    ds = nested(spark)
+    numeric = field in ("x", "found.boxes")
+    wanted = {"b": ("bounds", field), "n": ("distinct_count", field), "c": ("count", field)}
+    if numeric:
+        wanted |= {"m": ("mean", field), "s": ("sum", field), "v": ("std", field)}
+    row = sc.measures(ds, wanted | {"other": ("count", "name")}).first()
+    assert row.b == sc.bounds(ds, field).first()
+    assert row.n == sc.distinct_count(ds, field).first()[0]
+    assert row.c == (sc.count_values_totals(ds, field).first().total)
+    assert row.other == 4
+    if numeric:
+        assert (row.m, row.s, row.v) == (sc.mean(ds, field).first()[0], sc.sum(ds, field).first()[0], sc.std(ds, field).first()[0])
+
+
+def test_measures_read_the_view_once(spark, tmp_path):
+    nested(spark).df.write.parquet(str(tmp_path / "t"))
+    ds = sc.Dataset(spark.read.parquet(str(tmp_path / "t")))
+    stages = [{"type": "Match", "filter": "x > 0"}]
+    found = sc.measures(ds, {"a": ("mean", "x"), "b": ("bounds", "d"), "c": ("sum", "x"), "e": ("std", "x"), "f": ("distinct_count", "found.label")}, stages)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert found.first().a == 1.5 and found.first().f == 1
+
+
+def test_measures_of_nothing_and_of_wrong_names(spark):
+    ds = nested(spark)
+    none = ds.with_df(ds.df.limit(0))
+    row = sc.measures(none, {"a": ("sum", "x"), "b": ("mean", "x"), "c": ("count", "found.label"), "d": ("bounds", "x")}).first()
+    assert (row.a, row.b, row.c, tuple(row.d)) == (0.0, None, 0, (None, None))
+    for wanted in ({}, {"a": ("median", "x")}, {"a": ("mean", "nope")}, {"a": ("mean", "found.nope")}):
+        with pytest.raises(ValueError):
+            sc.measures(ds, wanted)

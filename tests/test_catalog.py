@@ -1,5 +1,6 @@
 """Schemas, summaries, names, import and export, issues."""
 
+import collections
 import datetime
 
 import pytest
@@ -117,6 +118,19 @@ def test_summary_cut_is_exact(spark):
     assert sc.summary_value_counts(ds).count() == 0
 
 
+def test_summary_values_take_one_scan(spark, tmp_path):
+    rows = [(f"s{i:05}", i, f"name {i}", i % 98 or None, "" if i % 3 else None, [i % 7, None, 7] if i % 2 else None) for i in range(20_000)]
+    made = dataset(spark, rows, "sample_id string, wide long, name string, narrow int, blank string, listed array<int>")
+    made.df.repartition(5).write.parquet(str(tmp_path / "t"))
+    counts = sc.summary_value_counts(sc.Dataset(spark.read.parquet(str(tmp_path / "t"))))
+    assert counts._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    expected = collections.Counter()
+    for _, _, _, narrow, blank, listed in rows:
+        expected.update([("narrow", None if narrow is None else str(narrow)), ("blank", blank)])
+        expected.update(("listed", None if v is None else str(v)) for v in listed or [])
+    assert {(r.field, r.value): r.n for r in counts.collect()} == expected
+
+
 def test_summary_of_nothing(spark):
     ds = dataset(spark, [], "sample_id string, v int")
     assert sc.dataset_summary(ds).overview.first().first_sample_id is None

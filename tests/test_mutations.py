@@ -1,6 +1,10 @@
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 import samplecraft as sc
+from samplecraft.operators import schema
 from samplecraft.plans.staging import new_path
 
 from .conftest import dataset, ids
@@ -259,3 +263,37 @@ def test_inferred_fields_by_type_and_not_by_text(spark):
     wide = dataset(spark, [(i, f'{{"user{i}": 1}}') for i in range(300)], "sample_id long, doc string")
     with pytest.raises(ValueError, match="more than 100"):
         sc.infer_fields(wide, "doc", max_fields=100)
+
+
+@pytest.mark.parametrize("text", ['{{"a": {{"user{0}": 1}}}}', '{{"a": [[{{"b": {{"user{0}": []}}}}]]}}'])
+def test_inferred_maps_below_raise_before_their_schema_is_merged(spark, text):
+    deep = dataset(spark, [(i, text.format(i)) for i in range(3_000)], "sample_id long, doc string")
+    with pytest.raises(ValueError, match="more than 500"):
+        sc.infer_fields(deep, "doc", max_fields=500)
+
+
+def test_a_profile_stops_at_its_limit():
+    read = []
+
+    def schemas():
+        for i in range(100_000):
+            read.append(i)
+            yield f"OBJECT<user{i}: OBJECT<n: BIGINT>>"
+
+    assert len({p for p, _ in schema._profiled(schemas(), 40) if p}) == 41
+    assert len(read) < 50
+
+
+def test_inferred_fields_are_those_of_the_aggregate(spark):
+    values = ["1", "2.5", "1e300", '"t"', "true", "null", "[]", "[1, 2.5]", "[[1], null]", '["t", 1]', '{"k": 1}', '{"k": [null]}', "{}"]
+    texts = [f'{{"v{i}_{j}": {v}}}' for i, a in enumerate(values) for j, b in enumerate(values) for v in (a, b)]
+    ds = dataset(spark, list(enumerate(texts)), "sample_id long, doc string")
+    got = sc.infer_fields(ds, "doc").df.schema["doc"].dataType
+    text = ds.df.select(F.schema_of_variant_agg(F.try_parse_json("doc"))).first()[0]
+    for field in got:
+        i, j = field.name[1:].split("_")
+        found = re.search(rf"\b{field.name}: (.*?)(, v\d|>$)", text)[1]
+        simple = re.sub(r"DECIMAL\(\d+,\d+\)|FLOAT", "DOUBLE", found)
+        simple = re.sub(r"VOID|VARIANT", "STRING", simple)
+        assert field.dataType.simpleString().upper().replace("STRUCT<", "OBJECT<").replace(":", ": ").replace(",", ", ").replace("K: ", "k: ") == simple, (values[int(i)], values[int(j)])
+    assert len(got) == len(values) ** 2
