@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import samplecraft as sc
+from samplecraft.plans.staging import new_path
 from samplecraft.sources import curation_tables as ct
 
 from .book import DETECTIONS, DOCS, PAIRS, SAMPLES, TURNS, query
@@ -590,6 +591,30 @@ def sort_by_similarity(spark, folder):
     return view.rows().select("vec_id", F.round("distance", 6).alias("distance"))
 
 
+_NEAR_INDEXED = """SELECT '{0}' AS searched, v.vec_id, round(1 - list_cosine_similarity(v.e, m.e), 6) AS distance
+       FROM v, (SELECT e FROM v WHERE vec_id = 0) m WHERE {1}
+       ORDER BY 1 - list_cosine_similarity(v.e, m.e), v.vec_id LIMIT 40"""
+
+
+@query(
+    "similarity_index",
+    f"SELECT * FROM ({_NEAR_INDEXED.format('all', 'true')}) UNION ALL SELECT * FROM ({_NEAR_INDEXED.format('view', 'v.label < 3')})",
+    using=(PAIRS,),
+)
+def similarity_index(spark, folder):
+    """The nearest of all vectors, and of a view, out of an index that is built once and
+    opened by its key."""
+    ds, place = ct.vecs(spark, folder), new_path(spark, "indexes")
+    sc.build_similarity_index(ds, "by_meaning", place, field="embedding", cell_rows=64)
+    index = sc.open_similarity_index(spark, "by_meaning", place)
+
+    def found(name, view):
+        near = sc.sort_by_similarity(view, [0], k=40, dist_field="distance", index=index)
+        return near.rows().select(F.lit(name).alias("searched"), "vec_id", F.round("distance", 6).alias("distance"))
+
+    return found("all", ds).unionByName(found("view", sc.match(ds, "label < 3")))
+
+
 @query(
     "apply_stages",
     """SELECT sample_id, n_chars FROM docs

@@ -83,4 +83,5 @@ from .sources.catalog import (
     save_view,
     summary_value_counts,
 )
+from .sources.similarity_index import SimilarityIndex, build_similarity_index, open_similarity_index
 from .sources.versions import Store, create_store, open_store

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from ..dataset import ORDER, Dataset, field_type, quoted_path
+from ..dataset import ORDER, Dataset, field_type, quoted, quoted_path
 from ..functions import vectors as V
 from ..plans import vector_cells
 from ..plans.vector_cells import DIGEST
 from ..plans.staging import staged
+from ..sources.similarity_index import SimilarityIndex
 from .ordering import limit
 from .samples import select
 
@@ -72,6 +73,7 @@ def sort_by_similarity(
     metric: str = "cosine",
     dist_field: str | None = None,
     vector=None,
+    index: SimilarityIndex | None = None,
 ) -> Dataset:
     """Order by nearness to ``query``; ``k`` keeps the nearest k.
 
@@ -82,7 +84,16 @@ def sort_by_similarity(
     ``dist_field`` a field for the distances. Samples without a vector are left out
     [chosen]; a vector of another length, and for the cosine metric a query of length
     zero, raises. Text queries need a model and are not supported.
+
+    With a stored ``index`` and ``k``, only the vectors of its cells near the query are
+    read; field and metric are the index's, as are the vectors, so samples that have come
+    since it was built are left out [chosen]. The result is the nearest k of ``ds``, also
+    if that is a view of what was indexed.
     """
+    if index is not None:
+        if k is None:
+            raise ValueError("a search in an index needs k")
+        return _by_index(ds, query, vector, k, index, dist_field)
     if metric not in V.METRICS:
         raise ValueError(f"metric must be one of {', '.join(V.METRICS)}")
     vec = embedding_field(ds, brain_key)
@@ -95,6 +106,20 @@ def sort_by_similarity(
     return view if k is None else limit(view, k)
 
 
+def _by_index(ds: Dataset, query, vector, k: int, index: SimilarityIndex, dist_field: str | None) -> Dataset:
+    if index.id_col != ds.id_col:
+        raise ValueError(f"the index is of ids in '{index.id_col}', the dataset's are in '{ds.id_col}'")
+    id_col = F.col(quoted(ds.id_col))
+    # A query id need not be in the view.
+    asked = _query_vector(Dataset(index.members, id_col="id"), query, vector, "vec")
+    near = index.nearest(asked, k, ds.df.select(id_col))
+    near = near.select(F.col("id").alias(ds.id_col), F.col("distance").alias(ORDER))
+    df = ds.df.drop(ORDER).join(near, ds.id_col)
+    if dist_field is not None:
+        df = df.withColumn(dist_field, F.col(ORDER))
+    return ds.with_df(df, order=(ORDER,), reverse=False)
+
+
 def knn_join(
     queries: Dataset,
     base: Dataset,

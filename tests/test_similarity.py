@@ -1,5 +1,7 @@
 """Similarity against brute force, with copies, many cells and one cell."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -243,3 +245,78 @@ def test_wrong_query_vectors_raise(spark):
         sc.sort_by_similarity(ds)
     with pytest.raises(ValueError, match="either"):
         sc.sort_by_similarity(ds, 1, vector=[1.0, 0.0, 0.0])
+
+
+def brute_nearest(m, target, k, metric, among):
+    m, target = np.where(m.any(axis=1, keepdims=True), m, 1e-9).astype(float), np.asarray(target, float)
+    if metric == "cosine":
+        apart = 1 - (m @ target) / np.linalg.norm(m, axis=1) / np.linalg.norm(target)
+    else:
+        apart = np.linalg.norm(m - target, axis=1)
+    order = [i for i in np.lexsort((np.arange(len(m)), np.round(apart, 9))) if i in among]
+    return order[:k], apart
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_a_stored_index_gives_the_nearest(spark, tmp_path, monkeypatch, metric):
+    from samplecraft.sources import similarity_index
+
+    monkeypatch.setattr(similarity_index, "FILE_ROWS", 16)
+    m = clustered(400)
+    m[7] = 0
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(m)] + [(900, None), (901, [float("nan")] * 6)]
+    ds = dataset(spark, rows, "sample_id long, embedding array<float>")
+    sc.build_similarity_index(ds, "key", str(tmp_path), metric=metric, cell_rows=12)
+    index = sc.open_similarity_index(spark, "key", str(tmp_path))
+    stored = set(range(len(m))) - ({7} if metric == "cosine" else set())
+    assert {r.id for r in index.members.collect()} == stored
+    assert index.rows.sum() == len(stored)
+    view = sc.match(ds, "sample_id % 7 = 3")
+    rng = np.random.default_rng(3)
+    for target, k in ((m[5], 10), (m[0], 200), (rng.normal(size=6), 25), (rng.normal(size=6) * 9, 3), (m[9], 10_000)):
+        target = [float(x) for x in target]
+        expected, apart = brute_nearest(m, target, k, metric, stored)
+        got = index.nearest(target, k).collect()
+        assert np.allclose([r.distance for r in got], apart[expected], atol=1e-6)
+        assert len(got) == len(expected) == len({r.id for r in got})
+        expected, _ = brute_nearest(m, target, k, metric, {i for i in stored if i % 7 == 3})
+        near = sc.sort_by_similarity(view, vector=target, k=k, index=index, dist_field="far").sorted_rows().collect()
+        assert np.allclose([r.far for r in near], apart[expected], atol=1e-6) and len(near) == len(expected)
+        assert {r.sample_id % 7 for r in near} <= {3}
+
+
+def test_a_search_reads_only_cells_that_can_hold_the_nearest(spark, tmp_path):
+    m = clustered(600, dim=3)
+    index = sc.build_similarity_index(vectors(spark, m), "key", str(tmp_path), cell_rows=10)
+    low, high = index.bounds([float(x) for x in m[3]])
+    cells = {r.id: r.cell for r in index.members.collect()}
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    apart = np.linalg.norm(unit - unit[3], axis=1)
+    for i, cell in cells.items():
+        at = np.flatnonzero(index.cells == cell)[0]
+        assert low[at] <= apart[i] <= high[at]
+    found = index.nearest([float(x) for x in m[3]], 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in plan
+    named = {int(c) for c in re.findall(r"\d+", re.search(r"PartitionFilters: \[cell\S* IN \(([\d,]+)\)", found._jdf.queryExecution().simpleString())[1])}
+    assert 0 < len(named) < len(index.cells)
+
+
+def test_index_errors(spark, tmp_path):
+    ds = vectors(spark, clustered(60))
+    with pytest.raises(ValueError, match="no similarity index"):
+        sc.open_similarity_index(spark, "none", str(tmp_path))
+    with pytest.raises(ValueError, match="no key"):
+        sc.build_similarity_index(ds, "a/b", str(tmp_path))
+    with pytest.raises(ValueError, match="no vector"):
+        sc.build_similarity_index(ds.with_df(ds.df.limit(0)), "empty", str(tmp_path))
+    with pytest.raises(ValueError, match="not built"):
+        sc.open_similarity_index(spark, "empty", str(tmp_path))
+    index = sc.build_similarity_index(ds, "key", str(tmp_path))
+    for bad in ([1.0, 2.0], [0.0] * 6):
+        with pytest.raises(ValueError):
+            index.nearest(bad, 3)
+    with pytest.raises(ValueError, match="needs k"):
+        sc.sort_by_similarity(ds, vector=[1.0] * 6, index=index)
+    with pytest.raises(ValueError):
+        index.nearest([1.0] * 6, 0)
