@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from ..dataset import Dataset, field_type, quoted_path
 from ..plans.keylists import key_table
-from ..plans.staging import staged
 
 GEO_POINT = T.StructType(
     [T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]
@@ -225,6 +224,14 @@ def _is_field(path) -> bool:
     return bool(path) and path[-1] != "[]"
 
 
+def _with_elements(path: tuple[str, ...], kind: str) -> tuple[tuple[str, ...], str]:
+    """The path of the field itself, and the kind behind a ``[]`` for each list around it."""
+    end = len(path)
+    while end and path[end - 1] == "[]":
+        end -= 1
+    return path[:end], "[]" * (len(path) - end) + kind
+
+
 def _profiled(schemas: Iterable[str], max_fields: int) -> set[tuple[tuple[str, ...], str]]:
     """The paths and kinds of all schemas, read until there are more than ``max_fields``
     different fields."""
@@ -287,7 +294,8 @@ def infer_fields(ds: Dataset, field: str, into: str | None = None, max_fields: i
 
     def profile(batches):
         found = _profiled((s for batch in batches for s in batch.column("s").to_pylist()), max_fields)
-        rows = sorted(found)
+        # A list's elements go with the field, so that there is a row for each field.
+        rows = sorted({_with_elements(path, kind) for path, kind in found})
         for at in range(0, len(rows), 10_000):
             part = rows[at : at + 10_000]
             yield pa.RecordBatch.from_arrays(
@@ -296,12 +304,14 @@ def infer_fields(ds: Dataset, field: str, into: str | None = None, max_fields: i
             )
 
     paths = schemas.mapInArrow(profile, "path array<string>, kind string").groupBy("path").agg(F.collect_set("kind").alias("kinds"))
-    is_field = F.coalesce(F.try_element_at("path", F.lit(-1)) != "[]", F.lit(False))
-    merged = staged(paths.withColumn("is_field", is_field), "json-paths")
-    if merged.filter("is_field").limit(max_fields + 1).count() > max_fields:
-        raise ValueError(f"'{field}' has more than {max_fields} fields")
-    # Elements of lists are no fields, but every one is below a field.
-    kinds = {tuple(r.path): set(r.kinds) for r in merged.collect()}
-    if () not in kinds:
+    merged = paths.limit(max_fields + 2).collect()  # the fields, and the object itself
+    if not merged:
         raise ValueError(f"'{field}' does not hold JSON objects")
+    if len(merged) > max_fields + 1:
+        raise ValueError(f"'{field}' has more than {max_fields} fields")
+    kinds: dict = {}
+    for row in merged:
+        for kind in row.kinds:
+            word = kind.lstrip("[]")
+            kinds.setdefault((*row.path, *["[]"] * ((len(kind) - len(word)) // 2)), set()).add(word)
     return ds.with_df(ds.df.withColumn(into or field, F.from_json(text, _merged(kinds))))
