@@ -146,13 +146,20 @@ WITH words AS (
 ), equal AS (  -- equal words on one diagonal
   SELECT d.id AS doc_id, i.id AS item_id, d.p - i.p AS shift, i.p AS p, i.n AS n
   FROM word d JOIN word i ON d.kind = 0 AND i.kind = 1 AND d.w = i.w AND i.n >= 4
+), line AS (  -- items of one to three words are lines of their own
+  SELECT id, list_filter(regexp_split_to_array(lower(line), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id AS id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
 ), counted AS (
   SELECT doc_id, item_id, n,
          count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY p RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS equal_words
   FROM equal
 )
-SELECT doc_id, item_id, max(equal_words) AS equal_words FROM counted
-WHERE equal_words >= CASE WHEN n < 13 THEN n ELSE 11 END GROUP BY doc_id, item_id
+SELECT doc_id, item_id, max(equal_words) AS equal_words FROM (
+  SELECT doc_id, item_id, equal_words FROM counted
+  WHERE equal_words >= CASE WHEN n < 7 THEN n WHEN n < 13 THEN n - 1 ELSE 11 END
+  UNION ALL
+  SELECT line.id, i.id, len(i.w) FROM line JOIN words i ON i.kind = 1 AND len(i.w) BETWEEN 1 AND 3 AND line.w = i.w
+) GROUP BY doc_id, item_id
 """
 
 

@@ -306,8 +306,10 @@ def brute_overlaps(rows, items):
         for item, item_text in items:
             own = split_words(item_text)
             if len(own) < 4:
+                if own and any(split_words(line) == own for line in (text or "").split("\n")):
+                    out[key, item] = max(len(own), out.get((key, item), 0))
                 continue
-            best, need = 0, len(own) if len(own) < 13 else 11
+            best, need = 0, len(own) if len(own) < 7 else len(own) - 1 if len(own) < 13 else 11
             for shift in range(-len(own), len(doc) + 1):
                 equal = [0 <= p + shift < len(doc) and doc[p + shift] == w for p, w in enumerate(own)]
                 best = max([best] + [sum(equal[p : p + 13]) for p in range(len(own))])
@@ -316,6 +318,19 @@ def brute_overlaps(rows, items):
     return out
 
 
+@pytest.mark.parametrize("n", range(1, 13))
+def test_short_items(spark, n):
+    """One substitution from 7 words on; up to 3 words, a line of its own."""
+    rng = random.Random(n)
+    own, text = [f"item{i}" for i in range(n)], sentence(rng, 30)
+    rows = [(0, " ".join(text)), (1, " ".join(text[:9] + own + text[9:])), (2, "\n".join(["a", " ".join(own) + "!", "b"]))]
+    rows += [(3 + i, " ".join(text[:4] + own[:i] + ["x"] + own[i + 1 :] + text[4:])) for i in range(n)]
+    found = decontaminate.overlaps(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(own))], "item_id long, text string"))
+    got = {(r._doc, r.item): r.equal for r in found.collect()}
+    assert got == brute_overlaps(rows, [(7, " ".join(own))])
+    assert {k for k, _ in got} == {2} | ({1} if n > 3 else set()) | (set(range(3, 3 + n)) if n >= 7 else set())
+
+
 def test_any_two_substitutions_leave_a_seed():
     for lost in itertools.chain([()], *(itertools.combinations(range(13), n) for n in (1, 2))):
         assert any(
@@ -327,7 +342,7 @@ def test_any_two_substitutions_leave_a_seed():
 
 def contaminated():
     rng = random.Random(11)
-    items = [(i, " ".join(sentence(rng, n))) for i, n in enumerate([13, 14, 20, 40, 60, 12, 5, 4, 3, 1, 0])]
+    items = [(i, " ".join(sentence(rng, n))) for i, n in enumerate([13, 14, 20, 40, 60, 12, 5, 4, 3, 1, 0, 6, 7, 8, 9, 10, 11])]
     items += [(3, items[2][1]), (None, " ".join(sentence(rng, 15))), (77, None), items[0]]
     docs = []
     for i in range(80):
@@ -339,7 +354,8 @@ def contaminated():
                 inside[rng.randrange(len(inside))] = "sub"
         a = rng.randrange(3)
         at = rng.randint(0, len(text))
-        docs.append((i, " ".join(text[:at] + [w.upper() + "," for w in inside[a:]] + text[at:])))
+        gap = rng.choice([" ", " ", "\n"])
+        docs.append((i, gap.join(" ".join(p) for p in (text[:at], [w.upper() + "," for w in inside[a:]], text[at:]))))
     return docs + [(200, None), (201, ""), (202, "a"), (203, " ".join(sentence(rng, 20000)) + " " + items[3][1])], items
 
 
