@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -61,6 +62,60 @@ def test_edges_of_an_article_of_divs(paragraphs):
     assert html_text.main_text(page(f"<div id='top'>{menu}</div><div id='text'>{body}</div><div id='end'>{foot}</div>")) == "\n".join(own)
 
 
+def test_dense_text_chooses_the_region():
+    sparse = "<article><h2>News</h2><p>Read it</p></article>"
+    body = f"{NAV}{sparse}<div><div><h1>Head</h1>{''.join(f'<p>{lorem(30 + i)}</p>' for i in range(9))}</div></div>"
+    assert html_text.main_text(page(body)) == "\n".join(["Head", *(lorem(30 + i) for i in range(9))])
+    assert html_text.main_text(page(f"<article><p>{A}</p></article><div>{B}</div>")) == A
+
+
+def test_inside_an_article():
+    body = (
+        f"<header><h1>Site</h1></header><article><header><h1>The title</h1><p>By me</p></header><p class='notice-board'>{A}</p>"
+        f"<div class='share-buttons'>Share</div><div class='related-work'>{B}</div><p class='social history'>{C}</p><div class='advert box-1'>{A}</div>"
+        f"<div role='alert'>{A}</div><section class='comments'><p>{B}</p></section><footer>me</footer></article>"
+    )
+    assert html_text.main_text(page(body)) == "\n".join(["The title", A, B])
+
+
+@pytest.mark.parametrize("part", ["<div>x", "<article>x", "<div class=menu>x<article>", "<p>x<form>", "<span></b></section>x"])
+def test_deep_pages(part):
+    start = time.perf_counter()
+    html_text.main_text("<nav>" + part * 60_000 + "</nav>" + part * 1000)
+    assert time.perf_counter() - start < 30
+
+
+def test_regions_against_sets_of_ancestors():
+    """The same choice from the whole list of containers around each line."""
+    rng = random.Random(3)
+    for _ in range(300):
+        n = rng.randrange(1, 14)
+        parents = []
+        for c in range(n):  # a container opens in one that is still open
+            around = [c - 1] if c else []
+            while around and around[-1] >= 0:
+                around.append(parents[around[-1]])
+            parents.append(rng.choice(around or [-1]))
+        kinds = [rng.choice(["div", "div", "section", "article", "main"]) for _ in range(n)]
+        inside = np.array([rng.randrange(-1, n) for _ in range(20)])
+        every = np.array([float(rng.randrange(1, 50)) for _ in inside])
+        dense = every * np.array([rng.random() < 0.6 for _ in inside])
+        chain = lambda c: {c} if c < 0 else {c} | chain(parents[c])
+        within = lambda c: np.array([c in chain(i) for i in inside])
+        weight = {c: (dense * within(c)).sum() for c in range(-1, n)}
+        region = -1
+        for marks in (("main", "article"), ("article",)):
+            found = [c for c in range(n) if kinds[c] in marks and c != region and region in chain(c)]
+            if found:
+                best = max(found, key=lambda c: (weight[c], (every * within(c)).sum(), kinds[c] == "article", -c))
+                region = best if weight[best] >= html_text.MARKED_SHARE * weight[region] else region
+        if region < 0:
+            deep = [c for c in range(n) if weight[c] >= html_text.SHARE * weight[-1] and weight[c] > 0]
+            region = max(deep, key=lambda c: (len(chain(c)), c), default=-1)
+        got, last = html_text._region(kinds, parents, inside, dense, every)
+        assert got == region and (within(region) == ((inside >= got) & (inside <= last))).all()
+
+
 @pytest.mark.parametrize("html", ["", "plain words only", "<p", "<article>", "</article></p>", "<script>x", "&lt;p&gt; &#x41;", "<p>" * 3000 + "deep"])
 def test_broken_pages(html):
     assert isinstance(html_text.main_text(html), str)
