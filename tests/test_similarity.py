@@ -341,3 +341,7 @@ def sent(spark, monkeypatch, join):
 
 def test_uniqueness_does_not_send_every_vector_to_every_cell(spark, monkeypatch):
     assert sent(spark, monkeypatch, lambda ds: sc.uniqueness(ds, k=5, cell_rows=8)) < 12
+
+
+def test_knn_self_join_does_not_send_every_vector_to_every_cell(spark, monkeypatch):
+    assert sent(spark, monkeypatch, lambda ds: sc.knn_join(ds, ds, 5, exclude_self=True, cell_rows=8)) < 12
