@@ -345,3 +345,18 @@ def test_uniqueness_does_not_send_every_vector_to_every_cell(spark, monkeypatch)
 
 def test_knn_self_join_does_not_send_every_vector_to_every_cell(spark, monkeypatch):
     assert sent(spark, monkeypatch, lambda ds: sc.knn_join(ds, ds, 5, exclude_self=True, cell_rows=8)) < 12
+
+
+def test_near_duplicates_without_structure_are_exact_in_cells_and_blocks(spark, monkeypatch):
+    """Blocks meet once for both sides, and what single precision leaves open is settled."""
+    m = np.random.default_rng(6).normal(size=(900, 12)).astype(np.float32)
+    least = float(np.sort(cosines(m, m)[:300, 300:], axis=None)[-400])  # a cosine that occurs
+    with monkeypatch.context() as patch:
+        patch.setattr(vector_cells, "CHUNK_ROWS", 128)
+        found = sc.near_duplicates(vectors(spark, m), least, cell_rows=16).collect()
+    close = cosines(m, m) >= least - vector_cells.COSINE_SLACK
+    np.fill_diagonal(close, True)
+    assert {r.id_b: (r.id_a, r.n_near) for r in found} == {
+        b: (int(close[b].argmax()), int(close[b].sum()) - 1) for b in range(len(m)) if close[b].argmax() < b
+    }
+    assert sent(spark, monkeypatch, lambda ds: sc.near_duplicates(ds, 0.4, cell_rows=8)) < 12
