@@ -360,3 +360,8 @@ def test_near_duplicates_without_structure_are_exact_in_cells_and_blocks(spark,
         b: (int(close[b].argmax()), int(close[b].sum()) - 1) for b in range(len(m)) if close[b].argmax() < b
     }
     assert sent(spark, monkeypatch, lambda ds: sc.near_duplicates(ds, 0.4, cell_rows=8)) < 12
+
+
+def test_near_duplicates_do_not_send_every_vector_to_every_cell(spark, monkeypatch):
+    assert sent(spark, monkeypatch, lambda ds: sc.near_duplicates(ds, 0.35)) < 12
+    assert sent(spark, monkeypatch, lambda ds: sc.near_duplicates(ds, 0.35, cell_rows=8)) < 12
