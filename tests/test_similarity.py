@@ -365,3 +365,11 @@ def test_near_duplicates_without_structure_are_exact_in_cells_and_blocks(spark,
 def test_near_duplicates_do_not_send_every_vector_to_every_cell(spark, monkeypatch):
     assert sent(spark, monkeypatch, lambda ds: sc.near_duplicates(ds, 0.35)) < 12
     assert sent(spark, monkeypatch, lambda ds: sc.near_duplicates(ds, 0.35, cell_rows=8)) < 12
+
+
+def test_knn_of_two_tables_does_not_send_every_vector_to_every_cell(spark, monkeypatch):
+    def join(ds):
+        asked, base = sc.match(ds, "sample_id % 2 = 0"), sc.match(ds, "sample_id % 2 = 1")
+        return sc.knn_join(asked, base, 3, metric="euclidean", cell_rows=8)
+
+    assert sent(spark, monkeypatch, join) < 12
