@@ -33,6 +33,7 @@ SHARE = 0.25  # of the pool that a view labels in a round, at most
 TERMS = 400  # words of the text view
 LEAST_SEEN = 4  # training documents a word must occur in
 BINS = 8  # intervals of a number
+PART = 1_000  # documents whose features are laid out at once
 VALUES = 100  # values of a metadata column that count on their own
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -192,10 +193,10 @@ def _pick_terms(terms: np.ndarray, bounds: np.ndarray, y: np.ndarray) -> np.ndar
     if not used.any() or y[used].min() == y[used].max():
         return np.zeros(0, np.uint64)
     size = np.diff(bounds)
-    mine = np.repeat(used, size)
-    names, place = np.unique(terms[mine], return_inverse=True)
+    names, place = np.unique(terms[np.repeat(used, size)], return_inverse=True)
     seen = np.bincount(place, minlength=len(names)).astype(float)
-    good = np.bincount(place, np.repeat(y, size)[mine], len(names))
+    good = np.bincount(place, np.repeat(y[used], size[used]), len(names))
+    del place
     n, rate = used.sum(), y[used].mean()
     absent = np.maximum(n - seen, 1)
     expected = np.maximum(seen * rate * (1 - rate) * (1 + seen / absent), 1e-9)
@@ -205,12 +206,20 @@ def _pick_terms(terms: np.ndarray, bounds: np.ndarray, y: np.ndarray) -> np.ndar
     return np.sort(names[best[chi[best] > 0]])
 
 
-def _presence(terms: np.ndarray, bounds: np.ndarray, known: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(bounds) - 1, len(known)), np.float32)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
-        hit = known[at] == terms
-        out[np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[hit], at[hit]] = 1
+def _text_view(model: Model, looks: np.ndarray, terms: np.ndarray, bounds: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Bins of the looks, which of the known words a document has, and the constant 1;
+    some documents at a time, since the driver holds only the result."""
+    base, n = LOOKS * BINS, len(looks)
+    out = np.zeros((n, base + len(known) + 1), np.float32)
+    out[:, -1] = 1
+    for i in range(0, n, PART):
+        j = min(i + PART, n)
+        out[i:j, :base] = model.look_bins(looks[i:j])
+        if len(known):
+            mine = terms[bounds[i] : bounds[j]]
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            hit = known[at] == mine
+            out[np.repeat(np.arange(i, j), np.diff(bounds[i : j + 1]))[hit], base + at[hit]] = 1
     return out
 
 
@@ -223,7 +232,7 @@ def cotrained(
     if not held.any() or not train.any():
         held = train = ~np.isnan(y)
     chosen = _pick_terms(terms, bounds, np.where(train, y, np.nan))
-    views = [with_constant(model.look_bins(looks), _presence(terms, bounds, chosen)), with_constant(meta)]
+    views = [_text_view(model, looks, terms, bounds, chosen), with_constant(meta)]
     given = [np.where(train, y, np.nan) for _ in views]  # labels that each view trains on
     labelled = 0
     weights: list = [None for _ in views]
@@ -297,16 +306,17 @@ def train(
     largest label. Without labelled documents every score is 0.5.
     """
     numeric = tuple(docs.schema[c].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal") for c in metadata)
-    table = _sample(docs, labels, key, text, metadata, targets).combine_chunks()
+    table = _sample(docs, labels, key, text, metadata, targets)
     # One row for each key, in the order of the keys.
     rows = table.drop_columns(["looks", "terms"]).to_pandas().sort_values("k", kind="stable").drop_duplicates("k")
-    order = rows.index.to_numpy()
-    looks = table["looks"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, LOOKS)[order]
-    lists = table["terms"].combine_chunks()
-    begins, size = lists.offsets.to_numpy()[:-1][order].astype(np.int64), np.diff(lists.offsets.to_numpy())[order].astype(np.int64)
-    bounds = np.concatenate([[0], np.cumsum(size)])
-    terms = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[np.arange(bounds[-1]) + np.repeat(begins - bounds[:-1], size)]
-    del table, lists
+    order = pa.array(rows.index.to_numpy())
+    # Taken as lists: no index of every word is made.
+    looks = table["looks"].combine_chunks().take(order).flatten().to_numpy(zero_copy_only=False).reshape(-1, LOOKS)
+    lists = table["terms"].combine_chunks().take(order)
+    del table
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    terms = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    pa.default_memory_pool().release_unused()
     columns: list = []
     values = [[None if pd.isna(v) else v for v in rows[f"m{i}"]] for i in range(len(metadata))]
     for number, column in zip(numeric, values):
