@@ -373,3 +373,25 @@ def test_knn_of_two_tables_does_not_send_every_vector_to_every_cell(spark, monke
         return sc.knn_join(asked, base, 3, metric="euclidean", cell_rows=8)
 
     assert sent(spark, monkeypatch, join) < 12
+
+
+@pytest.mark.parametrize("least, cell_rows", [(0.4, 8)])
+def test_what_near_duplicates_send_grows_as_the_table(spark, monkeypatch, least, cell_rows):
+    """Vectors without structure, so that all blocks meet: three times as many vectors are
+    sent three times as often, not nine times."""
+    monkeypatch.setattr(vector_cells, "BLOCK_LEAST", 128, raising=False)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 3)  # cores, and so blocks
+    handed, matrix = spark.sparkContext.accumulator(0), vector_cells.matrix
+
+    def counted(column, unit):
+        handed.add(len(column))
+        return matrix(column, unit)
+
+    monkeypatch.setattr(vector_cells, "matrix", counted)
+    m = np.random.default_rng(7).normal(size=(3_600, 16)).astype(np.float32)
+    times = []  # each vector is sent
+    for rows in (1_200, 3_600):
+        before = handed.value
+        assert sc.near_duplicates(vectors(spark, m[:rows], 4), least, cell_rows=cell_rows).count() > 0
+        times.append((handed.value - before) / rows)
+    assert 1 <= times[1] < 1.3 * times[0]
