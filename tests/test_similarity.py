@@ -375,7 +375,7 @@ def test_knn_of_two_tables_does_not_send_every_vector_to_every_cell(spark, monke
     assert sent(spark, monkeypatch, join) < 12
 
 
-@pytest.mark.parametrize("least, cell_rows", [(0.4, 8)])
+@pytest.mark.parametrize("least, cell_rows", [(0.4, 8), (0.35, None)])
 def test_what_near_duplicates_send_grows_as_the_table(spark, monkeypatch, least, cell_rows):
     """Vectors without structure, so that all blocks meet: three times as many vectors are
     sent three times as often, not nine times."""
