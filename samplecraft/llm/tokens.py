@@ -5,12 +5,18 @@ ids come back as flat arrays with bounds. The characters that a token covers com
 the library too; of a byte-level tokenizer, whose tokens are exactly the text's bytes one
 after the other, they follow from the tokens' lengths, so that the library need not list
 them.
+
+Some rules of a tokenizer's file change nothing in a plain text, one of printable ASCII,
+spaces, tabs and line ends: composing characters, making white space one space before it
+is dropped, and writing bytes as letters. Whole plain texts go to the same tokenizer
+without these rules, which gives the same ids sooner; all other texts to the file's own.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -23,6 +29,17 @@ from . import words as W
 WORD_TOKENIZER = "word_bpe_49k.json"
 SLICE = 1_000_000  # characters or bytes encoded at once, unless one text is longer
 
+_PLAIN = re.compile(r"[\t\n\r -~]*").fullmatch
+_LOWERCASE = {"type": "Lowercase"}
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, _LOWERCASE]
+_SPLIT = {  # into pieces that hold no white space
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
 
 def tokenizer_file(name: str) -> str:
     """Where a tokenizer's file lies on this machine; ``name`` may be a path already."""
@@ -42,6 +59,19 @@ def _byte_level(path: str) -> bool:
     return plain and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and rules.get("normalizer") is None
 
 
+def _rules_for_plain(path: str) -> str | None:
+    """The rules that a plain text needs, as JSON: the file's without NFC, which keeps
+    ASCII, without the change of white space, which no piece holds, and without the byte
+    letters, which for these characters are themselves. None if the file has other rules."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    known = rules.get("normalizer") == {"type": "Sequence", "normalizers": _NORMALIZERS}
+    known &= rules.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+    if not known or any(t.get(k) for t in rules.get("added_tokens", []) for k in ("normalized", "lstrip", "rstrip")):
+        return None
+    return json.dumps(rules | {"normalizer": _LOWERCASE, "pre_tokenizer": _SPLIT})
+
+
 class Encoder:
     """Tokens of texts as flat arrays with bounds."""
 
@@ -51,6 +81,8 @@ class Encoder:
 
         path = tokenizer_file(name)
         self.tokenizer = Tokenizer.from_file(path)
+        rules = _rules_for_plain(path)
+        self.plain = Tokenizer.from_str(rules) if rules else None  # same ids for plain texts
         self.sizes = None  # bytes of each token of a byte-level tokenizer
         if _byte_level(path):
             self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
@@ -63,7 +95,7 @@ class Encoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin, plus the end. Null is empty."""
         found, sizes = [], []
-        for one in self._encodings(texts, self.tokenizer.encode_batch_fast):
+        for one in self._encodings(texts, self._without_offsets):
             found.append(one.ids)
             sizes.append(len(found[-1]))
         ids = np.fromiter(chain.from_iterable(found), np.int32, sum(sizes))
@@ -88,6 +120,14 @@ class Encoder:
         spans = np.concatenate(found)
         return spans[:, 0], spans[:, 1], np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), begins
 
+    def _without_offsets(self, texts: list[str], **options) -> Iterator:
+        plain = [self.plain is not None and _PLAIN(t) is not None for t in texts]
+        found = {}
+        for kind, tokenizer in ((True, self.plain), (False, self.tokenizer)):
+            if kind in plain:
+                found[kind] = iter(tokenizer.encode_batch_fast([t for t, p in zip(texts, plain) if p == kind], **options))
+        return (next(found[p]) for p in plain)
+
     def _encodings(self, texts: pa.Array, ask) -> Iterator:
         whole = [t or "" for t in texts.to_pylist()]
         for i, j in by_size([len(t) for t in whole], SLICE):

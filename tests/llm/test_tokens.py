@@ -58,6 +58,61 @@ def test_spans_are_those_of_whole_texts(name):
             assert begins[k + 1] - begins[k] == len(text or "")
 
 
+def test_plain_texts_have_the_ids_of_the_files_own_rules():
+    from tokenizers import Tokenizer
+
+    own, encoder = Tokenizer.from_file(tokens.tokenizer_file(tokens.WORD_TOKENIZER)), tokens.Encoder(tokens.WORD_TOKENIZER)
+    rng = random.Random(9)
+    ascii_ = [chr(c) for c in range(128)]
+    parts = ["'s", "'LL", "It's", "don't", "<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "\r\n", "\t", "...", "42", "Tokens", "ORDER", "</w>", "\u0120"]
+    texts = ascii_ + [a + b + c for a in "aZ 7.'" for b in ascii_ for c in "bY\n3-t"]
+    texts += ["".join(rng.choices(ascii_[32:127] + parts, k=rng.randint(1, 80))) for _ in range(2000)]
+    texts += ["".join(rng.choices(ascii_ + parts + list("é\u0301\u0338ſİΣ漢\u00a0\x85"), k=rng.randint(1, 40))) for _ in range(2000)]
+    texts += SPACED + ODD + [t for _, t in corpus()]
+    ids, at = encoder.ids(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == own.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_only_plain_texts_go_to_the_shorter_rules():
+    class Watched:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.got = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.got += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = tokens.Encoder(tokens.WORD_TOKENIZER)
+    encoder.plain, encoder.tokenizer = Watched(encoder.plain), Watched(encoder.tokenizer)
+    plain, other = ["a B\r\n\tc ~", "", "x <|endoftext|>"], ["é", "a\x0bb", "a\x7f", "a\x1cb", "a\u00a0b", "a\u2028b"]
+    encoder.ids(pa.array([plain[0], *other[:3], None, plain[2], *other[3:]]))
+    assert encoder.plain.got == plain and encoder.tokenizer.got == other
+
+
+@pytest.mark.parametrize("change", ["normalizer", "pre_tokenizer", "split", "added"])
+def test_files_with_other_rules_have_no_shorter_ones(tmp_path, change):
+    import json
+
+    with open(tokens.tokenizer_file(tokens.WORD_TOKENIZER), encoding="utf-8") as f:
+        rules = json.load(f)
+    if change == "normalizer":
+        rules["normalizer"]["normalizers"].append({"type": "StripAccents"})
+    elif change == "pre_tokenizer":
+        rules["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"] = True
+    elif change == "split":
+        rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] += r"|\s+"
+    else:
+        rules["added_tokens"][0]["normalized"] = True
+    path = str(tmp_path / "own.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(rules, f)
+    encoder, texts = tokens.Encoder(path), ["a  b's\n c", "<|startoftext|> É x"]
+    assert encoder.plain is None and tokens.Encoder("byte_bpe_50k.json").plain is None
+    ids, at = encoder.ids(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_tokenizer_of_another_kind_encodes_whole_texts(tmp_path):
     import json
 
